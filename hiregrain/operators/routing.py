@@ -118,8 +118,11 @@ def bumped_job(job: Column, retry_count: Column) -> Column:
     return F.map_concat(rest, bumped)
 
 
-def failure_messages(routed: DataFrame, failed_at: Column) -> DataFrame:
-    """``(key, value)`` for the failure topic: an envelope per failed message."""
+def failure_messages(routed: DataFrame, failed_at: Column, *kept: str) -> DataFrame:
+    """``(key, value)`` for the failure topic: an envelope per failed message.
+
+    Columns named in ``kept`` come out next to them.
+    """
     outcome = F.col("outcome")
     malformed = outcome == MALFORMED
     error_type = (
@@ -147,6 +150,7 @@ def failure_messages(routed: DataFrame, failed_at: Column) -> DataFrame:
         F.array().cast("array<string>"), F.array().cast("array<variant>")
     )
     shared = failed.select(
+        *kept,
         F.when(~malformed, F.col("job_id").cast("binary")).alias("key"),
         F.when(malformed, empty)
         .otherwise(bumped_job(F.col("job"), F.col("retry_count")))
@@ -157,6 +161,6 @@ def failure_messages(routed: DataFrame, failed_at: Column) -> DataFrame:
         stage.alias("failed_stage"),
         failed_at.alias("failed_at"),
     )
-    envelope = F.to_json(F.struct(*[name for name in shared.columns if name != "key"]))
-    return shared.select("key", envelope.cast("binary").alias("value"))
+    envelope = F.to_json(F.struct(*[name for name in shared.columns if name not in ("key", *kept)]))
+    return shared.select(*kept, "key", envelope.cast("binary").alias("value"))
 

@@ -115,12 +115,3 @@ class ObjectDocuments:
         rows = objects.withColumn("s3_key", self._key(path))
         return _on_days(rows, days).select("s3_key", *CURATED_COLUMNS)
 
-
-def write_objects(spark: SparkSession, documents: DataFrame, root: str) -> None:
-    """Curated documents as JSON lines per day, for readers without parquet."""
-    lines = documents.withColumn(
-        "dt", F.regexp_extract("curated_s3_key", "/dt=([^/]+)/", 1)
-    ).hint("rebalance", "dt")
-    lines.write.mode("append").partitionBy("dt").option("ignoreNullFields", "false").json(
-        f"{root}/{CURATED_PREFIX}"
-    )
