@@ -13,13 +13,9 @@ def part(value: Column, path: str) -> Column:
     return F.try_variant_get(value, path, "variant")
 
 
-def kind(value: Column) -> Column:
-    """Shape of a variant: OBJECT, ARRAY, STRING, VOID, BOOLEAN or a number type."""
-    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
-
-
 def is_kind(value: Column, name: str) -> Column:
-    return F.coalesce(kind(value) == name, F.lit(False))
+    """Whether a variant is of a kind: OBJECT, ARRAY, STRING, VOID, BOOLEAN, ..."""
+    return F.coalesce(F.startswith(F.schema_of_variant(value), F.lit(name)), F.lit(False))
 
 
 def as_text(value: Column) -> Column:
@@ -29,36 +25,34 @@ def as_text(value: Column) -> Column:
 
 def is_mistyped(value: Column) -> Column:
     """A value is there, but it is not text."""
-    filled = ~F.to_json(value).isin(*_EMPTY_JSON)
-    return F.coalesce(filled & (kind(value) != "STRING"), F.lit(False))
+    return (
+        value.isNotNull() & ~is_kind(value, "STRING") & ~F.to_json(value).isin(*_EMPTY_JSON)
+    )
 
 
 def _scalar_text(value: Column) -> Column:
     """Text of one filled value: booleans as True/False, objects as JSON, empties NULL."""
+    shown = F.to_json(value)
     plain = F.try_variant_get(value, "$", "string")
-    shown = (
-        F.when(kind(value) == "STRING", plain)
-        .when(kind(value) == "BOOLEAN", F.initcap(plain))
-        .otherwise(F.to_json(value))
+    return (
+        F.when(shown.isin(*_EMPTY_JSON), F.lit(None))
+        .when(shown == "true", "True")
+        .otherwise(F.coalesce(plain, shown))
     )
-    return F.when(~F.to_json(value).isin(*_EMPTY_JSON), shown)
 
 
-def joined(posting: Column, field: str) -> Column:
+def joined(value: Column) -> Column:
     """A scalar's text, or the filled items of a list joined with commas."""
-    value = part(posting, f"$.{field}")
-    items = F.try_variant_get(posting, f"$.{field}", "array<variant>")
-    return F.when(
-        is_kind(value, "ARRAY"), F.array_join(F.transform(items, _scalar_text), ", ")
-    ).otherwise(_scalar_text(value))
-
-
-def address(posting: Column) -> Column:
-    """Address of the first workplace, as VARIANT; NULL unless it is an object."""
-    place = part(posting, "$.jobLocation")
-    first = F.when(is_kind(place, "ARRAY"), part(place, "$[0]")).otherwise(place)
-    found = part(first, "$.address")
-    return F.when(is_kind(found, "OBJECT"), found)
+    items = F.try_variant_get(value, "$", "array<variant>")
+    return F.coalesce(F.array_join(F.transform(items, _scalar_text), ", "), _scalar_text(value))
+
+
+def of_first_place(posting: Column, field: str) -> Column:
+    """A field of the workplace's address; of the first one if there are several."""
+    return F.coalesce(
+        part(posting, f"$.jobLocation[0].address.{field}"),
+        part(posting, f"$.jobLocation.address.{field}"),
+    )
 
 
 def place_name(region: Column, locality: Column) -> Column:

@@ -27,6 +27,26 @@ def _decode_entities(texts: pa.Array) -> pa.Array:
     )
 
 
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _decode_lists(lists: pa.Array) -> pa.Array:
+    return pa.array(
+        [
+            None if texts is None else [text and html.unescape(text) for text in texts]
+            for texts in lists.to_pylist()
+        ],
+        pa.list_(pa.string()),
+    )
+
+
+def _has_reference(text: Column) -> Column:
+    return F.coalesce(F.contains(text, F.lit("&")), F.lit(False))
+
+
+def unescape_all(texts: Column) -> Column:
+    """``unescape`` for every text of an array, in one Arrow column."""
+    return F.coalesce(_decode_lists(F.when(F.exists(texts, _has_reference), texts)), texts)
+
+
 def unescape(text: Column) -> Column:
     """Decode character references. Text without ``&`` never travels to Python."""
     return F.coalesce(_decode_entities(F.when(F.contains(text, F.lit("&")), text)), text)

@@ -1,31 +1,15 @@
-"""Per-site rules for page titles and meta descriptions.
+"""Per-site rules for page titles and descriptions.
 
-Results are not entity-decoded; callers decode many of them in one Arrow pass.
+Each rule refers to its argument a few times, so arguments should be plain columns.
+Nothing here decodes entities: callers decode many texts in one Arrow pass.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from hiregrain.functions.text import (
-    DIGIT,
-    WS,
-    blank_to_null,
-    capture,
-    first_filled,
-    item,
-    strip,
-    without_prefix,
-)
-
-
-@dataclass(frozen=True)
-class Named:
-    company: Column
-    title: Column
+from hiregrain.functions.text import DIGIT, WS, capture, strip, without_prefix
 
 
 def _without_tail(text: Column, tail: str) -> Column:
@@ -36,90 +20,67 @@ def _without_site(text: Column, separator: str, site: str) -> Column:
     return _without_tail(text, rf"[{WS}]*{separator}[{WS}]*{site}[{WS}]*$")
 
 
-def bracket_company(title: Column) -> Column:
-    """``[company] rest``: the company, NULL without a leading bracket."""
-    return strip(capture(strip(title), r"^\[([^\n]*?)\]"))
+def wanted_text(title: Column) -> Column:
+    return _without_tail(_without_site(title, r"\|", "원티드"), rf"[{WS}]*채용 공고[{WS}]*$")
 
 
-def _split_bracket(title: Column) -> Named:
-    company = bracket_company(title)
-    prefix = F.concat(F.lit("["), blank_to_null(company), F.lit("]"))
-    return Named(company, without_prefix(title, prefix))
+def catch_text(title: Column) -> Column:
+    return _without_site(title, r"\|", "캐치")
 
 
-def wanted_title(title_tag: Column) -> Named:
-    text = _without_site(title_tag, r"\|", "원티드")
-    return _split_bracket(_without_tail(text, rf"[{WS}]*채용 공고[{WS}]*$"))
+def saramin_text(title: Column) -> Column:
+    """Site suffix first, deadline mark second; in the other order both would stay."""
+    return _without_tail(_without_site(title, "-", "사람인"), rf"\(D-{DIGIT}+\)[{WS}]*$")
 
 
-def catch_title(page_title: Column) -> Named:
-    named = _split_bracket(_without_site(page_title, r"\|", "캐치"))
-    title = _without_tail(named.title, rf"[{WS}]*채용[{WS}]*$")
-    return Named(named.company, _without_tail(title, rf"[{WS}]*\(~[^)]*\)[{WS}]*$"))
+def jobkorea_text(title: Column) -> Column:
+    """Text after the first ``채용 -`` mark, or the whole title without it."""
+    return strip(F.regexp_replace(_without_site(title, r"\|", "잡코리아"), "(?s)^.*? 채용 - ", ""))
 
 
-def saramin_title(page_title: Column) -> Column:
-    """Site suffix first, deadline mark second, leading bracket last."""
-    text = _without_site(page_title, "-", "사람인")
-    text = _without_tail(text, rf"\(D-{DIGIT}+\)[{WS}]*$")
-    bare = strip(capture(text, rf"^\[[^\n]*?\][{WS}]*([^\n]*)\z"))
-    return F.when(page_title != "", first_filled(bare, text))
+def groupby_text(title: Column) -> Column:
+    return strip(F.replace(title, F.lit("무관 "), F.lit("")))
 
 
-@dataclass(frozen=True)
-class DescribedPosting:
-    company: Column
-    title: Column
-    experience: Column
+def bracket(text: Column) -> Column:
+    """``[company] rest``: the company; empty without a leading bracket."""
+    return strip(F.regexp_extract(text, r"^\[([^\n]*?)\]", 1))
 
 
-def saramin_description(description: Column) -> DescribedPosting:
-    """Fields of a normalized ``company, title, ..., 경력: x`` description."""
-    parts = F.filter(
-        F.transform(F.split(description, ","), lambda part: strip(part)), lambda part: part != ""
-    )
-    return DescribedPosting(
-        item(parts, 0), item(parts, 1), strip(capture(description, rf"경력:[{WS}]*([^,]+)"))
-    )
+def without_bracket(text: Column, company: Column) -> Column:
+    """Removes ``[company]`` where the company is known and stands there literally."""
+    known = F.when(company != "", company)
+    return without_prefix(text, F.concat(F.lit("["), known, F.lit("]")))
 
 
-def jobkorea_title(page_title: Column) -> Column:
-    """Text after the first ``채용 -`` mark, or the whole title without it."""
-    text = _without_site(page_title, r"\|", "잡코리아")
-    mark = " 채용 - "
-    after = F.get(F.split(text, mark, 2), F.lit(1))
-    return strip(F.when(F.contains(text, F.lit(mark)), after).otherwise(text))
+def catch_title(text: Column, company: Column) -> Column:
+    title = _without_tail(without_bracket(text, company), rf"[{WS}]*채용[{WS}]*$")
+    return _without_tail(title, rf"[{WS}]*\(~[^)]*\)[{WS}]*$")
 
 
-def jobkorea_split(title: Column) -> Named:
-    """``company [title]`` of a normalized title; both NULL when it has another shape."""
-    pattern = rf"^([^\n]*?)[{WS}]+(\[[^\n]*\][^\n]*)\z"
-    return Named(capture(title, pattern, 1), capture(title, pattern, 2))
+def after_bracket(text: Column) -> Column:
+    """What follows a leading bracket on the same line; NULL if it is another shape."""
+    return strip(capture(text, rf"^\[[^\n]*?\][{WS}]*([^\n]*)\z"))
 
 
-def jobkorea_experience(description: Column) -> Column:
-    return capture(description, rf"경력[{WS}]*:[{WS}]*([^,]+)")
+# ``company [title]`` of a cleaned title, with the company as group 1.
+COMPANY_THEN_BRACKET = rf"^([^\n]*?)[{WS}]+(\[[^\n]*\][^\n]*)\z"
 
 
-def groupby_title(page_title: Column) -> Column:
-    return strip(F.replace(page_title, F.lit("무관 "), F.lit("")))
+def parts(description: Column, separator: str) -> Column:
+    """Non-blank parts of a cleaned description."""
+    pieces = F.transform(F.split(description, separator), lambda piece: strip(piece))
+    return F.filter(pieces, lambda piece: piece != "")
 
 
-def groupby_experience(title_tag: Column) -> Column:
-    inside = strip(capture(title_tag, r"\(([^)]*년 이하|신입|경력무관)\)"))
-    return F.when(F.startswith(title_tag, F.lit("무관 ")), F.lit("무관")).otherwise(inside)
+def saramin_experience(description: Column) -> Column:
+    return strip(capture(description, rf"경력:[{WS}]*([^,]+)"))
 
 
-@dataclass(frozen=True)
-class CatchSummary:
-    experience: Column
-    employment: Column
-    location: Column
+def jobkorea_experience(description: Column) -> Column:
+    return capture(description, rf"경력[{WS}]*:[{WS}]*([^,]+)")
 
 
-def catch_summary(description: Column) -> CatchSummary:
-    """Fields of a normalized ``a | b | ...`` description; blanks do not count."""
-    parts = F.filter(
-        F.transform(F.split(description, r"\|"), lambda part: strip(part)), lambda part: part != ""
-    )
-    return CatchSummary(item(parts, 0), item(parts, 1), item(parts, 4))
+def groupby_experience(title: Column) -> Column:
+    inside = strip(capture(title, r"\(([^)]*년 이하|신입|경력무관)\)"))
+    return F.when(F.startswith(title, F.lit("무관 ")), F.lit("무관")).otherwise(inside)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hiregrain.functions.text import blank_to_null, normalize, sha256_hex
+from hiregrain.functions.text import sha256_hex
 from hiregrain.operators.keys import lake_keys, local_date
 from hiregrain.operators.pages import FACTS, page_facts, resolve_pages
 from hiregrain.operators.sites import SITES, SiteRule, extract_fields
@@ -26,11 +26,12 @@ def with_keys(jobs: DataFrame) -> DataFrame:
 
 
 def final_description(pages: DataFrame) -> DataFrame:
-    """The description as stored: body text if there is none, cleaned, capped; its hash."""
-    text = F.coalesce(blank_to_null(F.col("description_text")), F.col("body_text"))
-    cleaned = F.left(F.coalesce(normalize(text), F.lit("")), F.lit(DESCRIPTION_LENGTH))
-    return pages.withColumn("description_text", cleaned).withColumn(
-        "content_hash", sha256_hex(F.col("description_text"))
+    """The description as stored, capped, and its hash; an empty text has a hash too."""
+    text = F.left(F.coalesce("stored_text", F.lit("")), F.lit(DESCRIPTION_LENGTH))
+    return (
+        pages.withColumn("description_text", text)
+        .withColumn("content_hash", sha256_hex(F.col("description_text")))
+        .drop("stored_text")
     )
 
 

@@ -8,40 +8,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hiregrain.functions.page_signals import signals_of
-from hiregrain.functions.text import WS, drop_tags, tidy_lines, unescape
+from hiregrain.functions.text import WS, drop_tags
 from hiregrain.operators.sites import SITES, SiteRule, site_flag, site_of
 from hiregrain.operators.skew import salted_left_join
 from hiregrain.schemas import SIGNALS
 from hiregrain.session import cut
 
 PREVIEW_LENGTH = 500
-BODY_LENGTH = 2000
 
-FACTS = ("html_length", "text_preview", *SIGNALS.fieldNames(), "body_text")
+FACTS = ("html_length", "text_preview", *SIGNALS.fieldNames(), "body_markup")
 
 
 def page_facts(pages: DataFrame) -> DataFrame:
     """Replaces ``html`` by everything later steps need of it.
 
-    One tokenizer pass per page. The visible text is worked out only for pages whose
-    meta description may turn out blank, as nothing else falls back to it.
+    One tokenizer pass per page. The page's text (still with entities) is kept only
+    where the meta description may turn out blank, as nothing else falls back to it.
     """
     html = F.col("html")
     others = [name for name in pages.columns if name != "html"]
-    read = pages.withColumn("_signals", signals_of(html))
-    signals = read.withColumns(
+    read = pages.select("*", F.inline(F.array(signals_of(html))))
+    sure = F.coalesce(
+        F.regexp_like("meta_description", F.lit(f"^[{WS}]*[^{WS}&]")), F.lit(False)
+    )
+    return read.withColumns(
         {
             "html_length": F.length(html),
             "text_preview": F.left(html, F.lit(PREVIEW_LENGTH)),
-            **{name: F.col(f"_signals.{name}") for name in SIGNALS.fieldNames()},
+            "body_markup": F.when(~sure, drop_tags(html)),
         }
-    )
-    sure = F.coalesce(
-        F.regexp_like("meta_description", F.lit(f"^[{WS}]*[^{WS}&]")), F.lit(False)
-    )
-    body = signals.withColumn("_body", F.when(~sure, drop_tags(html)))
-    text = F.left(tidy_lines(unescape(F.col("_body"))), F.lit(BODY_LENGTH))
-    return body.withColumn("body_text", text).select(*others, *FACTS)
+    ).select(*others, *FACTS)
 
 
 def fetch_error_type(error_class: Column, status: Column, message: Column) -> Column:

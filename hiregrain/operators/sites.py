@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,23 +20,20 @@ from hiregrain.functions.text import (
     collapse,
     drop_tags,
     first_filled,
-    normalize,
+    item,
     tidy_lines,
-    unescape,
+    unescape_all,
     without_prefix,
 )
 from hiregrain.functions.urls import authority
 from hiregrain.schemas import POSTING_FIELDS
 
-
-
-def no_text() -> Column:
-    return F.lit(None).cast("string")
+BODY_LENGTH = 2000
 
 
 @dataclass(frozen=True)
 class Raw:
-    """Texts a site wants decoded: from its titles, its linked data and its summary."""
+    """Texts a site wants decoded."""
 
     company: Column | None = None
     title: Column | None = None
@@ -53,59 +51,66 @@ class Fields:
     description_text: Column | None = None
 
 
+def _c(name: str) -> Column:
+    return F.col(name)
+
+
+# The steps below run in this order; each may use the columns made before it.
+#   given:         url, title_tag, og_title, meta_description, job_ld, body_markup
+#   first:         page_title (og_title, else title_tag)
+#   title_text():  page title without what the site adds to it
+#   then:          bracket (leading ``[...]`` of title_text), ld_description
+#   raw():         texts to decode
+#   then, decoded and whitespace-clean:
+#                  named_company, named_title, named_experience, meta_text,
+#                  ld_company, ld_title, ld_region, ld_locality;
+#                  decoded only: description, body_text; joined: ld_employment,
+#                  ld_experience; location, summary (parts of meta_text)
+#   again:         named_title split by a pattern, both groups cleaned once more:
+#                  again_company, again_title
+#   fields():      the six posting fields
+
+
 @dataclass(frozen=True)
 class SiteRule:
     name: str
     domain: str
+    title_text: Callable[[], Column]
     raw: Callable[[], Raw]
     fields: Callable[[], Fields]
     reads_linked_data: bool = True
-    # Texts to clean once more after the first decoding, see ``again_*`` columns.
-    again: Callable[[], titles.Named] | None = None
+    separator: str | None = None
+    again: str | None = None
     # A page on which the rules cannot work: the error's name, else NULL.
     error: Callable[[], Column] | None = None
     disable_ssl_verify: bool = False
     refetch_canonical: bool = False
 
 
-# Columns the rules read. ``ld_*`` and ``named_*`` are decoded and whitespace-clean.
-TITLE_TAG = "title_tag"
-PAGE_TITLE = "page_title"
-META = "meta_description"
-
-
-def _c(name: str) -> Column:
-    return F.col(name)
-
-
-def _ld_location() -> Column:
-    return ld.place_name(_c("ld_region"), _c("ld_locality"))
-
-
 def _markup_description() -> Column:
     """Linked-data description as an HTML fragment, else the meta description."""
-    return F.coalesce(blank_to_null(tidy_lines(_c("raw_description"))), _c("meta_text"))
+    return F.coalesce(blank_to_null(tidy_lines(_c("description"))), _c("meta_text"))
 
 
 def _plain_description() -> Column:
-    return F.coalesce(collapse(_c("raw_description")), _c("meta_text"))
+    return F.coalesce(collapse(_c("description")), _c("meta_text"))
 
 
-def _or(kept: Column, *others: Column) -> Column:
-    """``kept`` unless it is empty and another value is there."""
-    return F.coalesce(blank_to_null(kept), *others, kept)
+def _or(kept: str, other: Column) -> Column:
+    """A column unless it is empty and another value is there."""
+    return F.coalesce(blank_to_null(_c(kept)), other, _c(kept))
 
 
 def _wanted_raw() -> Raw:
-    named = titles.wanted_title(_c(TITLE_TAG))
-    return Raw(named.company, named.title, drop_tags(_c("ld_description")))
+    title = titles.without_bracket(_c("title_text"), _c("bracket"))
+    return Raw(_c("bracket"), title, drop_tags(_c("ld_description")))
 
 
 def _wanted_fields() -> Fields:
     return Fields(
         F.coalesce(_c("ld_company"), _c("named_company")),
         F.coalesce(_c("ld_title"), _c("named_title")),
-        _ld_location(),
+        _c("location"),
         _c("ld_employment"),
         _c("ld_experience"),
         _markup_description(),
@@ -113,112 +118,137 @@ def _wanted_fields() -> Fields:
 
 
 def _groupby_raw() -> Raw:
-    return Raw(
-        title=titles.groupby_title(_c(PAGE_TITLE)), description=drop_tags(_c("ld_description"))
-    )
+    return Raw(title=_c("title_text"), description=drop_tags(_c("ld_description")))
 
 
 def _groupby_fields() -> Fields:
     return Fields(
         _c("ld_company"),
         F.coalesce(_c("ld_title"), _c("named_title")),
-        _ld_location(),
+        _c("location"),
         _c("ld_employment"),
-        titles.groupby_experience(_c(TITLE_TAG)),
+        titles.groupby_experience(_c("title_tag")),
         _markup_description(),
     )
 
 
+def _saramin_raw() -> Raw:
+    return Raw()
+
+
 def _saramin_fields() -> Fields:
-    described = titles.saramin_description(_c("meta_text"))
+    own = first_filled(titles.after_bracket(_c("title_text")), _c("title_text"))
     return Fields(
-        company_name=first_filled(titles.bracket_company(_c(PAGE_TITLE)), described.company),
-        title=first_filled(titles.saramin_title(_c(PAGE_TITLE)), described.title),
-        experience_level=described.experience,
+        company_name=first_filled(_c("bracket"), item(_c("summary"), 0)),
+        title=first_filled(own, item(_c("summary"), 1)),
+        experience_level=titles.saramin_experience(_c("meta_text")),
         description_text=_c("meta_text"),
     )
 
 
 def _catch_raw() -> Raw:
-    named = titles.catch_title(_c(PAGE_TITLE))
-    return Raw(named.company, named.title, _c("ld_description"))
+    title = titles.catch_title(_c("title_text"), _c("bracket"))
+    return Raw(_c("bracket"), title, _c("ld_description"))
 
 
 def _catch_fields() -> Fields:
     company = F.coalesce(_c("ld_company"), _c("named_company"))
     title = F.coalesce(_c("ld_title"), _c("named_title"))
-    summary = titles.catch_summary(_c("meta_text"))
     return Fields(
         company,
-        without_prefix(title, F.concat(F.lit("["), company, F.lit("]"))),
-        _or(_ld_location(), summary.location),
-        _or(_c("ld_employment"), summary.employment),
-        _or(_c("ld_experience"), summary.experience),
+        titles.without_bracket(title, company),
+        _or("location", item(_c("summary"), 4)),
+        _or("ld_employment", item(_c("summary"), 1)),
+        _or("ld_experience", item(_c("summary"), 0)),
         _plain_description(),
     )
 
 
 def _catch_error() -> Column:
     # A description of nothing but encoded blanks has no parts to read.
-    return F.when((_c(META) != "") & _c("meta_text").isNull(), "AttributeError")
+    return F.when((_c("meta_description") != "") & _c("meta_text").isNull(), "AttributeError")
 
 
 def _jobkorea_raw() -> Raw:
     return Raw(
-        title=titles.jobkorea_title(_c(PAGE_TITLE)),
+        title=_c("title_text"),
         description=_c("ld_description"),
-        experience=titles.jobkorea_experience(_c(META)),
+        experience=titles.jobkorea_experience(_c("meta_description")),
     )
 
 
 def _jobkorea_fields() -> Fields:
-    split = titles.jobkorea_split(_c("named_title"))
     company = F.coalesce(_c("ld_company"), _c("again_company"))
+    split = F.regexp_like("named_title", F.lit(titles.COMPANY_THEN_BRACKET))
     title = F.coalesce(
-        _c("ld_title"),
-        F.when(split.title.isNotNull(), _c("again_title")).otherwise(_c("named_title")),
+        _c("ld_title"), F.when(split, _c("again_title")).otherwise(_c("named_title"))
     )
-    known = blank_to_null(_c("ld_experience"))
+    # An experience mark decides even if nothing but blanks is left of its text.
+    marked = F.when(
+        titles.jobkorea_experience(_c("meta_description")).isNotNull(), _c("named_experience")
+    ).otherwise(_c("ld_experience"))
     return Fields(
         company,
         without_prefix(title, company),
-        _ld_location(),
+        _c("location"),
         None,
-        F.when(known.isNotNull(), known)
-        .when(_c("raw_experience").isNotNull(), collapse(_c("raw_experience")))
-        .otherwise(_c("ld_experience")),
+        F.coalesce(blank_to_null(_c("ld_experience")), marked),
         _plain_description(),
     )
 
 
 # Domains and flags, in the order they are tried.
 SITES: tuple[SiteRule, ...] = (
-    SiteRule("wanted", "wanted.co.kr", _wanted_raw, _wanted_fields),
+    SiteRule(
+        "wanted",
+        "wanted.co.kr",
+        lambda: titles.wanted_text(_c("title_tag")),
+        _wanted_raw,
+        _wanted_fields,
+    ),
     SiteRule(
         "saramin",
         "saramin.co.kr",
-        Raw,
+        lambda: titles.saramin_text(_c("page_title")),
+        _saramin_raw,
         _saramin_fields,
         reads_linked_data=False,
+        separator=",",
         disable_ssl_verify=True,
         refetch_canonical=True,
     ),
-    SiteRule("groupby", "groupby.kr", _groupby_raw, _groupby_fields),
+    SiteRule(
+        "groupby",
+        "groupby.kr",
+        lambda: titles.groupby_text(_c("page_title")),
+        _groupby_raw,
+        _groupby_fields,
+    ),
     SiteRule(
         "jobkorea",
         "jobkorea.co.kr",
+        lambda: titles.jobkorea_text(_c("page_title")),
         _jobkorea_raw,
         _jobkorea_fields,
-        again=lambda: titles.jobkorea_split(_c("named_title")),
+        again=titles.COMPANY_THEN_BRACKET,
+    ),
+    SiteRule(
+        "catch",
+        "catch.co.kr",
+        lambda: titles.catch_text(_c("page_title")),
+        _catch_raw,
+        _catch_fields,
+        separator=r"\|",
+        error=_catch_error,
     ),
-    SiteRule("catch", "catch.co.kr", _catch_raw, _catch_fields, error=_catch_error),
 )
 
 # Hosts without a rule of their own.
 OTHER = SiteRule(
     "",
     "",
-    lambda: Raw(title=_c(PAGE_TITLE)),
+    lambda: _c("page_title"),
+    lambda: Raw(title=_c("title_text")),
     lambda: Fields(
         title=_c("named_title"), description_text=F.coalesce(_c("meta_text"), _c("body_text"))
     ),
@@ -229,7 +259,7 @@ OTHER = SiteRule(
 def site_of(url: Column, sites: tuple[SiteRule, ...] = SITES) -> Column:
     """Name of the first site whose domain occurs in the URL's authority, else NULL."""
     host = authority(url)
-    name = F.when(F.lit(False), no_text())
+    name = F.when(F.lit(False), F.lit(None).cast("string"))
     for site in sites:
         name = name.when(F.contains(host, F.lit(site.domain)), site.name)
     return name
@@ -240,9 +270,13 @@ def site_flag(site: Column, flag: str, sites: tuple[SiteRule, ...] = SITES) -> C
     return F.coalesce(site.isin(*on), F.lit(False))
 
 
-def _by_site(pick: Callable[[SiteRule], Column | None], sites: tuple[SiteRule, ...]) -> Column:
+def _by_site(
+    pick: Callable[[SiteRule], Column | None],
+    sites: tuple[SiteRule, ...],
+    kind: str = "string",
+) -> Column:
     """One column: what ``pick`` gives for the row's site, NULL where it gives none."""
-    chain = F.when(F.lit(False), no_text())
+    chain = F.when(F.lit(False), F.lit(None).cast(kind))
     for site in sites:
         column = pick(site)
         if column is not None:
@@ -251,92 +285,142 @@ def _by_site(pick: Callable[[SiteRule], Column | None], sites: tuple[SiteRule, .
     return chain if other is None else chain.when(F.col("site").isNull(), other)
 
 
-def extract_fields(pages: DataFrame, sites: tuple[SiteRule, ...] = SITES) -> DataFrame:
-    """Adds the six posting fields and ``extract_error`` to pages with signals.
+# Texts decoded together, in this order; the last two keep their line breaks.
+_CLEAN = (
+    "named_company",
+    "named_title",
+    "named_experience",
+    "meta_text",
+    "ld_company",
+    "ld_title",
+    "ld_region",
+    "ld_locality",
+)
+_DECODED = (*_CLEAN, "description", "body")
+_TEXT_FIELD = ("description_text",)
+_LD_TEXTS = ("company", "title", "region", "locality", "description")
 
-    Needs ``url``, the page signals and ``body_text``. All decoding happens in two
-    Arrow passes, whatever the number of sites: one over every raw text, one over the
-    texts that are cleaned twice.
+
+def _settled(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Adds or replaces columns through a generator of one row.
+
+    Between two Python steps the optimizer would merge all projections and repeat each
+    expression for every later use. It does not look through a generator.
     """
-    kept = pages.columns
+    named = F.struct(*[column.alias(name) for name, column in columns.items()])
+    kept = [name for name in rows.columns if name not in columns]
+    return rows.select(*kept, F.inline(F.array(named)))
+
+
+def _linked_data(rows: DataFrame) -> DataFrame:
+    """Texts and joined lists of the linked-data posting, and whether one is no text."""
     posting = F.col("_posting")
-    places = pages.withColumns(
+    values = rows.withColumns(
         {
-            "site": site_of(F.col("url"), sites),
-            "page_title": first_filled(F.col("og_title"), F.col("title_tag")),
+            "_ld_company": ld.part(posting, "$.hiringOrganization.name"),
+            "_ld_title": ld.part(posting, "$.title"),
+            "_ld_description": ld.part(posting, "$.description"),
+            "_ld_region": ld.of_first_place(posting, "addressRegion"),
+            "_ld_locality": ld.of_first_place(posting, "addressLocality"),
+            "_employment": ld.part(posting, "$.employmentType"),
+            "_experience": ld.part(posting, "$.experienceRequirements"),
         }
     )
-    reads = F.col("site").isin(*[site.name for site in sites if site.reads_linked_data])
-    parsed = places.withColumn("_posting", F.when(reads, F.try_parse_json("job_ld")))
-    parts = parsed.withColumns(
+    mistyped = [ld.is_mistyped(F.col(f"_ld_{name}")) for name in _LD_TEXTS]
+    return values.withColumns(
         {
-            "_company": ld.part(posting, "$.hiringOrganization.name"),
-            "_title": ld.part(posting, "$.title"),
-            "_description": ld.part(posting, "$.description"),
-            "_address": ld.address(posting),
-            "ld_employment": ld.joined(posting, "employmentType"),
-            "ld_experience": ld.joined(posting, "experienceRequirements"),
+            "_mistyped": reduce(Column.__or__, mistyped),
+            **{f"ld_{name}": ld.as_text(F.col(f"_ld_{name}")) for name in _LD_TEXTS},
+            "ld_employment": ld.joined(F.col("_employment")),
+            "ld_experience": ld.joined(F.col("_experience")),
         }
-    ).withColumns(
+    )
+
+
+def extract_fields(pages: DataFrame, sites: tuple[SiteRule, ...] = SITES) -> DataFrame:
+    """Adds ``site``, the six posting fields, ``stored_text`` and ``extract_error``.
+
+    Needs pages with their facts. ``stored_text`` is the description, or the page's
+    text without one, cleaned as curated documents hold it.
+
+    Every intermediate text is a column of its own, as the rules use most of them more
+    than once. Decoding takes two Arrow passes whatever the number of sites: one over
+    an array of all raw texts, one over the texts that are cleaned twice.
+    """
+    kept = pages.columns
+    rules = (*sites, OTHER)
+
+    def by_rule(made: dict, name: str) -> Column:
+        return _by_site(lambda site: getattr(made[site.name], name), sites)
+
+    def lists(pick: Callable[[SiteRule], Column | None]) -> Column:
+        return _by_site(pick, sites, "array<string>")
+
+    rows = pages.withColumns(
         {
-            "_region": ld.part(F.col("_address"), "$.addressRegion"),
-            "_locality": ld.part(F.col("_address"), "$.addressLocality"),
+            "site": site_of(F.col("url"), sites),
+            "page_title": first_filled(F.col("og_title"), F.col("title_tag")),
         }
     )
-    typed = ("_company", "_title", "_description", "_region", "_locality")
-    mistyped = F.lit(False)
-    for name in typed:
-        mistyped = mistyped | ld.is_mistyped(F.col(name))
-    texts = parts.withColumns(
+    reads = F.col("site").isin(*[site.name for site in sites if site.reads_linked_data])
+    rows = rows.withColumns(
         {
-            "_mistyped": mistyped,
-            "ld_description": ld.as_text(F.col("_description")),
-            **{f"_text{name}": ld.as_text(F.col(name)) for name in typed if name != "_description"},
+            "_posting": F.when(reads, F.try_parse_json("job_ld")),
+            "title_text": _by_site(lambda site: site.title_text(), sites),
         }
     )
-    raws = {site.name: site.raw() for site in (*sites, OTHER)}
-    undecoded = texts.withColumns(
+    rows = _linked_data(rows.withColumn("bracket", titles.bracket(F.col("title_text"))))
+
+    raws = {rule.name: rule.raw() for rule in rules}
+    named = [by_rule(raws, name) for name in ("company", "title", "experience")]
+    linked = [F.col(name) for name in _CLEAN[4:]]
+    texts = F.array(
+        *named, F.col("meta_description"), *linked, by_rule(raws, "description"), "body_markup"
+    )
+    rows = rows.withColumn("_raw", texts).withColumn("_decoded", unescape_all(F.col("_raw")))
+    rows = rows.withColumn("_clean", F.transform("_decoded", collapse))
+    rows = _settled(
+        rows,
         {
-            f"raw_{name}": _by_site(lambda site, n=name: getattr(raws[site.name], n), sites)
-            for name in ("company", "title", "description", "experience")
-        }
+            **{name: item(F.col("_clean"), at) for at, name in enumerate(_CLEAN)},
+            "description": item(F.col("_decoded"), _DECODED.index("description")),
+            "body_text": F.left(
+                tidy_lines(item(F.col("_decoded"), _DECODED.index("body"))), F.lit(BODY_LENGTH)
+            ),
+        },
     )
-    decoded = undecoded.withColumns(
+
+    fields = {rule.name: rule.fields() for rule in rules}
+    rows = rows.withColumns(
         {
-            **{f"raw_{n}": unescape(F.col(f"raw_{n}")) for n in ("description", "experience")},
-            "named_company": normalize(F.col("raw_company")),
-            "named_title": normalize(F.col("raw_title")),
-            "meta_text": normalize(F.col("meta_description")),
-            "ld_company": normalize(F.col("_text_company")),
-            "ld_title": normalize(F.col("_text_title")),
-            "ld_region": normalize(F.col("_text_region")),
-            "ld_locality": normalize(F.col("_text_locality")),
+            "summary": lists(
+                lambda site: site.separator and titles.parts(F.col("meta_text"), site.separator)
+            ),
+            "location": ld.place_name(F.col("ld_region"), F.col("ld_locality")),
+            "_groups": lists(
+                lambda site: site.again
+                and F.array(*[F.regexp_extract("named_title", site.again, at) for at in (1, 2)])
+            ),
+            "_described": by_rule(fields, "description_text"),
         }
     )
-    agains = {site.name: site.again() for site in sites if site.again}
-
-    def again(name: str) -> Column:
-        return _by_site(
-            lambda site: getattr(agains[site.name], name) if site.name in agains else None, sites
-        )
-
-    cleaned = decoded.withColumns(
-        {"_again_company": again("company"), "_again_title": again("title")}
-    ).withColumns(
+    stored = first_filled(F.col("_described"), F.col("body_text"))
+    rows = rows.withColumn(
+        "_raw", F.array(item(F.col("_groups"), 0), item(F.col("_groups"), 1), stored)
+    ).withColumn("_decoded", unescape_all(F.col("_raw")))
+    rows = rows.withColumn("_clean", F.transform("_decoded", collapse)).withColumns(
         {
-            "again_company": normalize(F.col("_again_company")),
-            "again_title": normalize(F.col("_again_title")),
+            name: item(F.col("_clean"), at)
+            for at, name in enumerate(("again_company", "again_title", "stored_text"))
         }
     )
-    fields = {site.name: site.fields() for site in (*sites, OTHER)}
     errors = {site.name: site.error() for site in sites if site.error}
-    return cleaned.select(
+    return rows.select(
         *kept,
         "site",
-        *[
-            _by_site(lambda site, n=name: getattr(fields[site.name], n), sites).alias(name)
-            for name in POSTING_FIELDS
-        ],
+        *[by_rule(fields, name).alias(name) for name in POSTING_FIELDS if name not in _TEXT_FIELD],
+        F.col("_described").alias("description_text"),
+        "stored_text",
         F.coalesce(
             F.when(F.col("_mistyped"), "TypeError"), _by_site(lambda s: errors.get(s.name), sites)
         ).alias("extract_error"),

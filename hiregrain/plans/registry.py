@@ -255,17 +255,20 @@ def ld_fields(spark, sf_dir):
     found = read.select("page_id", F.try_parse_json("s.job_ld").alias("posting")).where(
         "posting IS NOT NULL"
     )
-    address = ld.address(posting)
+
+    def text(value: Column) -> Column:
+        return normalize(ld.as_text(value))
+
     return found.select(
         "page_id",
-        normalize(ld.as_text(ld.part(posting, "$.hiringOrganization.name"))).alias("company_name"),
-        normalize(ld.as_text(ld.part(posting, "$.title"))).alias("title"),
+        text(ld.part(posting, "$.hiringOrganization.name")).alias("company_name"),
+        text(ld.part(posting, "$.title")).alias("title"),
         ld.place_name(
-            normalize(ld.as_text(ld.part(address, "$.addressRegion"))),
-            normalize(ld.as_text(ld.part(address, "$.addressLocality"))),
+            text(ld.of_first_place(posting, "addressRegion")),
+            text(ld.of_first_place(posting, "addressLocality")),
         ).alias("location"),
-        ld.joined(posting, "employmentType").alias("employment_type"),
-        ld.joined(posting, "experienceRequirements").alias("experience_level"),
+        ld.joined(ld.part(posting, "$.employmentType")).alias("employment_type"),
+        ld.joined(ld.part(posting, "$.experienceRequirements")).alias("experience_level"),
     )
 
 
