@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,7 @@ class Worker:
     max_retry: int = MAX_RETRY
     sites: tuple[SiteRule, ...] = SITES
     clock: Callable[[], datetime] = utc_now
+    name: str = "worker"
 
     def _done(self, spark: SparkSession, gated: DataFrame, batch_id: int) -> DataFrame:
         done = self.layers.curated.read_other_batches(spark, batch_id).select(
@@ -60,34 +62,34 @@ class Worker:
         days = [row.dt for row in live.limit(MAX_LISTED_DAYS + 1).collect()]
         return done.where(F.col("dt").isin(days)) if len(days) <= MAX_LISTED_DAYS else done
 
+    def _keeper(self, spark: SparkSession) -> Callable[[DataFrame], DataFrame]:
+        """Stores a step's result where the same step of the last batch was stored.
+
+        A batch's steps are read several times and their plans would pile up; a table
+        ends the plan, outlives lost executors and needs no more room than one batch.
+        """
+        steps = count()
+
+        def keep(rows: DataFrame) -> DataFrame:
+            path = f"{self.layers.root}/work/{self.name}/step={next(steps)}"
+            rows.write.mode("overwrite").parquet(path)
+            return spark.read.schema(rows.schema).parquet(path)
+
+        return keep
+
     def process(self, messages: DataFrame, batch_id: int) -> None:
-        held: list[DataFrame] = []
-
-        def hold(rows: DataFrame) -> DataFrame:
-            """Cached for this batch only; a lost part is worked out again."""
-            held.append(rows.persist())
-            return rows
-
-        try:
-            self._process(messages, batch_id, hold)
-        finally:
-            for rows in held:
-                rows.unpersist()
-
-    def _process(
-        self, messages: DataFrame, batch_id: int, hold: Callable[[DataFrame], DataFrame]
-    ) -> None:
         spark = messages.sparkSession
+        keep = self._keeper(spark)
         now = F.lit(self.clock()).cast("timestamp")
         pages = self.pages(spark)
-        gated = hold(gate_and_key(messages, self.max_retry).drop("key", "value"))
+        gated = keep(gate_and_key(messages, self.max_retry).drop("key", "value"))
         done = self._done(spark, gated, batch_id)
-        routed = hold(route(gated, pages, done, self.sites, hold))
+        routed = keep(route(gated, pages, done, self.sites, keep))
         fetched = routed.where(F.col("outcome").isin(SUCCESS, CURATED_FAILED))
         self.layers.raw.write_batch(raw_documents(fetched, pages), batch_id)
         self.layers.processed.write_batch(processed_documents(fetched, now), batch_id)
         self.topics.write(
-            failure_messages(routed, iso_utc(now)), FAILURE_TOPIC, "worker", batch_id
+            failure_messages(routed, iso_utc(now)), FAILURE_TOPIC, self.name, batch_id
         )
         counts = routed.groupBy("outcome").agg(F.count(F.lit(1)).alias("message_count"))
         self.layers.outcomes.write_batch(counts, batch_id)
