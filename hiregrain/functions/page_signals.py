@@ -29,8 +29,9 @@ _POSTING_KEYS = (
     "experienceRequirements",
     "description",
 )
-# A page can only carry a signal whose marker it contains; encoded attribute
-# values could hide a marker, so such pages are searched for everything.
+# A page can only carry a signal whose marker it contains. Character references in an
+# attribute could hide a marker, so pages with such are searched for everything; only
+# numeric references and these names stand for characters that occur in markers.
 _MARKERS = {
     "title_tag": re.compile("<title", re.I),
     "og_title": re.compile("og:title"),
@@ -38,6 +39,7 @@ _MARKERS = {
     "canonical_href": re.compile("canonical"),
     "job_ld": re.compile(r"ld\+json"),
 }
+_HIDING = ("&#", "&plus", "&sol", "&colon")
 _ENCODED = re.compile(
     r"""\b(?:name|property|rel|type)\s*=\s*(?:"[^"&]*&|'[^'&]*&|[^\s"'>&]*&)""", re.I
 )
@@ -174,7 +176,7 @@ class PageReader(HTMLParser):
 
 
 def page_signals(page: str) -> dict[str, str | None]:
-    if _ENCODED.search(page):
+    if any(mark in page for mark in _HIDING) and _ENCODED.search(page):
         wanted = set(_MARKERS)
     else:
         wanted = {name for name, marker in _MARKERS.items() if marker.search(page)}

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The characters counted as whitespace (the Unicode set, with the
-# four ASCII separators U+001C to U+001F). First as a regex class body, then spelled out.
-WS = r"\t-\r\x1c-\x1f \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# four ASCII separators U+001C to U+001F). First as a regex class body for patterns that
+# start with ``(?U)``, then spelled out.
+WS = r"\s\x1c-\x1f"
 WS_CHARS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
@@ -57,7 +58,7 @@ def strip(text: Column) -> Column:
 
 
 def blank_to_null(text: Column) -> Column:
-    return F.when(text != "", text)
+    return F.nullif(text, F.lit(""))
 
 
 def first_filled(*texts: Column) -> Column:
@@ -67,7 +68,7 @@ def first_filled(*texts: Column) -> Column:
 
 def collapse(text: Column) -> Column:
     """Squeeze whitespace of already decoded text; nothing left becomes NULL."""
-    return blank_to_null(strip(F.regexp_replace(text, f"[{WS}]+", " ")))
+    return F.nullif(strip(F.regexp_replace(text, f"(?U)[{WS}]+", " ")), F.lit(""))
 
 
 def normalize(text: Column) -> Column:
@@ -77,14 +78,14 @@ def normalize(text: Column) -> Column:
 
 def drop_tags(text: Column) -> Column:
     """Line breaks for block ends, a space for any other tag; entities are left alone."""
-    broken = F.regexp_replace(text, f"(?i)<br[{WS}]*/?>", "\n")
+    broken = F.regexp_replace(text, f"(?iU)<br[{WS}]*/?>", "\n")
     ended = F.regexp_replace(broken, "(?i)</(?:p|div|li|h[1-4])>", "\n")
     return F.regexp_replace(ended, "<[^>]++>", " ")
 
 
 def tidy_lines(text: Column) -> Column:
     """Keep at most one blank line between lines of decoded text and squeeze blanks."""
-    one_gap = F.regexp_replace(text, f"\n[{WS}]*\n+", "\n\n")
+    one_gap = F.regexp_replace(text, f"(?U)\n[{WS}]*\n+", "\n\n")
     return strip(F.regexp_replace(one_gap, "[ \t]+", " "))
 
 

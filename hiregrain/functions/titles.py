@@ -17,11 +17,11 @@ def _without_tail(text: Column, tail: str) -> Column:
 
 
 def _without_site(text: Column, separator: str, site: str) -> Column:
-    return _without_tail(text, rf"[{WS}]*{separator}[{WS}]*{site}[{WS}]*$")
+    return _without_tail(text, rf"(?U)[{WS}]*{separator}[{WS}]*{site}[{WS}]*$")
 
 
 def wanted_text(title: Column) -> Column:
-    return _without_tail(_without_site(title, r"\|", "원티드"), rf"[{WS}]*채용 공고[{WS}]*$")
+    return _without_tail(_without_site(title, r"\|", "원티드"), rf"(?U)[{WS}]*채용 공고[{WS}]*$")
 
 
 def catch_text(title: Column) -> Column:
@@ -30,7 +30,7 @@ def catch_text(title: Column) -> Column:
 
 def saramin_text(title: Column) -> Column:
     """Site suffix first, deadline mark second; in the other order both would stay."""
-    return _without_tail(_without_site(title, "-", "사람인"), rf"\(D-{DIGIT}+\)[{WS}]*$")
+    return _without_tail(_without_site(title, "-", "사람인"), rf"(?U)\(D-{DIGIT}+\)[{WS}]*$")
 
 
 def jobkorea_text(title: Column) -> Column:
@@ -54,17 +54,17 @@ def without_bracket(text: Column, company: Column) -> Column:
 
 
 def catch_title(text: Column, company: Column) -> Column:
-    title = _without_tail(without_bracket(text, company), rf"[{WS}]*채용[{WS}]*$")
-    return _without_tail(title, rf"[{WS}]*\(~[^)]*\)[{WS}]*$")
+    title = _without_tail(without_bracket(text, company), rf"(?U)[{WS}]*채용[{WS}]*$")
+    return _without_tail(title, rf"(?U)[{WS}]*\(~[^)]*\)[{WS}]*$")
 
 
 def after_bracket(text: Column) -> Column:
     """What follows a leading bracket on the same line; NULL if it is another shape."""
-    return strip(capture(text, rf"^\[[^\n]*?\][{WS}]*([^\n]*)\z"))
+    return strip(capture(text, rf"(?U)^\[[^\n]*?\][{WS}]*([^\n]*)\z"))
 
 
 # ``company [title]`` of a cleaned title, with the company as group 1.
-COMPANY_THEN_BRACKET = rf"^([^\n]*?)[{WS}]+(\[[^\n]*\][^\n]*)\z"
+COMPANY_THEN_BRACKET = rf"(?U)^([^\n]*?)[{WS}]+(\[[^\n]*\][^\n]*)\z"
 
 
 def parts(description: Column, separator: str) -> Column:
@@ -74,11 +74,11 @@ def parts(description: Column, separator: str) -> Column:
 
 
 def saramin_experience(description: Column) -> Column:
-    return strip(capture(description, rf"경력:[{WS}]*([^,]+)"))
+    return strip(capture(description, rf"(?U)경력:[{WS}]*([^,]+)"))
 
 
 def jobkorea_experience(description: Column) -> Column:
-    return capture(description, rf"경력[{WS}]*:[{WS}]*([^,]+)")
+    return capture(description, rf"(?U)경력[{WS}]*:[{WS}]*([^,]+)")
 
 
 def groupby_experience(title: Column) -> Column:

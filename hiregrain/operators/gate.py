@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hiregrain.functions.linked_data import is_kind, part
+from hiregrain.operators.steps import settled
 
 REQUIRED_JOB_FIELDS = ("job_id", "source", "url", "collected_at")
 
@@ -27,15 +28,21 @@ def text_of(value: Column) -> Column:
     return value.cast("string")
 
 
-def strict_json(text: Column) -> Column:
-    """The one JSON value of ``text`` as VARIANT, NULL if anything else surrounds it.
+def with_strict_json(messages: DataFrame, name: str) -> DataFrame:
+    """Adds the one JSON value of ``value`` as VARIANT; NULL for any other bytes.
 
-    The parser ignores what follows the first value. Wrapped once as a list item and
-    once as an object member, a text with such a rest fails at least one of the two.
+    Spark's parser ignores what follows the first value. So the text is parsed as one
+    of two members of an object, both named after the text's own hash, which the text
+    cannot contain: whatever it closes, adds or leaves open, there are no longer
+    exactly these two.
     """
-    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("\n]")))
-    member = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("\n}")))
-    return F.when(listed.isNotNull() & member.isNotNull(), part(member, "$.v"))
+    text, mark = text_of(F.col("value")), F.md5("value")
+    wrapped = F.concat(F.lit('{"'), mark, F.lit('v":'), text, F.lit('\n,"'), mark, F.lit('e":0}'))
+    members = F.try_variant_get(F.try_parse_json(wrapped), "$", "map<string,variant>")
+    readable = F.coalesce(F.is_valid_utf8(text), F.lit(False))
+    parsed = settled(messages, {"_utf8": readable, "_members": F.when(readable, members)})
+    value = F.try_element_at(F.col("_members"), F.concat(mark, F.lit("v")))
+    return settled(parsed, {name: F.when(F.size("_members") == 2, value)}).drop("_members")
 
 
 def _shape_name(value: Column) -> Column:
@@ -68,8 +75,7 @@ def gate_jobs(messages: DataFrame) -> DataFrame:
     Every message comes out again; nothing in one can make the job fail.
     """
     text = text_of(F.col("value"))
-    readable = messages.withColumn("_utf8", F.coalesce(F.is_valid_utf8(text), F.lit(False)))
-    parsed = readable.withColumn("job", F.when(F.col("_utf8"), strict_json(text)))
+    parsed = with_strict_json(messages, "job")
     job = F.col("job")
     fields = parsed.withColumns(
         {
@@ -89,27 +95,28 @@ def gate_jobs(messages: DataFrame) -> DataFrame:
         .when(missing != "", F.concat(F.lit("missing required fields: "), missing))
     )
     counted = part(job, "$.retry_count")
-    return fields.withColumns(
+    return settled(
+        fields,
         {
             "malformed_reason": reason,
             "retry_count": retry_count(job),
             "bad_retry_count": counted.isNotNull()
             & F.try_variant_get(job, "$.retry_count", "bigint").isNull(),
             "raw_message": F.left(F.make_valid_utf8(text), F.lit(_RAW_MESSAGE_LIMIT)),
-        }
+        },
     ).drop("_utf8", "_object")
 
 
 def gate_failures(messages: DataFrame) -> DataFrame:
     """Adds ``rejected`` and the parsed ``payload`` and ``job`` of failure messages."""
-    text = text_of(F.col("value"))
-    payload = F.when(F.coalesce(F.is_valid_utf8(text), F.lit(False)), strict_json(text))
-    parsed = messages.withColumn("payload", payload)
-    job = part(F.col("payload"), "$.job")
-    return parsed.withColumns(
+    parsed = with_strict_json(messages, "payload").drop("_utf8")
+    payload = F.col("payload")
+    job = F.when(is_kind(part(payload, "$.job"), "OBJECT"), part(payload, "$.job"))
+    return settled(
+        parsed,
         {
-            "rejected": ~is_kind(F.col("payload"), "OBJECT"),
-            "job": F.when(is_kind(job, "OBJECT"), job),
-            "message": text,
-        }
+            "rejected": ~is_kind(payload, "OBJECT"),
+            "job": job,
+            "message": text_of(F.col("value")),
+        },
     )

@@ -29,7 +29,7 @@ def page_facts(pages: DataFrame) -> DataFrame:
     others = [name for name in pages.columns if name != "html"]
     read = pages.select("*", F.inline(F.array(signals_of(html))))
     sure = F.coalesce(
-        F.regexp_like("meta_description", F.lit(f"^[{WS}]*[^{WS}&]")), F.lit(False)
+        F.regexp_like("meta_description", F.lit(f"(?U)^[{WS}]*[^{WS}&]")), F.lit(False)
     )
     return read.withColumns(
         {

@@ -26,6 +26,7 @@ from hiregrain.functions.text import (
     without_prefix,
 )
 from hiregrain.functions.urls import authority
+from hiregrain.operators.steps import settled
 from hiregrain.schemas import POSTING_FIELDS
 
 BODY_LENGTH = 2000
@@ -301,17 +302,6 @@ _TEXT_FIELD = ("description_text",)
 _LD_TEXTS = ("company", "title", "region", "locality", "description")
 
 
-def _settled(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """Adds or replaces columns through a generator of one row.
-
-    Between two Python steps the optimizer would merge all projections and repeat each
-    expression for every later use. It does not look through a generator.
-    """
-    named = F.struct(*[column.alias(name) for name, column in columns.items()])
-    kept = [name for name in rows.columns if name not in columns]
-    return rows.select(*kept, F.inline(F.array(named)))
-
-
 def _linked_data(rows: DataFrame) -> DataFrame:
     """Texts and joined lists of the linked-data posting, and whether one is no text."""
     posting = F.col("_posting")
@@ -378,11 +368,10 @@ def extract_fields(pages: DataFrame, sites: tuple[SiteRule, ...] = SITES) -> Dat
         *named, F.col("meta_description"), *linked, by_rule(raws, "description"), "body_markup"
     )
     rows = rows.withColumn("_raw", texts).withColumn("_decoded", unescape_all(F.col("_raw")))
-    rows = rows.withColumn("_clean", F.transform("_decoded", collapse))
-    rows = _settled(
+    rows = settled(
         rows,
         {
-            **{name: item(F.col("_clean"), at) for at, name in enumerate(_CLEAN)},
+            **{name: collapse(item(F.col("_decoded"), at)) for at, name in enumerate(_CLEAN)},
             "description": item(F.col("_decoded"), _DECODED.index("description")),
             "body_text": F.left(
                 tidy_lines(item(F.col("_decoded"), _DECODED.index("body"))), F.lit(BODY_LENGTH)
@@ -408,9 +397,9 @@ def extract_fields(pages: DataFrame, sites: tuple[SiteRule, ...] = SITES) -> Dat
     rows = rows.withColumn(
         "_raw", F.array(item(F.col("_groups"), 0), item(F.col("_groups"), 1), stored)
     ).withColumn("_decoded", unescape_all(F.col("_raw")))
-    rows = rows.withColumn("_clean", F.transform("_decoded", collapse)).withColumns(
+    rows = rows.withColumns(
         {
-            name: item(F.col("_clean"), at)
+            name: collapse(item(F.col("_decoded"), at))
             for at, name in enumerate(("again_company", "again_title", "stored_text"))
         }
     )

@@ -220,17 +220,17 @@ def canonical_refetch(spark, sf_dir):
 
 
 def page_titles(spark, sf_dir):
-    pages = standins.table(spark, sf_dir, "pages")
+    pages = standins.spread_table(spark, sf_dir, "pages")
     return pages.select("page_id", signals_of("html").alias("s")).select("page_id", "s.title_tag")
 
 
 def page_text(spark, sf_dir):
-    pages = standins.table(spark, sf_dir, "pages")
+    pages = standins.spread_table(spark, sf_dir, "pages")
     return pages.select("page_id", html_to_text(F.col("html")).alias("page_text"))
 
 
 def page_hash(spark, sf_dir):
-    pages = standins.table(spark, sf_dir, "pages")
+    pages = standins.spread_table(spark, sf_dir, "pages")
     fields = extract_fields(page_facts(pages))
     return curation.final_description(fields).select("page_id", "content_hash")
 

@@ -34,6 +34,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table on all cores: a file too small to be split would keep one core busy.
+
+    Tables with at least as many splits as cores are read as they lie, without a shuffle.
+    """
+    rows = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def _turn(column: str, by: int) -> Column:
     return F.col(column) % by
 
@@ -163,7 +173,7 @@ def job_rows(events: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return job_rows(table(spark, sf_dir, "events"), table(spark, sf_dir, "pages"))
+    return job_rows(spread_table(spark, sf_dir, "events"), table(spark, sf_dir, "pages"))
 
 
 def page_url(number: Column) -> Column:
@@ -293,7 +303,7 @@ def failure_rows(events: DataFrame) -> DataFrame:
 
 
 def failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return failure_rows(table(spark, sf_dir, "events"))
+    return failure_rows(spread_table(spark, sf_dir, "events"))
 
 
 class EventTopics(FolderTopics):
@@ -389,7 +399,7 @@ def site_pages(spark: SparkSession, sf_dir: str, site: str) -> DataFrame:
     Shape 0 has full linked data, shape 1 titles and a description only, shape 2 linked
     data without title and company.
     """
-    documents = table(spark, sf_dir, "documents")
+    documents = spread_table(spark, sf_dir, "documents")
     number, shape = _str("doc_id"), _turn("doc_id", 3)
     role = _cat("Role ", number)
     org = _cat("Org ", _str(_turn("doc_id", 50)))
@@ -520,7 +530,7 @@ def redirecting_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     The others name themselves, a page nobody fetched, or nothing. One of the four
     canonical pages could not be fetched.
     """
-    documents = table(spark, sf_dir, "documents")
+    documents = spread_table(spark, sf_dir, "documents")
     base = "https://www.saramin.co.kr/"
     own = _cat(base, "jobs/", _str("doc_id"))
     target = _pick(_turn("doc_id", 4), ("view", "jobs", "gone", "none"))
