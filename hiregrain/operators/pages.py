@@ -15,6 +15,7 @@ from hiregrain.schemas import SIGNALS
 from hiregrain.session import cut
 
 PREVIEW_LENGTH = 500
+NOT_FETCHED = "not_fetched"
 
 FACTS = ("html_length", "text_preview", *SIGNALS.fieldNames(), "body_markup")
 
@@ -71,7 +72,7 @@ def fetch_outcome(pages: DataFrame) -> DataFrame:
     error = fetch_error_type(F.col("error_class"), F.col("status_code"), F.col("error_message"))
     return pages.withColumns(
         {
-            "fetch_error": F.when(failed, error).when(absent, "not_fetched"),
+            "fetch_error": F.when(failed, error).when(absent, NOT_FETCHED),
             "fetch_message": F.when(failed, F.coalesce("error_message", F.lit(""))).when(
                 absent, "no page was fetched for this url"
             ),

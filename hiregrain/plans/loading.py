@@ -32,7 +32,9 @@ class Staging:
     @property
     def rows(self) -> Table:
         schema = T.StructType([*STAGING.fields, T.StructField("loaded_date", T.DateType())])
-        return Table(f"{self.root}/stg_job_postings", schema, ("loaded_date",))
+        # A load has one date, so gathering its rows by date would only move them.
+        path = f"{self.root}/stg_job_postings"
+        return Table(path, schema, ("loaded_date",), gathered=False)
 
     @property
     def loaded_keys(self) -> Table:

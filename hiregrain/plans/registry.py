@@ -23,7 +23,7 @@ from hiregrain.operators.dead_letters import (
 from hiregrain.operators.gate import gate_jobs
 from hiregrain.operators.latest import clean_postings, merge_latest
 from hiregrain.operators.marts import mart_daily, mart_source_quality, quality_counts, quality_flags
-from hiregrain.operators.pages import fetch_outcome, page_facts, resolve_pages
+from hiregrain.operators.pages import NOT_FETCHED, fetch_outcome, page_facts, resolve_pages
 from hiregrain.operators.sites import extract_fields, site_flag, site_of
 from hiregrain.operators.skew import salted_left_join
 from hiregrain.plans import standins
@@ -203,11 +203,14 @@ def domain_route(spark, sf_dir):
 
 
 def fetch_errors(spark, sf_dir):
+    """Every job with the class of its page's failure; html stays out of the join."""
     jobs = standins.jobs(spark, sf_dir).select("event_id", "url")
-    joined = salted_left_join(
-        jobs, standins.page_fetch(spark, sf_dir), ["url"], F.col("event_id")
+    fetched = fetch_outcome(standins.page_fetch(spark, sf_dir)).select(
+        "url", "fetch_error", F.lit(True).alias("known")
     )
-    return fetch_outcome(joined).select("event_id", "fetch_error")
+    joined = salted_left_join(jobs, fetched, ["url"], F.col("event_id"))
+    absent = F.when(F.col("known").isNull(), NOT_FETCHED)
+    return joined.select("event_id", F.coalesce(absent, F.col("fetch_error")).alias("fetch_error"))
 
 
 def canonical_refetch(spark, sf_dir):

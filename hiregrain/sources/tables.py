@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,14 +15,22 @@ BATCH = "batch_id"
 class Table:
     """A folder of parquet files with a declared schema.
 
-    ``batched`` tables have a first partition level ``batch_id``: writing a batch
-    replaces whatever an interrupted try of the same batch left behind.
+    ``batched`` tables have a last partition level ``batch_id``: writing a batch
+    replaces whatever an interrupted try of the same batch left in the same folders.
+    ``gathered`` tables are shuffled by partition before writing, so that the number of
+    files stays near the number of folders; a folder with very many rows is split over
+    tasks at run time.
     """
 
     path: str
     schema: T.StructType
     partitions: tuple[str, ...] = ()
     batched: bool = False
+    gathered: bool = True
+
+    def _full_schema(self) -> T.StructType:
+        batch = [T.StructField(BATCH, T.LongType())] if self.batched else []
+        return T.StructType([*self.schema.fields, *batch])
 
     def create(self, spark: SparkSession) -> "Table":
         """Make the folder if nobody has; an existing table is left as it is."""
@@ -32,26 +40,34 @@ class Table:
 
     def read(self, spark: SparkSession) -> DataFrame:
         """All rows; a missing or unreadable folder is an error, never an empty table."""
-        schema = self.schema
-        if self.batched:
-            schema = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-        return spark.read.schema(schema).parquet(self.path)
+        return spark.read.schema(self._full_schema()).parquet(self.path)
+
+    def read_first_level(self, spark: SparkSession, values: list[str]) -> DataFrame:
+        """Rows of some values of the first partition, without listing other folders."""
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        files = path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+        if not files.exists(path(self.path)):
+            raise FileNotFoundError(self.path)
+        folders = [f"{self.path}/{self.partitions[0]}={value}" for value in values]
+        found = [folder for folder in folders if files.exists(path(folder))]
+        if not found:
+            return spark.createDataFrame([], self._full_schema())
+        reader = spark.read.schema(self._full_schema()).option("basePath", self.path)
+        return reader.parquet(*found)
 
-    def _writer(self, rows: DataFrame) -> DataFrameWriter:
+    def _rows(self, rows: DataFrame) -> DataFrame:
         chosen = rows.select(*self.schema.fieldNames())
-        if self.partitions:
-            # One shuffle keeps the number of files near the number of folders; a folder
-            # with very many rows is split over tasks at run time.
-            chosen = chosen.hint("rebalance", *self.partitions)
-        return chosen.write.partitionBy(*self.partitions)
+        gather = self.gathered and self.partitions
+        return chosen.hint("rebalance", *self.partitions) if gather else chosen
 
     def append(self, rows: DataFrame) -> None:
-        self._writer(rows).mode("append").parquet(self.path)
+        self._rows(rows).write.partitionBy(*self.partitions).mode("append").parquet(self.path)
 
     def write_batch(self, rows: DataFrame, batch_id: int) -> None:
-        self._writer(rows).mode("overwrite").parquet(f"{self.path}/{BATCH}={batch_id}")
-
-    def read_other_batches(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """What was there before ``batch_id`` started, also when it is being redone."""
-        rows = self.read(spark)
-        return rows.where(~F.col(BATCH).eqNullSafe(batch_id)).drop(BATCH)
+        batch = self._rows(rows).withColumn(BATCH, F.lit(batch_id).cast("long"))
+        (
+            batch.write.partitionBy(*self.partitions, BATCH)
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .parquet(self.path)
+        )

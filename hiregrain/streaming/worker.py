@@ -27,6 +27,7 @@ from hiregrain.operators.routing import (
 )
 from hiregrain.operators.sites import SITES, SiteRule
 from hiregrain.sources.lake import Layers
+from hiregrain.sources.tables import BATCH
 from hiregrain.sources.topics import FAILURE_TOPIC, FETCH_TOPIC, Topics
 
 # Beyond this many days in one batch the lookup of done jobs reads all days.
@@ -55,12 +56,16 @@ class Worker:
     name: str = "worker"
 
     def _done(self, spark: SparkSession, gated: DataFrame, batch_id: int) -> DataFrame:
-        done = self.layers.curated.read_other_batches(spark, batch_id).select(
-            "dt", F.col("posting_id").alias("job_id")
-        )
+        """Identities documented by other batches, on the days of this batch only."""
         live = gated.where("outcome IS NULL").select("dt").distinct()
         days = [row.dt for row in live.limit(MAX_LISTED_DAYS + 1).collect()]
-        return done.where(F.col("dt").isin(days)) if len(days) <= MAX_LISTED_DAYS else done
+        curated = self.layers.curated
+        if len(days) > MAX_LISTED_DAYS:
+            rows = curated.read(spark)
+        else:
+            rows = curated.read_first_level(spark, days)
+        others = rows.where(~F.col(BATCH).eqNullSafe(batch_id))
+        return others.select("dt", F.col("posting_id").alias("job_id"))
 
     def _keeper(self, spark: SparkSession) -> Callable[[DataFrame], DataFrame]:
         """Stores a step's result where the same step of the last batch was stored.
