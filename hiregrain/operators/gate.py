@@ -72,6 +72,8 @@ def retry_count(job: Column) -> Column:
 def gate_jobs(messages: DataFrame) -> DataFrame:
     """Adds ``malformed_reason`` (NULL = good), the job's fields and its whole JSON.
 
+    ``raw_message`` is the text of a malformed message, cut as failures carry it.
+
     Every message comes out again; nothing in one can make the job fail.
     """
     text = text_of(F.col("value"))
@@ -102,7 +104,9 @@ def gate_jobs(messages: DataFrame) -> DataFrame:
             "retry_count": retry_count(job),
             "bad_retry_count": counted.isNotNull()
             & F.try_variant_get(job, "$.retry_count", "bigint").isNull(),
-            "raw_message": F.left(F.make_valid_utf8(text), F.lit(_RAW_MESSAGE_LIMIT)),
+            "raw_message": F.when(
+                reason.isNotNull(), F.left(F.make_valid_utf8(text), F.lit(_RAW_MESSAGE_LIMIT))
+            ),
         },
     ).drop("_utf8", "_object")
 

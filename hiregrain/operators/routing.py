@@ -39,7 +39,9 @@ def early_outcome(limit: int = MAX_RETRY) -> Column:
 
 
 def gate_and_key(messages: DataFrame, limit: int = MAX_RETRY) -> DataFrame:
-    return with_keys(gate_jobs(messages)).withColumn("outcome", early_outcome(limit))
+    """Messages with what routing needs of them; their bytes are not carried along."""
+    gated = with_keys(gate_jobs(messages)).withColumn("outcome", early_outcome(limit))
+    return gated.drop("key", "value", "timestamp")
 
 
 def route(

@@ -229,7 +229,7 @@ def done_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The given pages as crawl results; nine kinds of failure among them."""
-    pages = table(spark, sf_dir, "pages")
+    pages = spread_table(spark, sf_dir, "pages")
     kind = _turn("page_id", 12)
 
     def by_kind(values: dict[int, Column]) -> Column:

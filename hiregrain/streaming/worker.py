@@ -87,7 +87,7 @@ class Worker:
         keep = self._keeper(spark)
         now = F.lit(self.clock()).cast("timestamp")
         pages = self.pages(spark)
-        gated = keep(gate_and_key(messages, self.max_retry).drop("key", "value"))
+        gated = keep(gate_and_key(messages, self.max_retry))
         done = self._done(spark, gated, batch_id)
         routed = keep(route(gated, pages, done, self.sites, keep))
         fetched = routed.where(F.col("outcome").isin(SUCCESS, CURATED_FAILED))
