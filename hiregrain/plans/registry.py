@@ -31,7 +31,6 @@ from hiregrain.plans.loading import Staging, load_increment, new_keys, staging_r
 from hiregrain.schemas import LOAD_CHECKPOINT, POSTING_FIELDS
 from hiregrain.session import cut, pin, shared_dir
 from hiregrain.sources.lake import Layers, TableDocuments
-from hiregrain.sources.tables import Table
 from hiregrain.sources.topics import FETCH_TOPIC
 from hiregrain.streaming.failures import Archive, Replay, start_failure_trend
 from hiregrain.streaming.worker import Worker
@@ -346,7 +345,8 @@ def _worked(spark, sf_dir) -> Layers:
     layers = Layers(root).create(spark)
     done = standins.done_keys(spark, sf_dir).withColumnRenamed("job_id", "posting_id")
     blank = {f.name: F.lit(None).cast("string") for f in layers.curated.schema.fields}
-    layers.curated.write_batch(done.withColumns({n: c for n, c in blank.items() if n not in done.columns}), -1)
+    missing = {name: null for name, null in blank.items() if name not in done.columns}
+    layers.curated.write_batch(done.withColumns(missing), -1)
     worker = Worker(
         layers,
         standins.EventTopics(f"{root}/topics", sf_dir),
