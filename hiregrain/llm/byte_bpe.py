@@ -14,12 +14,15 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
-import pyarrow as pa
 import public_tokenizers
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,8 +36,16 @@ CHUNK = 1 << 16
 OVERLAP = 1 << 10
 #: The pattern looks this many characters past the end of a piece at most.
 LOOK_AHEAD = 4
-#: Pieces that a task keeps encoded.
-CACHE = 300_000
+#: Pieces whose ids a worker process keeps (about 200 bytes each).
+CACHE = 600_000
+#: Bytes from which a piece is merged with a heap.
+LONG_PIECE = 200
+#: Texts with a character from here on are split by the ``regex`` pattern as it is.
+PLANE = "\U00010000"
+#: How ids are packed.
+ID = np.dtype("<i4")
+#: Stands for no rank.
+NONE = 1 << 62
 FIELDS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -44,94 +55,188 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines)}
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one piece: of all neighbours, the pair of the lowest rank is joined, the first
-    one of equals, until no pair has a rank."""
-    whole = ranks.get(piece)
-    if whole is not None:
-        return [whole]
-    if len(piece) > 200:
-        return merge_long(piece, ranks)
-    parts = [piece[i : i + 1] for i in range(len(piece))]
-    none = len(ranks)
-    pairs = [ranks.get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
-    while pairs:
-        least = min(pairs)
-        if least == none:
-            break
-        at = pairs.index(least)
-        parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        del pairs[at]
-        if at:
-            pairs[at - 1] = ranks.get(parts[at - 1] + parts[at], none)
-        if at < len(pairs):
-            pairs[at] = ranks.get(parts[at] + parts[at + 1], none)
-    return [ranks[part] for part in parts]
-
-
-def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+def pair_table(ranks: dict[bytes, int]) -> dict[int, int]:
+    """The rank of every two ids (packed in one number) that join to a string of the vocabulary."""
+    pairs = {}
+    for string, rank in ranks.items():
+        for cut in range(1, len(string)):
+            left, right = ranks.get(string[:cut]), ranks.get(string[cut:])
+            if left is not None and right is not None:
+                pairs[left << 32 | right] = rank
+    return pairs
+
+
+class Pairs:
+    """The table of pairs as sorted arrays, and densely for two bytes."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.table = pair_table(ranks)
+        self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.keys = np.array(sorted(self.table), np.int64)
+        self.ranks = np.array([self.table[key] for key in self.keys.tolist()], np.int64)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left << 32 | np.maximum(right, 0)
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((self.keys[at] == key) & (left >= 0) & (right >= 0), self.ranks[at], NONE)
+
+
+def merge(pieces: list[bytes], pairs: Pairs) -> list[bytes]:
+    """Ids of each piece, packed as ID: of all neighbours, the pair of the lowest rank is joined, the first
+    one of equals, until no pair has a rank. Pieces of like length take each step together."""
+    out = [b""] * len(pieces)
+    sizes = np.array([len(piece) for piece in pieces], np.int64)
+    for low, high in zip((0, 6, 9, 13, 20, 40, 80), (6, 9, 13, 20, 40, 80, LONG_PIECE), strict=True):
+        rows = np.flatnonzero((sizes > low) & (sizes <= high))
+        for start in range(0, len(rows), 1 << 15):
+            own = rows[start : start + (1 << 15)]
+            padded = b"".join(pieces[i].ljust(high, b"\0") for i in own.tolist())
+            parts = pairs.bytes[np.frombuffer(padded, np.uint8).reshape(-1, high)]
+            parts[np.arange(high) >= sizes[own][:, None]] = -1
+            for i, ids in zip(own.tolist(), _merged(parts, pairs), strict=True):
+                out[i] = ids
+    for i in np.flatnonzero(sizes > LONG_PIECE).tolist():
+        parts = pairs.bytes[np.frombuffer(pieces[i], np.uint8)].tolist()
+        out[i] = np.array(merge_long(parts, pairs.table), ID).tobytes()
+    return out
+
+
+def _merged(parts: np.ndarray, pairs: Pairs) -> list[bytes]:
+    """``parts``: ids of the bytes of a piece in each row, filled up with -1."""
+    n, width = parts.shape
+    ended: list[np.ndarray] = []
+    order: list[np.ndarray] = []
+    live, columns = np.arange(n), np.arange(width)
+    ranked = np.full((n, width), NONE)
+    ranked[:, :-1] = pairs.rank(parts[:, :-1].ravel(), parts[:, 1:].ravel()).reshape(n, -1)
+    while len(live):
+        at = ranked.argmin(1)
+        least = ranked[np.arange(len(live)), at]
+        more = least != NONE
+        if not more.all():
+            ended.append(parts[~more])
+            order.append(live[~more])
+            parts, ranked, live, at, least = (x[more] for x in (parts, ranked, live, at, least))
+        here = np.arange(len(live))
+        parts[here, at] = least
+        shift = np.minimum(columns + (columns > at[:, None]), width - 1)
+        parts = np.take_along_axis(parts, shift, 1)
+        parts[:, -1] = -1
+        shift = np.minimum(columns + (columns >= at[:, None]), width - 1)
+        ranked = np.take_along_axis(ranked, shift, 1)
+        ranked[:, -1] = NONE
+        after = np.minimum(at + 1, width - 1)
+        ranked[here, at] = np.where(at + 1 < width, pairs.rank(least, parts[here, after]), NONE)
+        before = np.maximum(at - 1, 0)
+        ranked[here, before] = np.where(
+            at > 0, pairs.rank(parts[here, before], least), ranked[here, before]
+        )
+    rows = np.concatenate(ended)[np.argsort(np.concatenate(order))]
+    size, packed = ID.itemsize, rows.astype(ID).tobytes()
+    starts = np.arange(n) * (width * size)
+    stops = starts + (rows >= 0).sum(1) * size
+    return [packed[i:j] for i, j in zip(starts.tolist(), stops.tolist(), strict=True)]
+
+
+def merge_long(parts: list[int], pairs: dict[int, int]) -> list[int]:
     """The same with a heap of pairs, for pieces of any length."""
-    import heapq
-
-    n = len(piece)
+    n = len(parts)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    parts: list[bytes | None] = [piece[i : i + 1] for i in range(n)]
-    heap = []
+    heap: list[tuple[int, int, int, int]] = []
 
     def offer(i: int) -> None:
-        j = after[i]
-        if j < n:
-            joined = parts[i] + parts[j]
-            rank = ranks.get(joined)
+        if after[i] < n:
+            rank = pairs.get(parts[i] << 32 | parts[after[i]])
             if rank is not None:
-                heapq.heappush(heap, (rank, i, joined))
+                heapq.heappush(heap, (rank, i, parts[i], parts[after[i]]))
 
     for i in range(n - 1):
         offer(i)
     while heap:
-        _, i, joined = heapq.heappop(heap)
-        if parts[i] is None or after[i] >= n or parts[i] + parts[after[i]] != joined:
-            continue
+        rank, i, left, right = heapq.heappop(heap)
         j = after[i]
-        parts[i], parts[j] = joined, None
+        if parts[i] != left or j >= n or parts[j] != right:
+            continue  # one of the two has been joined to another meanwhile
+        parts[i], parts[j] = rank, -1
         after[i] = after[j]
         if after[j] < n:
             before[after[j]] = i
         offer(i)
         if before[i] >= 0:
             offer(before[i])
-    return [ranks[part] for part in parts if part is not None]
+    return [part for part in parts if part >= 0]
+
+
+def characters(kind: str) -> str:
+    """The code points below PLANE of a Unicode property as ranges for a character class."""
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, ord(PLANE))]))
+    found = (m.group() for m in regex.finditer(rf"\p{{{kind}}}+", every))
+    return "".join(f"\\u{ord(run[0]):04x}-\\u{ord(run[-1]):04x}" for run in found)
+
+
+def plain_pattern(pattern: str) -> str:
+    """``pattern`` for ``re``, which is faster: Unicode properties and spaces as ranges. Right
+    for texts below PLANE. Surrogates inside a range do not matter: no text has them."""
+    out, inside, at = [], False, 0
+    for found in re.finditer(r"\\p\{(\w+)\}|\\[sS]|\\.|[\[\]]", pattern):
+        out.append(pattern[at : found.start()])
+        at, token = found.end(), found.group()
+        if token.startswith(r"\p") or token in (r"\s", r"\S"):
+            own = characters(found.group(1) or "White_Space")
+            if inside and token == r"\S":
+                raise ValueError("a class with \\S can't be written as ranges")
+            out.append(own if inside else f"[{'^' * (token == chr(92) + 'S')}{own}]")
+        else:
+            inside = {"[": True, "]": False}.get(token, inside)
+            out.append(token)
+    return "".join(out) + pattern[at:]
 
 
 class Codec:
     """Encodes pieces, and decodes ids, of one vocabulary."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks = ranks
-        self.split = regex.compile(pattern).findall
-        self.ends = regex.compile(pattern).finditer
+    def __init__(self, ranks: dict[bytes, int], plain: str, pattern: str):
+        self.ranks, self.pairs = ranks, Pairs(ranks)
+        self.plain, self.full = re.compile(plain), regex.compile(pattern)
+        self.known: dict[str, bytes] = {}
         self.strings: list[bytes] = [b""] * (max(ranks.values(), default=-1) + 1)
         for string, rank in ranks.items():
             self.strings[rank] = string
-        self.known: dict[str, list[int]] = {}
         self.decimal = [b"%d" % rank for rank in range(len(self.strings))]
+        self.packed = [np.array(rank, ID).tobytes() for rank in range(len(self.strings))]
+
+    def split(self, text: str) -> list[str]:
+        return self._pattern(text).findall(text)
+
+    def ends(self, text: str) -> list[int]:
+        return [found.end() for found in self._pattern(text).finditer(text)]
+
+    def _pattern(self, text: str):
+        return self.plain if text.isascii() or max(text) < PLANE else self.full
+
+    def encode(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """Ids of several texts, given as pieces."""
+        known = self.known
+        if len(known) > CACHE:
+            known.clear()
+        new = list({piece for pieces in texts for piece in pieces if piece not in known})
+        raw = [piece.encode() for piece in new]
+        whole = [self.ranks.get(x) for x in raw]
+        known.update((x, self.packed[rank]) for x, rank in zip(new, whole, strict=True) if rank is not None)
+        rest = [i for i, rank in enumerate(whole) if rank is None]
+        known.update(zip((new[i] for i in rest), merge([raw[i] for i in rest], self.pairs), strict=True))
+        get = known.__getitem__
+        return [np.frombuffer(b"".join(map(get, pieces)), ID) for pieces in texts]
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        return b"".join(map(self.strings.__getitem__, ids.tolist()))
 
-    def encode(self, pieces: list[str]) -> list[int]:
-        known, ids = self.known, []
-        for piece in pieces:
-            own = known.get(piece)
-            if own is None:
-                if len(known) >= CACHE:
-                    known.clear()
-                own = known[piece] = merge(piece.encode(), self.ranks)
-            ids += own
-        return ids
+    def joined(self, ids: np.ndarray) -> bytes:
+        return b",".join(map(self.decimal.__getitem__, ids.tolist()))
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.strings.__getitem__, ids))
 
-    def joined(self, ids: list[int]) -> bytes:
-        return b",".join(map(self.decimal.__getitem__, ids))
+#: The codec a worker process made last; the tasks that follow in it use its pieces again.
+_LATEST: list[tuple[int, Codec]] = []
 
 
 @dataclass
@@ -139,17 +244,22 @@ class Source:
     """A vocabulary file's ranks and the pattern, sent once to each executor (about 1 MB)."""
 
     ranks: dict[bytes, int]
+    plain: str
     pattern: str
+    number: int
 
     def codec(self) -> Codec:
-        return Codec(self.ranks, self.pattern)
+        if not _LATEST or _LATEST[0][0] != self.number:
+            _LATEST[:] = [(self.number, Codec(self.ranks, self.plain, self.pattern))]
+        return _LATEST[0][1]
 
 
 def source(path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> Source:
-    return Source(read_ranks(path or public_tokenizers.path(VOCABULARY)), pattern)
+    ranks, plain = read_ranks(path or public_tokenizers.path(VOCABULARY)), plain_pattern(pattern)
+    return Source(ranks, plain, pattern, hash((pattern, frozenset(ranks.items()))))
 
 
-def _digest(codec: Codec, ids: list[int]) -> tuple[int, str, str]:
+def _digest(codec: Codec, ids: np.ndarray) -> tuple[int, str, str]:
     joined, raw = codec.joined(ids), codec.decode(ids)
     return len(ids), hashlib.sha256(joined).hexdigest(), hashlib.sha256(raw).hexdigest()
 
@@ -162,7 +272,7 @@ def encoded_whole(docs: DataFrame, source_: Source, keep_ids: bool) -> DataFrame
         codec = sent.value.codec()
 
         def work(texts):
-            ids = [codec.encode(codec.split((text or b"").decode())) for text in texts]
+            ids = codec.encode([codec.split((text or b"").decode()) for text in texts])
             digests = [_digest(codec, own) for own in ids]
             out = [pa.array(x) for x in zip(*digests, strict=True)]
             return [*out, pa.array(ids, pa.list_(pa.int32()))] if keep_ids else out
@@ -199,7 +309,7 @@ def piece_ends(rows: DataFrame, source_: Source) -> DataFrame:
             own = zip(*(batch.column(c).to_pylist() for c in ("start", "chars", "last")), strict=True)
             for start, chars, last in own:
                 sure = len(chars) - (0 if last else LOOK_AHEAD)
-                ends.append([start + m.end() for m in codec.ends(chars) if m.end() <= sure])
+                ends.append([start + end for end in codec.ends(chars) if end <= sure])
             columns = [*batch.columns, pa.array(ends, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
@@ -233,13 +343,11 @@ def encoded_chunks(rows: DataFrame, source_: Source) -> DataFrame:
             out = []
             for row in batch.to_pylist():
                 start, begin, end = row["start"], row["begin"], row["end"]
-                ids: list[int] = []
+                cuts, chars = [], row["chars"]
                 if row["synchronised"]:
                     cuts = [begin, *[e for e in row["ends"] if begin < e <= end]]
-                    chars = row["chars"]
-                    pieces = [chars[a - start : b - start] for a, b in zip(cuts, cuts[1:], strict=False)]
-                    ids = codec.encode(pieces)
-                out.append(ids)
+                out.append([chars[a - start : b - start] for a, b in zip(cuts, cuts[1:], strict=False)])
+            out = codec.encode(out)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), batch.column("k"), pa.array(out, pa.list_(pa.int32())), batch.column("synchronised")],
                 names=["key", "k", "ids", "synchronised"],
@@ -285,7 +393,7 @@ def encoded(
         for batch in batches:
             for start in range(len(batch)):
                 one = batch.slice(start, 1)
-                found = _digest(codec, one.column("ids")[0].as_py())
+                found = _digest(codec, np.array(one.column("ids")[0].as_py(), ID))
                 arrays = [one.column("key"), *[pa.array([x]) for x in found], one.column("ids")]
                 yield pa.RecordBatch.from_arrays(
                     arrays, names=["key", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
