@@ -4,8 +4,10 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import compare, open_tables
+from hiregrain.plans.oracles import ORACLES
+from hiregrain.plans.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -18,7 +20,7 @@ def database():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
@@ -27,7 +29,7 @@ def test_entry(spark):
     assert result.count() > 0
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, database, name):
     rows, missing, extra = compare(spark, database, SF_DIR, name)
     assert not missing and not extra
