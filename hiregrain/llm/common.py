@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -33,6 +34,13 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder: for what is too wide for ``stored``."""
+    place = f"{shared_folder(df.sparkSession)}/step-{uuid.uuid4().hex}"
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
+
+
 def checked_broadcast(small: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``small`` with a broadcast hint if it has at most ``limit`` rows; otherwise as it is.
 
