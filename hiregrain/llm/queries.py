@@ -1,13 +1,31 @@
 """The queries of the numbered operators and their SQL, for the registry."""
 
-from hiregrain.llm import byte_bpe, decontamination, quality, simhash, toxicity
+from hiregrain.llm import (
+    byte_bpe,
+    class_lm,
+    decontamination,
+    language_id,
+    quality,
+    simhash,
+    toxicity,
+    url_filter,
+    warc_zip,
+)
 
 QUERIES = {
+    "op1_language_id": language_id.op1_language_id,
     "op2_quality_rules": quality.op2_quality_rules,
     "op3_decontamination": decontamination.op3_decontamination,
     "op4_simhash": simhash.op4_simhash,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_class_lm": class_lm.op7_class_lm,
     "op8_byte_bpe": byte_bpe.op8_byte_bpe,
+    "op9_warc_zip": warc_zip.op9_warc_zip,
+    "op10_url_filter": url_filter.op10_url_filter,
 }
 
-ORACLES = {"op3_decontamination": decontamination.OP3_SQL}
+ORACLES = {
+    "op3_decontamination": decontamination.OP3_SQL,
+    "op9_warc_zip": warc_zip.OP9_SQL,
+    "op10_url_filter": url_filter.OP10_SQL,
+}
