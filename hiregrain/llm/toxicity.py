@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import defaultdict
 from dataclasses import dataclass, field
 from zlib import crc32
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from hiregrain.llm.common import per_text, remainder, table
 
 #: The bound of the fit: so many labelled documents of each label, of at most so many bytes.
-FIT_DOCUMENTS = 2000
+FIT_DOCUMENTS = 1500
 FIT_BYTES = 50_000
 #: Scores from here on count as toxic.
 THRESHOLD = 0.7
@@ -38,6 +39,9 @@ MIN_EVIDENCE = 12.0
 MIN_NEIGHBOURS = 4
 STEPS = 25
 RATE = 0.5
+RIDGE = 1e-2
+#: Lengths in bytes of the beginnings of a word that are features.
+BEGINNINGS = range(3, 11)
 #: Words whose weight a task keeps at once.
 CACHE = 400_000
 FIELDS = "score double, toxic_tokens double, spans array<struct<start:int,stop:int,marginal:double>>"
@@ -48,7 +52,7 @@ def forms(word: bytes) -> list[bytes]:
     return [
         b"w" + word,
         b"s" + word[-3:],
-        *[b"p" + word[:k] for k in range(3, 11) if len(word) > k],
+        *[b"p" + word[:k] for k in BEGINNINGS if len(word) > k],
     ]
 
 
@@ -114,78 +118,107 @@ class Chain:
         return odds / (1 + odds)
 
 
-def toxic_forms(texts: list[list[bytes]], labels: np.ndarray) -> set[bytes]:
-    """Words and beginnings of words that mark toxic documents."""
-    seen: list[dict[bytes, int]] = [defaultdict(int), defaultdict(int)]
-    beside: dict[bytes, set[bytes]] = defaultdict(set)
-    for words, label in zip(texts, labels, strict=True):
-        own: set[bytes] = set()
-        for before, word in zip([b"", *words], words, strict=False):
-            marks = [form for form in forms(word) if form[:1] != b"s"]
-            own.update(marks)
-            if label:
-                for mark in marks:
-                    beside[mark].add(before)
-        for mark in own:
-            seen[label][mark] += 1
-    share = max(labels.sum(), 1) / max(len(labels), 1)
-    found = set()
-    for mark, toxic in seen[1].items():
-        clean = seen[0].get(mark, 0)
-        if len(beside[mark]) < MIN_NEIGHBOURS or clean * 50 > toxic:
-            continue
-        rate = toxic / (toxic + clean)
-        evidence = toxic * math.log(rate / share) if rate > share else 0.0
-        if clean:
-            evidence += clean * math.log((1 - rate) / (1 - share))
-        if evidence >= MIN_EVIDENCE:
-            found.add(mark)
+@dataclass
+class Sample:
+    """Labelled documents as numbers of their words."""
+
+    words: list[bytes]
+    flat: np.ndarray
+    lengths: np.ndarray
+    labels: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[bytes], labels: list[int]) -> Sample:
+        index: dict[bytes, int] = {}
+        number = index.setdefault
+        parts = [np.array([number(w, len(index)) for w in tokens(text)], np.int32) for text in texts]
+        lengths = np.array([len(part) for part in parts], np.int64)
+        flat = np.concatenate([*parts, np.zeros(0, np.int32)])
+        return cls(list(index), flat, lengths, np.array(labels, np.int64))
+
+    def part(self, use: np.ndarray) -> Sample:
+        return Sample(
+            self.words, self.flat[np.repeat(use, self.lengths)], self.lengths[use], self.labels[use]
+        )
+
+
+def toxic_words(sample: Sample) -> np.ndarray:
+    """Which words have a form that marks toxic documents: the word or one of its beginnings
+    occurs in them, beside several different words, and in hardly any clean one."""
+    doc = np.repeat(np.arange(len(sample.lengths)), sample.lengths)
+    before = np.concatenate([[-1], sample.flat[:-1]]).astype(np.int64)
+    before[np.cumsum(sample.lengths)[:-1][sample.lengths[1:] > 0]] = -1
+    toxic = sample.labels[doc] == 1
+    share = max(sample.labels.sum(), 1) / max(len(sample.labels), 1)
+    found = np.zeros(len(sample.words), bool)
+    for size in (0, *BEGINNINGS):
+        index: dict[bytes, int] = {}
+        number = index.setdefault
+        # Words of up to this length have no such beginning: they share number 0.
+        number(b"", 0)
+        form = np.array(
+            [number(w if not size else w[:size] if len(w) > size else b"", len(index)) for w in sample.words]
+        )
+        own = form[sample.flat].astype(np.int64)
+        pairs = np.unique(own * len(doc) + doc) if len(doc) else own
+        of_form, of_doc = pairs // max(len(doc), 1), pairs % max(len(doc), 1)
+        seen = np.bincount(of_form, minlength=len(index))
+        hits = np.bincount(of_form[sample.labels[of_doc] == 1], minlength=len(index))
+        span = len(sample.words) + 1
+        beside = np.unique(own[toxic] * span + before[toxic] + 1) // span
+        beside = np.bincount(beside, minlength=len(index))
+        clean = seen - hits
+        rate = np.clip(hits / np.maximum(seen, 1), 1e-9, 1 - 1e-9)
+        evidence = hits * np.log(rate / share) + clean * np.log((1 - rate) / max(1 - share, 1e-9))
+        marks = (rate > share) & (evidence >= MIN_EVIDENCE)
+        marks &= (beside >= MIN_NEIGHBOURS) & (clean * 50 <= hits)
+        marks[0] = False
+        found |= marks[form]
     return found
 
 
-def trained(texts: list[list[bytes]], labels: np.ndarray) -> Chain:
-    """The chain whose likelihood of the labelled tokens is climbed by adaptive gradients."""
-    chain = Chain()
-    marks = toxic_forms(texts, labels)
-    index: dict[bytes, int] = {}
-    number = index.setdefault
-    ids = [[number(word, len(index)) for word in words] for words in texts]
-    lengths = np.array([len(words) for words in ids], np.int64)
-    flat = np.fromiter((x for words in ids for x in words), np.int64, int(lengths.sum()))
+def trained(sample: Sample) -> tuple[Chain, np.ndarray]:
+    """The chain whose likelihood of the labelled tokens is climbed by adaptive gradients, and
+    the weight of each word."""
+    chain, flat, lengths = Chain(), sample.flat, sample.lengths
+    slot_list, sizes = array("i"), array("i")
+    for word in sample.words:
+        own = slots(word)
+        slot_list.extend(own)
+        sizes.append(len(own))
+    slot = np.frombuffer(slot_list, np.int32) if len(slot_list) else np.zeros(0, np.int32)
+    n_words = len(sample.words)
+    owner = np.repeat(np.arange(n_words, dtype=np.int32), np.frombuffer(sizes, np.int32)) if n_words else slot
     if not len(flat):
-        return chain
-    of_word = [slots(word) for word in index]
-    owner = np.repeat(np.arange(len(of_word)), [len(x) for x in of_word])
-    slot = np.concatenate([np.array(x) for x in of_word])
-    marked = np.array([any(form in marks for form in forms(word)) for word in index])
-    truth = marked[flat] & np.repeat(labels.astype(bool), lengths)
+        return chain, np.zeros(n_words)
+    truth = toxic_words(sample)[flat] & np.repeat(sample.labels.astype(bool), lengths)
     layout = Layout(lengths)
-    laid = np.empty(len(flat), bool)
-    laid[layout.place] = truth
-    begins = np.cumsum(lengths) - lengths
-    begins = begins[lengths > 0]
+    begins = (np.cumsum(lengths) - lengths)[lengths > 0]
     inner = np.ones(len(flat), bool)
     inner[begins] = False
-    pair = 2 * truth[:-1].astype(int) + truth[1:]
-    pairs = np.bincount(pair[inner[1:]], minlength=4).reshape(2, 2)
+    inner = inner[1:]
+    pairs = np.bincount((2 * truth[:-1].astype(np.int8) + truth[1:])[inner], minlength=4).reshape(2, 2)
     squares, link_squares, start_square = np.full(1 << BITS, 1e-8), np.full((2, 2), 1e-8), 1e-8
     prior = math.log((truth.sum() + 1) / (len(truth) + 2))
     chain.start, chain.links = prior / 2, np.array([[0.0, prior / 2], [0.0, 0.0]])
     for _ in range(STEPS):
-        weights = np.bincount(owner, chain.theta[slot], len(of_word))[flat]
+        weights = np.bincount(owner, chain.theta[slot], n_words)[flat]
         ahead, back, emit = chain.messages(weights, layout)
         odds = (ahead * back)[layout.place]
         marginal = odds / (1 + odds)
-        gap = np.bincount(flat, truth - marginal, len(of_word))
-        gradient = np.bincount(slot, gap[owner], 1 << BITS) - 1e-2 * chain.theta
+        gap = np.bincount(flat, truth - marginal, n_words)
+        gradient = np.bincount(slot, gap[owner], 1 << BITS) - RIDGE * chain.theta
         # Expected transitions, from the messages on both sides of each.
-        left, right = ahead[layout.place][:-1][inner[1:]], (emit * back)[layout.place][1:][inner[1:]]
-        table_ = np.exp(chain.links)
-        joint = np.stack(
-            [table_[0, 0] + 0 * left, table_[0, 1] * right, table_[1, 0] * left, table_[1, 1] * left * right]
+        left, right = ahead[layout.place][:-1][inner], (emit * back)[layout.place][1:][inner]
+        (a00, a01), (a10, a11) = np.exp(chain.links)
+        whole = a00 + a01 * right + (a10 + a11 * right) * left
+        expected = np.array(
+            [
+                [(a00 / whole).sum(), (a01 * right / whole).sum()],
+                [(a10 * left / whole).sum(), (a11 * left * right / whole).sum()],
+            ]
         )
-        expected = (joint / joint.sum(0)).sum(1).reshape(2, 2)
-        link_gradient = pairs - expected - 1e-2 * chain.links
+        link_gradient = pairs - expected - RIDGE * chain.links
         start_gradient = (truth[begins] - marginal[begins]).sum()
         squares += gradient**2
         link_squares += link_gradient**2
@@ -193,7 +226,7 @@ def trained(texts: list[list[bytes]], labels: np.ndarray) -> Chain:
         chain.theta += RATE * gradient / np.sqrt(squares)
         chain.links = chain.links + RATE * link_gradient / np.sqrt(link_squares)
         chain.start += RATE * start_gradient / math.sqrt(start_square)
-    return chain
+    return chain, np.bincount(owner, chain.theta[slot], n_words)
 
 
 def document_features(marginal: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -225,6 +258,17 @@ class Model:
     chain: Chain
     beta: np.ndarray
 
+    def numbers(self) -> dict:
+        chain = self.chain
+        links = chain.links.ravel().tolist()
+        theta = chain.theta.astype(np.float64).tobytes()
+        return {"theta": theta, "links": links, "start": float(chain.start), "beta": self.beta.tolist()}
+
+    @classmethod
+    def of(cls, numbers: dict) -> Model:
+        theta, links = np.frombuffer(numbers["theta"]), np.array(numbers["links"]).reshape(2, 2)
+        return cls(Chain(theta, links, numbers["start"]), np.array(numbers["beta"]))
+
     def worker(self):
         """Scores blocks of texts; keeps the weights of words it has met."""
         theta = self.chain.theta.tolist()
@@ -282,7 +326,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, most: int = FIT_DOCUM
     """The model of a sample of labelled documents: those with the smallest hash of their id.
 
     ``docs`` has doc_id and text, ``labels`` doc_id and toxic; ``learn`` tells the ids that may
-    be learned from. At most ``most`` documents of each label come to the driver, each of
+    be learned from. At most ``most`` documents of each label are learned from, each of
     FIT_BYTES at most. Without a toxic or a clean one every score is 0.
     """
     rank = F.xxhash64("doc_id")
@@ -292,30 +336,33 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, most: int = FIT_DOCUM
         own = own.orderBy(rank).limit(most)
         chosen = own if chosen is None else chosen.union(own)
     short = docs.where(F.octet_length("text") <= FIT_BYTES).select("doc_id", "text")
-    rows = short.join(F.broadcast(chosen), "doc_id").distinct().orderBy(F.xxhash64("doc_id")).limit(2 * most)
-    sample = rows.collect()
-    toxic = np.array([row["toxic"] for row in sample], np.int64)
-    if not len(toxic) or toxic.min() == toxic.max():
+    rows = short.join(F.broadcast(chosen), "doc_id").distinct().orderBy(rank, "text").limit(2 * most)
+
+    def run(batches):
+        sample = [row for batch in batches for row in batch.to_pylist()]
+        yield pa.RecordBatch.from_pylist([learned(sample).numbers()])
+
+    # One task trains, on an executor: the sample is bounded, and so is the model (2 MB).
+    numbers = "theta binary, links array<double>, start double, beta array<double>"
+    return Model.of(rows.repartition(1).mapInArrow(run, numbers).first().asDict())
+
+
+def learned(rows: list[dict]) -> Model:
+    """The model of labelled documents (doc_id, text, toxic): two thirds train the chain; the
+    rest, unseen by it, fit the score. With few of a label all do both."""
+    rows = sorted(rows, key=lambda row: (row["doc_id"], row["text"]))
+    sample = Sample.of([row["text"].encode() for row in rows], [row["toxic"] for row in rows])
+    if len(set(sample.labels.tolist())) < 2:
         return Model(Chain(), np.array([-30.0, 0, 0, 0]))
-    texts = [tokens(row["text"].encode()) for row in sample]
-    # Two thirds train the chain; the rest, unseen by it, fit the score.
-    held = np.array([crc32(b"fit %d" % (row["doc_id"] or 0)) % 3 == 0 for row in sample])
-    if len(set(toxic[held])) < 2 or len(set(toxic[~held])) < 2:
-        held = np.ones(len(toxic), bool)
-        train = held
+    held = np.array([crc32(b"fit %d" % row["doc_id"]) % 3 == 0 for row in rows])
+    if len(set(sample.labels[held])) < 2 or len(set(sample.labels[~held])) < 2:
+        train = held = np.ones(len(rows), bool)
     else:
         train = ~held
-    chain = trained([t for t, use in zip(texts, train, strict=True) if use], toxic[train])
-    held_texts = [t for t, use in zip(texts, held, strict=True) if use]
-    lengths = np.array([len(words) for words in held_texts], np.int64)
-    cache: dict[bytes, float] = {}
-    for words in held_texts:
-        for word in words:
-            if word not in cache:
-                cache[word] = float(chain.theta[slots(word)].sum())
-    flat = np.array([cache[word] for words in held_texts for word in words], float)
-    features = document_features(chain.marginals(flat, lengths), lengths)
-    return Model(chain, logistic(features, toxic[held]))
+    chain, weights = trained(sample.part(train))
+    own = sample.part(held)
+    features = document_features(chain.marginals(weights[own.flat], own.lengths), own.lengths)
+    return Model(chain, logistic(features, own.labels))
 
 
 def may_learn() -> Column:
