@@ -7,6 +7,7 @@ from hiregrain.llm import (
     language_id,
     quality,
     simhash,
+    token_counts,
     toxicity,
     url_filter,
     warc_zip,
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_quality_rules": quality.op2_quality_rules,
     "op3_decontamination": decontamination.op3_decontamination,
     "op4_simhash": simhash.op4_simhash,
+    "op5_token_counts": token_counts.op5_token_counts,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_class_lm": class_lm.op7_class_lm,
     "op8_byte_bpe": byte_bpe.op8_byte_bpe,
