@@ -269,6 +269,10 @@ class Model:
         theta, links = np.frombuffer(numbers["theta"]), np.array(numbers["links"]).reshape(2, 2)
         return cls(Chain(theta, links, numbers["start"]), np.array(numbers["beta"]))
 
+    @classmethod
+    def unknowing(cls) -> Model:
+        return cls(Chain(), np.array([-30.0, 0, 0, 0]))
+
     def worker(self):
         """Scores blocks of texts; keeps the weights of words it has met."""
         theta = self.chain.theta.tolist()
@@ -344,7 +348,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, most: int = FIT_DOCUM
 
     # One task trains, on an executor: the sample is bounded, and so is the model (2 MB).
     numbers = "theta binary, links array<double>, start double, beta array<double>"
-    return Model.of(rows.repartition(1).mapInArrow(run, numbers).first().asDict())
+    found = rows.repartition(1).mapInArrow(run, numbers).first()
+    return Model.of(found.asDict()) if found else Model.unknowing()
 
 
 def learned(rows: list[dict]) -> Model:
@@ -353,7 +358,7 @@ def learned(rows: list[dict]) -> Model:
     rows = sorted(rows, key=lambda row: (row["doc_id"], row["text"]))
     sample = Sample.of([row["text"].encode() for row in rows], [row["toxic"] for row in rows])
     if len(set(sample.labels.tolist())) < 2:
-        return Model(Chain(), np.array([-30.0, 0, 0, 0]))
+        return Model.unknowing()
     held = np.array([crc32(b"fit %d" % row["doc_id"]) % 3 == 0 for row in rows])
     if len(set(sample.labels[held])) < 2 or len(set(sample.labels[~held])) < 2:
         train = held = np.ones(len(rows), bool)

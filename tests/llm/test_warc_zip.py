@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from hiregrain.llm.common import shared_folder
 from hiregrain.llm.warc_zip import (
-    RECORD,
     ZipWriter,
     archived,
     filesystem,
@@ -92,7 +91,6 @@ def test_many_members_archives_and_ranges(spark):
     spans = record_ranges(found, folder, range_bytes=1500)
     assert spans.count() > 100
     rows = records(spans, folder)
-    assert rows.schema.simpleString().count(":") == RECORD.count(",") + 2
     assert sorted(row["payload_bytes"] for row in rows.collect()) == sorted(k % 700 for k in range(400))
     store, place = filesystem(folder)
     store.delete_dir(place)
