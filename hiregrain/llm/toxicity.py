@@ -271,7 +271,9 @@ class Model:
 
     @classmethod
     def unknowing(cls) -> Model:
-        return cls(Chain(), np.array([-30.0, 0, 0, 0]))
+        """No token is toxic and no text."""
+        chain = Chain(links=np.array([[0.0, -30.0], [0.0, -30.0]]), start=-30.0)
+        return cls(chain, np.array([-30.0, 0, 0, 0]))
 
     def worker(self):
         """Scores blocks of texts; keeps the weights of words it has met."""
