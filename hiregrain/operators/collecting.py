@@ -9,8 +9,6 @@ from hiregrain.functions.text import sha256_hex
 from hiregrain.functions.urls import detail_links
 from hiregrain.schemas import JOB
 
-LINKS_PER_RUN = 20
-
 # URLs of the manual seed run and of the load-test batch.
 SEED_URLS = (
     "https://invalid-url-test-1234.com",
@@ -64,7 +62,7 @@ def listing_links(listing_pages: DataFrame, site: str) -> DataFrame:
     return found.distinct()
 
 
-def first_links(links: DataFrame, limit: int | None = LINKS_PER_RUN) -> DataFrame:
+def first_links(links: DataFrame, limit: int | None = None) -> DataFrame:
     """The first links of each source in code-point order; all of them for ``None``."""
     if limit is None:
         return links
@@ -81,7 +79,7 @@ def collect_jobs(
     site: str,
     batch_id: str,
     collected_at: Column,
-    limit: int | None = LINKS_PER_RUN,
+    limit: int | None = None,
 ) -> DataFrame:
     return job_messages(first_links(listing_links(listing_pages, site), limit), batch_id, collected_at)
 
@@ -99,21 +97,23 @@ def seed_jobs(
     return job_messages(seeds, batch_id, collected_at)
 
 
-def _cycled(spark: SparkSession, count: int, urls: tuple[str, ...], first: int) -> DataFrame:
-    values = F.array(*[F.lit(url) for url in urls])
-    turn = F.get(values, (F.col("id") % len(urls)).cast("int"))
-    return spark.range(count).select(
-        F.lit("load_test").alias("source"),
-        turn.alias("url"),
-        (F.col("id") + first).alias("ordinal"),
-    )
-
-
 def synthetic_jobs(
-    spark: SparkSession, good: int, bad: int, batch_id: str, collected_at: Column
+    tests: DataFrame,
+    batch_id: str,
+    collected_at: Column,
+    good: tuple[str, ...] = GOOD_TEST_URLS,
+    bad: tuple[str, ...] = BAD_TEST_URLS,
 ) -> DataFrame:
-    """``good`` fetchable and ``bad`` failing jobs, taking turns through the URL lists."""
-    urls = _cycled(spark, good, GOOD_TEST_URLS, 0).unionByName(
-        _cycled(spark, bad, BAD_TEST_URLS, good)
+    """A job per row of ``tests(ordinal, fails)``: ordinals take turns through the URLs that can
+    be fetched, or through those that fail."""
+
+    def turn(urls: tuple[str, ...]) -> Column:
+        values = F.array(*[F.lit(url) for url in urls])
+        return F.get(values, F.pmod("ordinal", F.lit(len(urls))).cast("int"))
+
+    urls = tests.select(
+        F.lit("load_test").alias("source"),
+        F.when(F.col("fails"), turn(bad)).otherwise(turn(good)).alias("url"),
+        "ordinal",
     )
     return job_messages(urls, batch_id, collected_at)

@@ -4,19 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hiregrain.functions.text import sha256_hex
 from hiregrain.operators.keys import lake_keys, local_date
 from hiregrain.operators.pages import FACTS, page_facts, resolve_pages
 from hiregrain.operators.sites import SITES, SiteRule, extract_fields
-from hiregrain.operators.skew import salted_left_join
+from hiregrain.operators.skew import checked_broadcast, salted_left_join
 from hiregrain.schemas import CURATED_COLUMNS
 from hiregrain.session import cut
 
-DESCRIPTION_LENGTH = 4000
-
 
 def with_keys(jobs: DataFrame) -> DataFrame:
     """Adds ``dt`` and the three lake keys; all NULL when ``collected_at`` is not ISO-8601."""
@@ -25,14 +23,14 @@ def with_keys(jobs: DataFrame) -> DataFrame:
     )
 
 
-def final_description(pages: DataFrame) -> DataFrame:
-    """The description as stored, capped, and its hash; an empty text has a hash too."""
-    text = F.left(F.coalesce("stored_text", F.lit("")), F.lit(DESCRIPTION_LENGTH))
-    return (
-        pages.withColumn("description_text", text)
-        .withColumn("content_hash", sha256_hex(F.col("description_text")))
-        .drop("stored_text")
-    )
+def final_description(pages: DataFrame, length: int | None = None) -> DataFrame:
+    """The description as stored, whole or cut to ``length``, and the hash of the whole text; an
+    empty text has a hash too."""
+    whole = F.coalesce("stored_text", F.lit(""))
+    text = whole if length is None else F.left(whole, F.lit(length))
+    return pages.withColumns(
+        {"description_text": text, "content_hash": sha256_hex(whole)}
+    ).drop("stored_text")
 
 
 def curate_urls(
@@ -97,18 +95,38 @@ def raw_documents(curated: DataFrame, page_fetch: DataFrame) -> DataFrame:
     """The html each job ended with, joined only here because it is wide."""
     wanted = curated.select("job_id", "source", "dt", "raw_s3_key", "page_url")
     html = page_fetch.select(F.col("url").alias("page_url"), "html")
-    needed = html.join(wanted.select("page_url").distinct(), "page_url", "left_semi")
+    asked_for = checked_broadcast(wanted.select("page_url").distinct())
+    needed = html.join(asked_for, "page_url", "left_semi")
     return salted_left_join(wanted, needed, ["page_url"], F.col("job_id")).drop("page_url")
 
 
+def last_of_batch(rows: DataFrame) -> DataFrame:
+    """The last message of each identity: one object per key, as a keyed store would hold."""
+    latest = Window.partitionBy("source", "dt", "job_id").orderBy(
+        F.col("partition").desc(), F.col("offset").desc()
+    )
+    return rows.withColumn("_rank", F.row_number().over(latest)).where("_rank = 1").drop("_rank")
+
+
+def newest(rows: DataFrame, identity: list[str]) -> DataFrame:
+    """One row per identity: that of the latest ``written_at``, found on narrow columns."""
+    if "written_at" in rows.columns:
+        last = rows.groupBy(*identity).agg(F.max("written_at").alias("written_at"))
+        rows = rows.join(last, [*identity, "written_at"], "left_semi")
+    return rows.dropDuplicates(identity)
+
+
 def reprocess_from_raw(
     raw_pages: DataFrame, jobs: DataFrame, sites: tuple[SiteRule, ...] = SITES
 ) -> DataFrame:
     """Curated documents from stored html after a rule change; nothing is fetched.
 
-    ``raw_pages(source, dt, job_id, html)`` and ``jobs`` with keys share one identity.
+    ``raw_pages(source, dt, job_id, html)`` and ``jobs`` with keys share one identity. Of
+    several raw pages of an identity the one written last (``written_at``, if there is such a
+    column) counts.
     """
     identity = ["source", "dt", "job_id"]
+    raw_pages = newest(raw_pages, identity)
     facts = page_facts(raw_pages.select(*identity, "html"))
     stored = jobs.join(facts, identity)
     return curated_documents(

@@ -17,12 +17,17 @@ def _text(value: Column, field: str) -> Column:
 
 
 def archive_rows(messages: DataFrame, now: Column) -> DataFrame:
-    """One ``dlq_events`` row per readable failure message.
+    """One ``dlq_events`` row per readable failure message."""
+    return event_rows(gate_failures(messages), now)
+
+
+def event_rows(gated: DataFrame, now: Column) -> DataFrame:
+    """One ``dlq_events`` row per readable message of those that went through the gate.
 
     ``failed_at`` and ``retry_count`` get a default only where the key is absent; a JSON
     null stays NULL. ``payload`` is the message as it came.
     """
-    events = gate_failures(messages).where("NOT rejected")
+    events = gated.where("NOT rejected")
     payload, job = F.col("payload"), F.col("job")
     failed_at = F.when(part(payload, "$.failed_at").isNull(), now).otherwise(
         _text(payload, "failed_at")

@@ -20,7 +20,6 @@ _SHAPE_NAMES = {
     "DOUBLE": "float",
     "FLOAT": "float",
 }
-_RAW_MESSAGE_LIMIT = 2000
 _INT_MAX = 2**31 - 1
 
 
@@ -69,10 +68,10 @@ def retry_count(job: Column) -> Column:
     return F.when(counted.isNotNull(), bounded).otherwise(0)
 
 
-def gate_jobs(messages: DataFrame) -> DataFrame:
+def gate_jobs(messages: DataFrame, raw_length: int | None = None) -> DataFrame:
     """Adds ``malformed_reason`` (NULL = good), the job's fields and its whole JSON.
 
-    ``raw_message`` is the text of a malformed message, cut as failures carry it.
+    ``raw_message`` is the text of a malformed message, whole or cut to ``raw_length``.
 
     Every message comes out again; nothing in one can make the job fail.
     """
@@ -97,6 +96,8 @@ def gate_jobs(messages: DataFrame) -> DataFrame:
         .when(missing != "", F.concat(F.lit("missing required fields: "), missing))
     )
     counted = part(job, "$.retry_count")
+    raw = F.make_valid_utf8(text)
+    raw = raw if raw_length is None else F.left(raw, F.lit(raw_length))
     return settled(
         fields,
         {
@@ -104,9 +105,7 @@ def gate_jobs(messages: DataFrame) -> DataFrame:
             "retry_count": retry_count(job),
             "bad_retry_count": counted.isNotNull()
             & F.try_variant_get(job, "$.retry_count", "bigint").isNull(),
-            "raw_message": F.when(
-                reason.isNotNull(), F.left(F.make_valid_utf8(text), F.lit(_RAW_MESSAGE_LIMIT))
-            ),
+            "raw_message": F.when(reason.isNotNull(), raw),
         },
     ).drop("_utf8", "_object")
 

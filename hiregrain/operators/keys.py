@@ -18,10 +18,12 @@ ISO_TIMESTAMP = (
 
 
 def local_date(collected_at: Column) -> Column:
-    """``yyyy-MM-dd`` as written, in the text's own offset; NULL unless it is ISO-8601."""
+    """``yyyy-MM-dd`` as written, in the text's own offset; NULL unless it is an ISO-8601 time
+    that staging can read, so that no document is made that no load can take."""
     digits = F.replace(F.left(collected_at, F.lit(10)), F.lit("-"), F.lit(""))
     date = F.try_to_date(F.left(digits, F.lit(8)), "yyyyMMdd")
-    good = F.regexp_like(collected_at, F.lit(ISO_TIMESTAMP)) & (F.year(date) > 0)
+    loads = F.try_to_timestamp(collected_at).isNotNull()
+    good = F.regexp_like(collected_at, F.lit(ISO_TIMESTAMP)) & (F.year(date) > 0) & loads
     return F.when(good, F.date_format(date, "yyyy-MM-dd"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hiregrain.operators.skew import checked_broadcast
 from hiregrain.schemas import STAGING_COLUMNS
 
 POSTING_KEY = ("source", "original_url")
@@ -34,14 +35,13 @@ def clean_postings(staging: DataFrame) -> DataFrame:
 def merge_latest(current: DataFrame, increment: DataFrame) -> DataFrame:
     """Newest row per posting of an already clean table and new staging rows.
 
-    An aggregate instead of a window: partial results of both inputs are combined
-    before the shuffle, and the clean table can be carried from load to load.
+    Only postings of the increment are looked at again: rows of the clean table with another
+    key pass as they are, without a shuffle while the increment's keys are few enough to send.
     """
     columns = current.columns
-    order = F.struct(*RECENCY)
-    merged = (
-        current.unionByName(increment.select(*columns))
-        .groupBy(*POSTING_KEY)
-        .agg(F.max_by(F.struct(*columns), order).alias("_row"))
-    )
-    return merged.select("_row.*")
+    keys = increment.select(*[F.col(name).alias(f"_{name}") for name in POSTING_KEY]).distinct()
+    keys = checked_broadcast(keys)
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in POSTING_KEY]
+    untouched = current.join(keys, same, "left_anti")
+    contested = current.join(keys, same, "left_semi").unionByName(increment.select(*columns))
+    return untouched.unionByName(latest_rows(contested))

@@ -39,10 +39,15 @@ def failed_stages(events: DataFrame) -> DataFrame:
 
 
 def failure_trend(events: DataFrame) -> DataFrame:
-    """Failures per hour and error type; for streams ``failed_time`` needs a watermark."""
-    return _count(
-        events, "event_count", F.window("failed_time", "1 hour").alias("hour"), "error_type"
-    ).select(F.col("hour.start").alias("failed_hour"), "error_type", "event_count")
+    """Failures per hour and error type; times that are not timestamps count under NULL."""
+    hour = F.date_trunc("hour", F.try_to_timestamp("failed_at")).alias("failed_hour")
+    return _count(events, "event_count", hour, "error_type")
+
+
+def summed_trend(counts: DataFrame) -> DataFrame:
+    """Counts of several batches as one."""
+    total = F.sum("event_count").alias("event_count")
+    return counts.groupBy("failed_hour", "error_type").agg(total)
 
 
 def description_trend(clean: DataFrame) -> DataFrame:

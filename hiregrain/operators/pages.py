@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hiregrain.functions.page_signals import signals_of
 from hiregrain.functions.text import WS, drop_tags
 from hiregrain.operators.sites import SITES, SiteRule, site_flag, site_of
-from hiregrain.operators.skew import salted_left_join
+from hiregrain.operators.skew import checked_broadcast, salted_left_join
 from hiregrain.schemas import SIGNALS
 from hiregrain.session import cut
 
@@ -101,8 +101,11 @@ def resolve_pages(
     once; pages of sites with canonical refetch are stored after parsing because both
     the list of canonical URLs and the final rows are made from them.
     """
-    needed = urls.select("url").join(page_fetch, "url", "left")
-    placed = fetch_outcome(needed).withColumn("site", site_of(F.col("url"), sites))
+    # Crawl results are cut down to the needed ones first, without moving the others: a left
+    # join could not broadcast its left side and would shuffle every page.
+    asked_for = checked_broadcast(urls.select("url"))
+    needed = keep(page_fetch.join(asked_for, "url", "left_semi"))
+    placed = fetch_outcome(urls.select("url").join(needed, "url", "left")).withColumn("site", site_of(F.col("url"), sites))
     facts = page_facts(
         placed.select("url", "site", "html", "fetch_error", "fetch_message")
     ).withColumn("page_url", F.when(F.col("fetch_error").isNull(), F.col("url")))
@@ -117,7 +120,7 @@ def resolve_pages(
     targets = asked.where("_canonical IS NOT NULL").select(F.col("_canonical").alias("url"))
     fetched = page_fetch.where("html IS NOT NULL AND error_class IS NULL")
     second = page_facts(
-        fetched.join(targets.distinct(), "url", "left_semi").select("url", "html")
+        fetched.join(checked_broadcast(targets.distinct()), "url", "left_semi").select("url", "html")
     ).select(F.col("url").alias("_canonical"), F.struct(*FACTS).alias("_second"))
     joined = salted_left_join(asked, second, ["_canonical"], F.col("url"))
     found = F.col("_second").isNotNull()

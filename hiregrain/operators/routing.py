@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hiregrain.operators.curation import curate_jobs, with_keys
 from hiregrain.operators.gate import gate_jobs
 from hiregrain.operators.sites import SITES, SiteRule
-from hiregrain.operators.skew import salted_left_join
+from hiregrain.operators.skew import hot_keys, salted_left_join
 from hiregrain.session import cut
 
 MAX_RETRY = 3
@@ -39,9 +39,10 @@ def early_outcome(limit: int = MAX_RETRY) -> Column:
 
 
 def gate_and_key(messages: DataFrame, limit: int = MAX_RETRY) -> DataFrame:
-    """Messages with what routing needs of them; their bytes are not carried along."""
+    """Messages with what routing needs of them; only malformed ones keep their bytes."""
     gated = with_keys(gate_jobs(messages)).withColumn("outcome", early_outcome(limit))
-    return gated.drop("key", "value", "timestamp")
+    kept = F.when(F.col("outcome") == MALFORMED, F.col("value"))
+    return gated.withColumn("value", kept).drop("key", "timestamp")
 
 
 def route(
@@ -62,6 +63,7 @@ def route(
     identity = ["dt", "job_id"]
     live = gated.where("outcome IS NULL").drop("outcome")
     keys = live.select(*identity)
+    hot = keep(hot_keys(keys, identity))
     done = curated_keys.select(*identity).join(keys.distinct(), identity, "left_semi").distinct()
     marked = keep(
         salted_left_join(
@@ -69,7 +71,7 @@ def route(
             done.withColumn("_done", F.lit(True)),
             identity,
             F.struct("partition", "offset"),
-            counted=keys,
+            hot=hot,
         )
     )
     curated = curate_jobs(marked.where("_done IS NULL").drop("_done"), page_fetch, sites, keep)
@@ -88,7 +90,7 @@ def route(
     )
     late = F.col("_order") > F.col("_first_ok")
     settled = (
-        salted_left_join(tried, first_ok, identity, F.col("_order"), counted=keys)
+        salted_left_join(tried, first_ok, identity, F.col("_order"), hot=hot)
         .withColumn("outcome", F.when(late, DUPLICATE).otherwise(F.col("outcome")))
         .drop("_order", "_first_ok")
     )

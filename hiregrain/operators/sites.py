@@ -29,8 +29,6 @@ from hiregrain.functions.urls import authority
 from hiregrain.operators.steps import settled
 from hiregrain.schemas import POSTING_FIELDS
 
-BODY_LENGTH = 2000
-
 
 @dataclass(frozen=True)
 class Raw:
@@ -327,11 +325,14 @@ def _linked_data(rows: DataFrame) -> DataFrame:
     )
 
 
-def extract_fields(pages: DataFrame, sites: tuple[SiteRule, ...] = SITES) -> DataFrame:
+def extract_fields(
+    pages: DataFrame, sites: tuple[SiteRule, ...] = SITES, body_length: int | None = None
+) -> DataFrame:
     """Adds ``site``, the six posting fields, ``stored_text`` and ``extract_error``.
 
     Needs pages with their facts. ``stored_text`` is the description, or the page's
-    text without one, cleaned as curated documents hold it.
+    text without one (whole, or its first ``body_length`` characters), cleaned as curated
+    documents hold it.
 
     Every intermediate text is a column of its own, as the rules use most of them more
     than once. Decoding takes two Arrow passes whatever the number of sites: one over
@@ -368,14 +369,13 @@ def extract_fields(pages: DataFrame, sites: tuple[SiteRule, ...] = SITES) -> Dat
         *named, F.col("meta_description"), *linked, by_rule(raws, "description"), "body_markup"
     )
     rows = rows.withColumn("_raw", texts).withColumn("_decoded", unescape_all(F.col("_raw")))
+    body = tidy_lines(item(F.col("_decoded"), _DECODED.index("body")))
     rows = settled(
         rows,
         {
             **{name: collapse(item(F.col("_decoded"), at)) for at, name in enumerate(_CLEAN)},
             "description": item(F.col("_decoded"), _DECODED.index("description")),
-            "body_text": F.left(
-                tidy_lines(item(F.col("_decoded"), _DECODED.index("body"))), F.lit(BODY_LENGTH)
-            ),
+            "body_text": body if body_length is None else F.left(body, F.lit(body_length)),
         },
     )
 

@@ -1,25 +1,27 @@
-"""A left join that stays balanced when a few keys hold most of the rows."""
+"""Joins that stay balanced when a few keys hold most of the rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot above 1/MAX_HOT of all rows, so there are never more than MAX_HOT
-# hot keys: the list that is broadcast has at most MAX_HOT rows of two numbers.
-MAX_HOT = 1000
-MIN_HOT_ROWS = 100_000
+# Left rows of one key that a task may hold; a key of more is cut into slices of about so many.
+SLICE_ROWS = 1_000_000
+# Rows of a narrow table that may be broadcast; with more, the join shuffles.
+BROADCAST_ROWS = 100_000
 
 
-def hot_keys(rows: DataFrame, on: list[str], min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """Hashes of the hot keys of ``rows`` with the number of slices each is cut into."""
+def checked_broadcast(small: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``small`` with a broadcast hint if it has at most ``limit`` rows; otherwise as it is."""
+    return F.broadcast(small) if small.limit(limit + 1).count() <= limit else small
+
+
+def hot_keys(rows: DataFrame, on: list[str], slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Hashes of the keys with more than ``slice_rows`` rows, with the number of slices each is
+    cut into; there are fewer of them than rows / ``slice_rows``."""
     counts = rows.groupBy(F.xxhash64(*on).alias("_hash")).agg(F.count(F.lit(1)).alias("_rows"))
-    share = counts.agg((F.sum("_rows") / MAX_HOT).alias("share")).scalar()
-    sized = counts.withColumn(
-        "_limit", F.greatest(F.lit(float(min_rows)), F.coalesce(share, F.lit(0.0)))
-    )
-    return sized.where("_rows > _limit").select(
-        "_hash", F.ceil(F.col("_rows") / F.col("_limit")).cast("int").alias("_slices")
+    return counts.where(F.col("_rows") > slice_rows).select(
+        "_hash", F.ceil(F.col("_rows") / slice_rows).cast("int").alias("_slices")
     )
 
 
@@ -29,15 +31,18 @@ def salted_left_join(
     on: list[str],
     spread_by: Column,
     counted: DataFrame | None = None,
-    min_rows: int = MIN_HOT_ROWS,
+    slice_rows: int = SLICE_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """``left LEFT JOIN right`` where ``right`` holds each key once.
 
     Rows of a hot key are spread over slices by ``spread_by`` and the one matching
     right row is copied to each slice. ``counted`` may name a cheaper frame with the
-    same keys to find the hot ones in.
+    same keys to find the hot ones in; ``hot`` the keys found already.
     """
-    hot = F.broadcast(hot_keys(left if counted is None else counted, on, min_rows))
+    if hot is None:
+        hot = hot_keys(left if counted is None else counted, on, slice_rows)
+    hot = checked_broadcast(hot)
     slices = F.coalesce(F.col("_slices"), F.lit(1))
     spread = (
         left.withColumn("_hash", F.xxhash64(*on))

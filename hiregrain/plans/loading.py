@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,9 +15,6 @@ from hiregrain.session import cut
 from hiregrain.sources.lake import Documents
 from hiregrain.sources.tables import Table
 
-# Beyond this many days the reader gets no list of days and filters by key alone.
-MAX_LISTED_DAYS = 1000
-
 
 class LoadMismatch(Exception):
     """Documents listed as new and rows written differ."""
@@ -55,10 +52,11 @@ def new_keys(listed: DataFrame, loaded: DataFrame) -> DataFrame:
     return listed.join(loaded.select("s3_key"), "s3_key", "left_anti")
 
 
-def staging_rows(documents: DataFrame, loaded_at: Column) -> DataFrame:
-    """The 16 staging columns; a time that is none becomes NULL."""
+def staging_rows(documents: DataFrame, loaded_at: Column, *kept: str) -> DataFrame:
+    """The 16 staging columns, and those named in ``kept``; a time that is none becomes NULL."""
     typed = {"collected_at": F.try_to_timestamp("collected_at")}
     return documents.select(
+        *kept,
         *[typed.get(name, F.col(name)).alias(name) for name in CURATED_COLUMNS],
         loaded_at.alias("loaded_at"),
     )
@@ -95,26 +93,27 @@ def load_increment(
     """Append documents not loaded before, then note their keys. Returns their number.
 
     The list of new keys is stored first, so rows and keys come from the same list
-    whatever arrives meanwhile. Keys are noted after the rows: a crash between the two
-    loads rows again, which the latest-row step hides, but never skips any.
+    whatever arrives meanwhile. The rows are stored next and must be one for each key
+    before staging is touched, so a load that fails leaves nothing. Keys are noted after
+    the rows: a crash between the two loads rows again, which the latest-row step hides,
+    but never skips any.
     """
     loaded = staging.loaded_keys.read(spark)
     fresh = keep(new_keys(documents.keys(spark), loaded))
     count = fresh.count()
     if count == 0:
         return 0
-    listed = fresh.select("dt").distinct().limit(MAX_LISTED_DAYS + 1).collect()
-    days = [row.dt for row in listed]
-    if None in days or len(days) > MAX_LISTED_DAYS:
-        days = None
     time = F.lit(loaded_at).cast("timestamp")
-    wanted = documents.read(spark, days).join(fresh.select("s3_key"), "s3_key", "left_semi")
-    written = Observation()
-    rows = require_values(staging_rows(wanted, time)).observe(
-        written, F.count(F.lit(1)).alias("rows")
-    )
-    staging.rows.append(rows.withColumn("loaded_date", F.to_date("loaded_at")))
-    if written.get["rows"] != count:
-        raise LoadMismatch(f"{count} new documents, {written.get['rows']} rows written")
+    found = documents.read(spark, fresh.select("dt"))
+    wanted = found.join(fresh.select("s3_key"), "s3_key", "left_semi")
+    rows = require_values(staging_rows(wanted.withColumnRenamed("s3_key", "_key"), time, "_key"))
+    rows = keep(rows.withColumn("loaded_date", F.to_date("loaded_at")))
+    keys = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("n"))
+    documents_found, most = keys.agg(F.count(F.lit(1)), F.max("n")).first()
+    if documents_found != count or most != 1:
+        raise LoadMismatch(
+            f"{count} new documents, {documents_found} read, up to {most} rows from one"
+        )
+    staging.rows.append(rows.drop("_key"))
     staging.loaded_keys.append(fresh.select("s3_key", time.alias("loaded_at")))
     return count

@@ -210,7 +210,7 @@ def page_text(markup: str) -> str:
 
 
 TITLE = stripped(decoded("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)"))
-_DESCRIPTION = f"left(coalesce({squeezed(decoded(f'left({page_text("html")}, 2000)'))}, ''), 4000)"
+_DESCRIPTION = f"coalesce({squeezed(decoded(page_text("html")))}, '')"
 
 DOCUMENTS = (
     ROUTED
@@ -431,11 +431,22 @@ ORACLES: dict[str, str] = {
     + """SELECT event_id AS "offset", CASE WHEN outcome <> 'malformed' THEN job_id END AS key,
          CASE outcome WHEN 'malformed' THEN 'malformed_message' WHEN 'parse_failed'
               THEN 'ValueError' ELSE fetch_error END AS error_type,
+         CASE planted WHEN 0 THEN '{not valid json' WHEN 1 THEN '\ufffd\ufffd'
+              WHEN 2 THEN '[1, 2, 3]' WHEN 3 THEN '"text"' WHEN 5 THEN '' END AS raw_message,
          CASE outcome WHEN 'fetch_failed' THEN 'fetch' ELSE 'parse' END AS failed_stage,
          CASE WHEN outcome = 'malformed' THEN malformed_reason END AS malformed_reason,
          CASE WHEN outcome <> 'malformed' THEN retry_count + 1 END AS retry_count,
          CASE WHEN outcome <> 'malformed' THEN url END AS url
          FROM routed WHERE outcome IN ('malformed', 'parse_failed', 'fetch_failed')""",
+    "fetch_messages": JOBS
+    + """SELECT job_id AS key, '{"job_id":"' || job_id || '","source":"' || source || '","url":"'
+         || url || '","collected_at":"' || collected_at || '","retry_count":' || retry_count || '}'
+           AS value FROM jobs""",
+    "skewed_join": """
+WITH keyed AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE 'u' || user_id END AS key
+               FROM events),
+totals AS (SELECT key, count(*) AS n FROM keyed WHERE key <> 'u7' GROUP BY key)
+SELECT event_id, key, n FROM keyed LEFT JOIN totals USING (key)""",
     "domain_route": JOBS
     + """SELECT event_id, CASE turn WHEN 0 THEN 'wanted' WHEN 1 THEN 'saramin' WHEN 2 THEN 'groupby'
               WHEN 3 THEN 'jobkorea' WHEN 4 THEN 'catch' END AS site,
@@ -466,6 +477,7 @@ SELECT doc_id AS page_id, unnest(CASE WHEN doc_id % 3 = 1 THEN CAST([] AS VARCHA
          ELSE ['BreadcrumbList', 'JobPosting'] END) AS object_type FROM documents""",
     "curated_docs": DOCUMENTS + _CURATED_ROWS,
     "worker_stream_documents": DOCUMENTS + _CURATED_ROWS,
+    "two_workers_documents": DOCUMENTS + _CURATED_ROWS,
     "processed_docs": DOCUMENTS
     + """SELECT job_id, source, url, collected_at, raw_s3_key,
          '2024-02-01 00:00:00.000000' AS processed_at, length(html)::INT AS html_length,
@@ -501,14 +513,13 @@ SELECT doc_id AS page_id, unnest(CASE WHEN doc_id % 3 = 1 THEN CAST([] AS VARCHA
     + f"""SELECT source, strftime(max(loaded_at), {TIME}) AS last_loaded_at,
           strftime(max(collected_at), {TIME}) AS last_collected_at FROM stg GROUP BY ALL""",
     "failure_trend_stream": FAILURES
-    + f""", timed AS (SELECT strptime(failed_at, {ISO}) AS t, error_type FROM events_)
-SELECT strftime(date_trunc('hour', t), {TIME}) AS failed_hour, error_type,
-       count(*) AS event_count
-FROM timed
-WHERE date_trunc('hour', t) + INTERVAL 1 HOUR <= (SELECT max(t) FROM timed) - INTERVAL 1 HOUR
-GROUP BY ALL""",
+    + f"""SELECT strftime(date_trunc('hour', strptime(failed_at, {ISO})), {TIME}) AS failed_hour,
+          error_type, count(*) AS event_count FROM events_ GROUP BY ALL""",
     "collect_links": _LINKS + "SELECT source, url FROM links",
     "collect_jobs": _LINKS
+    + f"""SELECT sha256(source || '|' || url || '|run-1') AS job_id, source, url, {_JOB_COLUMNS}
+          FROM links""",
+    "collect_first_jobs": _LINKS
     + f"""SELECT sha256(source || '|' || url || '|run-1') AS job_id, source, url, {_JOB_COLUMNS}
           FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY url) AS rn FROM links)
           WHERE rn <= 20""",
@@ -516,15 +527,12 @@ GROUP BY ALL""",
 SELECT sha256('seed|' || url || '|run-1') AS job_id, 'seed' AS source, url, {_JOB_COLUMNS}
 FROM pages""",
     "synthetic_jobs": f"""
-WITH counts AS (SELECT count(*) AS good, count(*) FILTER (event_type = 'error') AS bad FROM events),
-urls AS (
-  SELECT unnest(range(good)) AS ordinal, CASE ordinal % 3
-      WHEN 0 THEN 'https://www.wanted.co.kr/wd/242151'
+WITH urls AS (
+  SELECT event_id AS ordinal, CASE WHEN event_type = 'error' THEN CASE event_id % 2
+      WHEN 0 THEN 'https://invalid-url-test-1234.com' ELSE 'https://10.255.255.1' END
+    ELSE CASE event_id % 3 WHEN 0 THEN 'https://www.wanted.co.kr/wd/242151'
       WHEN 1 THEN 'https://groupby.kr/positions/9644'
-      ELSE 'https://www.catch.co.kr/NCS/RecruitInfoDetails/543587' END AS url FROM counts
-  UNION ALL
-  SELECT n + good, CASE n % 2 WHEN 0 THEN 'https://invalid-url-test-1234.com'
-      ELSE 'https://10.255.255.1' END FROM (SELECT unnest(range(bad)) AS n, good FROM counts)
+      ELSE 'https://www.catch.co.kr/NCS/RecruitInfoDetails/543587' END END AS url FROM events
 )
 SELECT sha256('load_test|' || url || '|' || ordinal || '|run-1') AS job_id,
        'load_test' AS source, url, {_JOB_COLUMNS} FROM urls""",

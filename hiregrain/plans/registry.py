@@ -31,8 +31,9 @@ from hiregrain.plans.loading import Staging, load_increment, new_keys, staging_r
 from hiregrain.schemas import LOAD_CHECKPOINT, POSTING_FIELDS
 from hiregrain.session import cut, pin, shared_dir
 from hiregrain.sources.lake import Layers, TableDocuments
+from hiregrain.sources.tables import BATCH_COLUMNS
 from hiregrain.sources.topics import FETCH_TOPIC
-from hiregrain.streaming.failures import Archive, Replay, start_failure_trend
+from hiregrain.streaming.failures import Archive, FailureTrend, Replay
 from hiregrain.streaming.worker import Worker
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,7 +133,7 @@ def staging_load(spark, sf_dir):
     """The whole load: a curated table, a checkpoint, one increment, the appended rows."""
     root = _fresh_dir(spark, "load")
     lake = Layers(root).curated
-    lake.write_batch(standins.curated(spark, sf_dir), 0)
+    lake.write_batch(standins.curated(spark, sf_dir), RUN, 0)
     staging = Staging(root).create(spark)
     staging.loaded_keys.append(
         standins.loaded_keys(spark, sf_dir).select(*LOAD_CHECKPOINT.fieldNames())
@@ -187,6 +188,10 @@ def dlq_envelopes(spark, sf_dir):
         F.col("key").cast("string").alias("key"),
         got("$.error_type").alias("error_type"),
         got("$.failed_stage").alias("failed_stage"),
+        F.when(got("$.raw_message") == "", "")
+        .when(got("$.raw_message").rlike(r'^\{"|\}'), None)
+        .otherwise(got("$.raw_message"))
+        .alias("raw_message"),
         F.when(malformed, got("$.error_message")).alias("malformed_reason"),
         got("$.job.retry_count").cast("int").alias("retry_count"),
         got("$.job.url").alias("url"),
@@ -212,6 +217,16 @@ def fetch_errors(spark, sf_dir):
     return joined.select("event_id", F.coalesce(absent, F.col("fetch_error")).alias("fetch_error"))
 
 
+def skewed_join(spark, sf_dir):
+    """A key with a third of all rows goes through many slices of a hundred rows."""
+    user = F.concat(F.lit("u"), F.col("user_id").cast("string"))
+    keyed = standins.table(spark, sf_dir, "events").select(
+        "event_id", F.when(F.col("event_id") % 3 == 0, "hot").otherwise(user).alias("key")
+    )
+    totals = keyed.where("key <> 'u7'").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    return salted_left_join(keyed, totals, ["key"], F.col("event_id"), slice_rows=100)
+
+
 def canonical_refetch(spark, sf_dir):
     pages = standins.redirecting_pages(spark, sf_dir)
     urls = pages.where(F.contains("url", F.lit("/jobs/"))).select("url")
@@ -282,7 +297,8 @@ def ld_objects(spark, sf_dir):
 
 
 def _succeeded(spark, sf_dir) -> DataFrame:
-    return _routed(spark, sf_dir).where(F.col("outcome") == routing.SUCCESS)
+    """Stored, because raw documents are made from several reads of it."""
+    return cut(_routed(spark, sf_dir).where(F.col("outcome") == routing.SUCCESS))
 
 
 def curated_docs(spark, sf_dir):
@@ -302,7 +318,7 @@ def raw_docs(spark, sf_dir):
 
 def reprocess_from_raw(spark, sf_dir):
     """Documents made again from the raw layer of the same run."""
-    succeeded = cut(_succeeded(spark, sf_dir))
+    succeeded = _succeeded(spark, sf_dir)
     raw = curation.raw_documents(succeeded, standins.page_fetch(spark, sf_dir))
     jobs = succeeded.select(
         "job_id", "source", "url", "collected_at", "dt",
@@ -339,21 +355,22 @@ def replay_skips(spark, sf_dir):
 # --- streams --------------------------------------------------------------------------
 
 
-def _worked(spark, sf_dir) -> Layers:
-    """The worker run over a stream of all messages, until none is left."""
+def _worked(spark, sf_dir, parts: tuple[Column | None, ...] = (None,)) -> Layers:
+    """A worker for each part of the events, one after the other, until none is left."""
     root = _fresh_dir(spark, "worker")
     layers = Layers(root).create(spark)
     done = standins.done_keys(spark, sf_dir).withColumnRenamed("job_id", "posting_id")
     blank = {f.name: F.lit(None).cast("string") for f in layers.curated.schema.fields}
     missing = {name: null for name, null in blank.items() if name not in done.columns}
-    layers.curated.write_batch(done.withColumns(missing), -1)
-    worker = Worker(
-        layers,
-        standins.EventTopics(f"{root}/topics", sf_dir),
-        lambda session: standins.page_fetch(session, sf_dir),
-        clock=lambda: NOW,
-    )
-    worker.start(spark, f"{root}/checkpoint", availableNow=True).awaitTermination()
+    layers.curated.write_batch(done.withColumns(missing), "before", -1)
+    for k, part in enumerate(parts):
+        worker = Worker(
+            layers,
+            standins.EventTopics(f"{root}/topics", sf_dir, part),
+            lambda session: standins.page_fetch(session, sf_dir),
+            clock=lambda: NOW,
+        )
+        worker.start(spark, f"{root}/checkpoint-{k}", availableNow=True).awaitTermination()
     return layers
 
 
@@ -362,15 +379,29 @@ def worker_stream_outcomes(spark, sf_dir):
     return counts.groupBy("outcome").agg(F.sum("message_count").alias("message_count"))
 
 
+def _documents(spark, layers: Layers) -> DataFrame:
+    made = layers.curated.read(spark).where("batch_id >= 0")
+    return made.drop("dt", *BATCH_COLUMNS)
+
+
 def worker_stream_documents(spark, sf_dir):
-    return _worked(spark, sf_dir).curated.read(spark).where("batch_id >= 0").drop("dt", "batch_id")
+    return _documents(spark, _worked(spark, sf_dir))
+
+
+def two_workers_documents(spark, sf_dir):
+    """Two workers of the same name, each with a checkpoint of its own, over halves of the
+    events: both start with batch 0 on one lake."""
+    half = F.percentile_approx("event_id", 0.5)
+    middle = standins.table(spark, sf_dir, "events").agg(half).first()[0]
+    parts = (F.col("event_id") <= middle, F.col("event_id") > middle)
+    return _documents(spark, _worked(spark, sf_dir, parts))
 
 
 def archive_stream(spark, sf_dir):
     root = _fresh_dir(spark, "archive")
     archive = Archive(root, standins.EventTopics(f"{root}/topics", sf_dir), clock=lambda: NOW)
     archive.start(spark, f"{root}/checkpoint", availableNow=True).awaitTermination()
-    return archive.events.read(spark).drop("batch_id")
+    return archive.events.read(spark).drop(*BATCH_COLUMNS)
 
 
 def replay_stream(spark, sf_dir):
@@ -384,9 +415,9 @@ def failure_trend_stream(spark, sf_dir):
     root = _fresh_dir(spark, "trend")
     topics = standins.EventTopics(f"{root}/topics", sf_dir)
     events = archive_rows(topics.stream(spark, "failures"), collecting.iso_utc(now()))
-    query = start_failure_trend(events, f"{root}/trend", f"{root}/checkpoint", availableNow=True)
-    query.awaitTermination()
-    return spark.read.parquet(f"{root}/trend")
+    trend = FailureTrend(root)
+    trend.start(events, f"{root}/checkpoint", availableNow=True).awaitTermination()
+    return trend.read(spark)
 
 
 # --- collecting -----------------------------------------------------------------------
@@ -399,20 +430,31 @@ def _links(spark, sf_dir) -> DataFrame:
 
 
 def collect_jobs(spark, sf_dir):
-    first = collecting.first_links(_links(spark, sf_dir))
+    return collecting.job_messages(_links(spark, sf_dir), RUN, collecting.iso_utc(now()))
+
+
+def collect_first_jobs(spark, sf_dir):
+    """A report of the first twenty links of each site."""
+    first = collecting.first_links(_links(spark, sf_dir), 20)
     return collecting.job_messages(first, RUN, collecting.iso_utc(now()))
 
 
+def fetch_messages(spark, sf_dir):
+    sent = collecting.topic_messages(standins.jobs(spark, sf_dir))
+    return sent.select(F.col("key").cast("string"), F.col("value").cast("string"))
+
+
 def seed_jobs(spark, sf_dir):
     pages = standins.table(spark, sf_dir, "pages").select("url")
     return collecting.seed_jobs(spark, RUN, collecting.iso_utc(now()), pages)
 
 
 def synthetic_jobs(spark, sf_dir):
-    """As many good jobs as there are events, as many failing ones as errors among them."""
-    events = standins.table(spark, sf_dir, "events")
-    good, bad = events.count(), events.where("event_type = 'error'").count()
-    return collecting.synthetic_jobs(spark, good, bad, RUN, collecting.iso_utc(now()))
+    """A test job per event; those of error events fail."""
+    tests = standins.table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("ordinal"), (F.col("event_type") == "error").alias("fails")
+    )
+    return collecting.synthetic_jobs(tests, RUN, collecting.iso_utc(now()))
 
 
 def _over_clean(view: Callable[[DataFrame], DataFrame]) -> Query:
@@ -475,11 +517,15 @@ _QUERIES: dict[str, Query] = {
     "mon_freshness": _over_staging(monitoring.freshness),
     "worker_stream_outcomes": worker_stream_outcomes,
     "worker_stream_documents": worker_stream_documents,
+    "two_workers_documents": two_workers_documents,
     "archive_stream": archive_stream,
     "replay_stream": replay_stream,
     "failure_trend_stream": failure_trend_stream,
     "collect_links": _links,
     "collect_jobs": collect_jobs,
+    "collect_first_jobs": collect_first_jobs,
+    "fetch_messages": fetch_messages,
+    "skewed_join": skewed_join,
     "seed_jobs": seed_jobs,
     "synthetic_jobs": synthetic_jobs,
 }

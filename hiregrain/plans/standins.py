@@ -309,17 +309,20 @@ def failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 class EventTopics(FolderTopics):
     """Folder topics whose fetch and failure messages come from a stream of events."""
 
-    def __init__(self, root: str, sf_dir: str):
+    def __init__(self, root: str, sf_dir: str, part: Column | None = None):
         super().__init__(root)
         object.__setattr__(self, "sf_dir", sf_dir)
+        object.__setattr__(self, "part", part)
 
     def _events(self, spark: SparkSession) -> DataFrame:
         schema: T.StructType = table(spark, self.sf_dir, "events").schema
         path = f"{self.sf_dir}/events.parquet"
         reader = spark.readStream.schema(schema)
         if os.path.isfile(path):
-            return reader.option("pathGlobFilter", "events.parquet").parquet(self.sf_dir)
-        return reader.parquet(path)
+            rows = reader.option("pathGlobFilter", "events.parquet").parquet(self.sf_dir)
+        else:
+            rows = reader.parquet(path)
+        return rows if self.part is None else rows.where(self.part)
 
     def stream(self, spark: SparkSession, topic: str) -> DataFrame:
         events = self._events(spark)

@@ -26,8 +26,8 @@ def pin(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
-    """A single-machine session for tests and the bench."""
-    return pin(
+    """A single-machine session for tests and the bench; makes a shared folder if none is named."""
+    spark = pin(
         SparkSession.builder.master(f"local[{cores}]")
         .appName("hiregrain")
         .config("spark.ui.enabled", "false")
@@ -35,14 +35,20 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
+    if not _named_dir(spark):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="hiregrain-"))
+    return spark
+
+
+def _named_dir(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach; made up only where the cluster names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder all executors can reach, as the cluster names it."""
+    named = _named_dir(spark)
     if not named:
-        named = tempfile.mkdtemp(prefix="hiregrain-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        raise RuntimeError("name a folder that all executors reach in spark.checkpoint.dir")
     return named
 
 

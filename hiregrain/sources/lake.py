@@ -13,14 +13,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hiregrain.schemas import CURATED, CURATED_COLUMNS, PROCESSED
+from hiregrain.schemas import CURATED, CURATED_COLUMNS, PROCESSED, TOPIC
 from hiregrain.sources.tables import Table
 
 CURATED_PREFIX = "curated/job_postings"
 
 _DT = T.StructField("dt", T.StringType())
 RAW_PAGES = T.StructType(
-    [T.StructField(n, T.StringType()) for n in ("job_id", "html", "raw_s3_key", "source")] + [_DT]
+    [T.StructField(n, T.StringType()) for n in ("job_id", "html", "raw_s3_key", "source")]
+    + [T.StructField("written_at", T.TimestampType()), _DT]
 )
 OUTCOME_COUNTS = T.StructType(
     [T.StructField("outcome", T.StringType()), T.StructField("message_count", T.LongType())]
@@ -47,12 +48,21 @@ class Layers:
         schema = T.StructType([*CURATED.fields, _DT])
         return Table(f"{self.root}/curated_docs", schema, ("dt",), batched=True)
 
+    @property
+    def malformed(self) -> Table:
+        """Bytes of messages that are no jobs; the failure topic has their text."""
+        schema = T.StructType([f for f in TOPIC.fields if f.name in ("value", "partition", "offset")])
+        return Table(f"{self.root}/malformed_messages", schema, batched=True)
+
     @property
     def outcomes(self) -> Table:
         return Table(f"{self.root}/outcome_counts", OUTCOME_COUNTS, batched=True)
 
+    def tables(self) -> tuple[Table, ...]:
+        return self.raw, self.processed, self.curated, self.malformed, self.outcomes
+
     def create(self, spark: SparkSession) -> "Layers":
-        for table in (self.raw, self.processed, self.curated, self.outcomes):
+        for table in self.tables():
             table.create(spark)
         return self
 
@@ -61,12 +71,18 @@ class Documents(Protocol):
     def keys(self, spark: SparkSession) -> DataFrame:
         """``(s3_key, dt)`` of every document."""
 
-    def read(self, spark: SparkSession, days: list[str] | None) -> DataFrame:
-        """``s3_key`` and the curated columns of the given days, or of all."""
+    def read(self, spark: SparkSession, days: DataFrame) -> DataFrame:
+        """``s3_key`` and the curated columns of the given days (dt)."""
+
 
+def on_days(rows: DataFrame, days: DataFrame) -> DataFrame:
+    """Rows of some days (dt) and those without a day.
 
-def _on_days(rows: DataFrame, days: list[str] | None) -> DataFrame:
-    return rows if days is None else rows.where(F.col("dt").isin(days))
+    Days are few whatever the input, so they are broadcast, and Spark prunes the folders of
+    other days by them when it runs the scan.
+    """
+    dated = rows.join(F.broadcast(days.where("dt IS NOT NULL").distinct()), "dt", "left_semi")
+    return dated.select(*rows.columns).unionByName(rows.where("dt IS NULL"))
 
 
 @dataclass(frozen=True)
@@ -79,8 +95,8 @@ class TableDocuments:
     def keys(self, spark: SparkSession) -> DataFrame:
         return self._rows(spark).select("s3_key", "dt")
 
-    def read(self, spark: SparkSession, days: list[str] | None) -> DataFrame:
-        return _on_days(self._rows(spark), days).select("s3_key", *CURATED_COLUMNS)
+    def read(self, spark: SparkSession, days: DataFrame) -> DataFrame:
+        return on_days(self._rows(spark), days).select("s3_key", *CURATED_COLUMNS)
 
 
 @dataclass(frozen=True)
@@ -102,7 +118,7 @@ class ObjectDocuments:
         )
         return files.select(self._key(F.col("path")).alias("s3_key"), F.col("dt").cast("string"))
 
-    def read(self, spark: SparkSession, days: list[str] | None) -> DataFrame:
+    def read(self, spark: SparkSession, days: DataFrame) -> DataFrame:
         schema = T.StructType([*CURATED.fields, _DT])
         objects = (
             spark.read.schema(schema)
@@ -113,5 +129,5 @@ class ObjectDocuments:
         # File paths come percent-encoded here and plain from the listing.
         path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
         rows = objects.withColumn("s3_key", self._key(path))
-        return _on_days(rows, days).select("s3_key", *CURATED_COLUMNS)
+        return on_days(rows, days).select("s3_key", *CURATED_COLUMNS)
 

@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BATCH = "batch_id"
+RUN, BATCH = "run", "batch_id"
+BATCH_COLUMNS = (RUN, BATCH)
 
 
 @dataclass(frozen=True)
 class Table:
     """A folder of parquet files with a declared schema.
 
-    ``batched`` tables have a last partition level ``batch_id``: writing a batch
-    replaces whatever an interrupted try of the same batch left in the same folders.
+    ``batched`` tables have two last partition levels, ``run`` and ``batch_id``: batch ids
+    count from 0 in each streaming checkpoint, so only both together name a batch. Writing
+    a batch again replaces what an interrupted try of it left in the same folders;
+    ``clear_batch`` removes it from all folders.
     ``gathered`` tables are shuffled by partition before writing, so that the number of
     files stays near the number of folders; a folder with very many rows is split over
     tasks at run time.
@@ -29,7 +32,8 @@ class Table:
     gathered: bool = True
 
     def _full_schema(self) -> T.StructType:
-        batch = [T.StructField(BATCH, T.LongType())] if self.batched else []
+        own = [T.StructField(RUN, T.StringType()), T.StructField(BATCH, T.LongType())]
+        batch = own if self.batched else []
         return T.StructType([*self.schema.fields, *batch])
 
     def create(self, spark: SparkSession) -> "Table":
@@ -42,18 +46,14 @@ class Table:
         """All rows; a missing or unreadable folder is an error, never an empty table."""
         return spark.read.schema(self._full_schema()).parquet(self.path)
 
-    def read_first_level(self, spark: SparkSession, values: list[str]) -> DataFrame:
-        """Rows of some values of the first partition, without listing other folders."""
-        path = spark._jvm.org.apache.hadoop.fs.Path
-        files = path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
-        if not files.exists(path(self.path)):
-            raise FileNotFoundError(self.path)
-        folders = [f"{self.path}/{self.partitions[0]}={value}" for value in values]
-        found = [folder for folder in folders if files.exists(path(folder))]
-        if not found:
-            return spark.createDataFrame([], self._full_schema())
-        reader = spark.read.schema(self._full_schema()).option("basePath", self.path)
-        return reader.parquet(*found)
+    def clear_batch(self, spark: SparkSession, run: str, batch_id: int) -> None:
+        """Remove a batch that is to be done again from every folder."""
+        levels = ["*"] * len(self.partitions)
+        place = "/".join([self.path, *levels, f"{RUN}={run}", f"{BATCH}={batch_id}"])
+        path = spark._jvm.org.apache.hadoop.fs.Path(place)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        for found in files.globStatus(path) or []:
+            files.delete(found.getPath(), True)
 
     def _rows(self, rows: DataFrame) -> DataFrame:
         chosen = rows.select(*self.schema.fieldNames())
@@ -63,10 +63,12 @@ class Table:
     def append(self, rows: DataFrame) -> None:
         self._rows(rows).write.partitionBy(*self.partitions).mode("append").parquet(self.path)
 
-    def write_batch(self, rows: DataFrame, batch_id: int) -> None:
-        batch = self._rows(rows).withColumn(BATCH, F.lit(batch_id).cast("long"))
+    def write_batch(self, rows: DataFrame, run: str, batch_id: int) -> None:
+        batch = self._rows(rows).withColumns(
+            {RUN: F.lit(run), BATCH: F.lit(batch_id).cast("long")}
+        )
         (
-            batch.write.partitionBy(*self.partitions, BATCH)
+            batch.write.partitionBy(*self.partitions, *BATCH_COLUMNS)
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .parquet(self.path)

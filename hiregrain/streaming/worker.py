@@ -14,11 +14,13 @@ from pyspark.sql.streaming import StreamingQuery
 from hiregrain.operators.collecting import iso_utc
 from hiregrain.operators.curation import (
     curated_documents,
+    last_of_batch,
     processed_documents,
     raw_documents,
 )
 from hiregrain.operators.routing import (
     CURATED_FAILED,
+    MALFORMED,
     MAX_RETRY,
     SUCCESS,
     failure_messages,
@@ -26,25 +28,40 @@ from hiregrain.operators.routing import (
     route,
 )
 from hiregrain.operators.sites import SITES, SiteRule
-from hiregrain.sources.lake import Layers
-from hiregrain.sources.tables import BATCH
+from hiregrain.sources.lake import Layers, on_days
+from hiregrain.sources.tables import BATCH, BATCH_COLUMNS, RUN
 from hiregrain.sources.topics import FAILURE_TOPIC, FETCH_TOPIC, Topics
 
-# Beyond this many days in one batch the lookup of done jobs reads all days.
-MAX_LISTED_DAYS = 400
-
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+def run_of(messages: DataFrame) -> str | None:
+    """The id of the streaming query that calls: it is stored with the query's checkpoint."""
+    return messages.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def begun_before(spark: SparkSession, folder: str, batch_id: int) -> bool:
+    """Notes that a batch begins; true if it did before, that is, if it is done again."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    mark = path(f"{folder}/{batch_id}")
+    files = mark.getFileSystem(spark._jsc.hadoopConfiguration())
+    again = files.exists(mark)
+    if not again:
+        files.create(mark).close()
+        files.delete(path(f"{folder}/{batch_id - 2}"), False)
+    return again
+
+
 @dataclass(frozen=True)
 class Worker:
     """One micro-batch at a time; a batch that is redone gives the same documents.
 
-    ``pages`` returns the crawl results, one row per URL. Tables are written by batch,
-    and jobs done before are looked up in other batches only, so an interrupted batch
-    neither loses nor doubles anything; failure messages may come twice.
+    ``pages`` returns the crawl results, one row per URL. Tables are written by run and
+    batch, and jobs done before are looked up in other batches only, so an interrupted
+    batch neither loses nor doubles anything; failure messages may come twice. A run is a
+    streaming checkpoint: any number of workers may write one lake.
     """
 
     layers: Layers
@@ -55,19 +72,16 @@ class Worker:
     clock: Callable[[], datetime] = utc_now
     name: str = "worker"
 
-    def _done(self, spark: SparkSession, gated: DataFrame, batch_id: int) -> DataFrame:
+    def _done(self, spark: SparkSession, gated: DataFrame, run: str, batch_id: int) -> DataFrame:
         """Identities documented by other batches, on the days of this batch only."""
-        live = gated.where("outcome IS NULL").select("dt").distinct()
-        days = [row.dt for row in live.limit(MAX_LISTED_DAYS + 1).collect()]
-        curated = self.layers.curated
-        if len(days) > MAX_LISTED_DAYS:
-            rows = curated.read(spark)
-        else:
-            rows = curated.read_first_level(spark, days)
-        others = rows.where(~F.col(BATCH).eqNullSafe(batch_id))
-        return others.select("dt", F.col("posting_id").alias("job_id"))
-
-    def _keeper(self, spark: SparkSession) -> Callable[[DataFrame], DataFrame]:
+        rows = on_days(
+            self.layers.curated.read(spark).select("dt", "posting_id", *BATCH_COLUMNS),
+            gated.where("outcome IS NULL").select("dt"),
+        )
+        own = F.col(RUN).eqNullSafe(run) & F.col(BATCH).eqNullSafe(batch_id)
+        return rows.where(~own).select("dt", F.col("posting_id").alias("job_id"))
+
+    def _keeper(self, spark: SparkSession, run: str) -> Callable[[DataFrame], DataFrame]:
         """Stores a step's result where the same step of the last batch was stored.
 
         A batch's steps are read several times and their plans would pile up; a table
@@ -76,31 +90,39 @@ class Worker:
         steps = count()
 
         def keep(rows: DataFrame) -> DataFrame:
-            path = f"{self.layers.root}/work/{self.name}/step={next(steps)}"
+            path = f"{self.layers.root}/work/{self.name}-{run}/step={next(steps)}"
             rows.write.mode("overwrite").parquet(path)
             return spark.read.schema(rows.schema).parquet(path)
 
         return keep
 
-    def process(self, messages: DataFrame, batch_id: int) -> None:
+    def process(self, messages: DataFrame, batch_id: int, run: str | None = None) -> None:
         spark = messages.sparkSession
-        keep = self._keeper(spark)
+        run = run or run_of(messages) or self.name
+        if begun_before(spark, f"{self.layers.root}/work/{self.name}-{run}/begun", batch_id):
+            for table in self.layers.tables():
+                table.clear_batch(spark, run, batch_id)
+        keep = self._keeper(spark, run)
         now = F.lit(self.clock()).cast("timestamp")
         pages = self.pages(spark)
         gated = keep(gate_and_key(messages, self.max_retry))
-        done = self._done(spark, gated, batch_id)
+        done = self._done(spark, gated, run, batch_id)
         routed = keep(route(gated, pages, done, self.sites, keep))
-        fetched = routed.where(F.col("outcome").isin(SUCCESS, CURATED_FAILED))
-        self.layers.raw.write_batch(raw_documents(fetched, pages), batch_id)
-        self.layers.processed.write_batch(processed_documents(fetched, now), batch_id)
+        fetched = last_of_batch(routed.where(F.col("outcome").isin(SUCCESS, CURATED_FAILED)))
+        raw = raw_documents(fetched, pages).withColumn("written_at", now)
+        self.layers.raw.write_batch(raw, run, batch_id)
+        self.layers.processed.write_batch(processed_documents(fetched, now), run, batch_id)
+        malformed = routed.where(F.col("outcome") == MALFORMED)
+        self.layers.malformed.write_batch(malformed, run, batch_id)
+        producer = f"{self.name}-{run}"
         self.topics.write(
-            failure_messages(routed, iso_utc(now)), FAILURE_TOPIC, self.name, batch_id
+            failure_messages(routed, iso_utc(now)), FAILURE_TOPIC, producer, batch_id
         )
         counts = routed.groupBy("outcome").agg(F.count(F.lit(1)).alias("message_count"))
-        self.layers.outcomes.write_batch(counts, batch_id)
+        self.layers.outcomes.write_batch(counts, run, batch_id)
         # Last, because a curated document marks its job as done.
         documents = curated_documents(routed.where(F.col("outcome") == SUCCESS))
-        self.layers.curated.write_batch(documents, batch_id)
+        self.layers.curated.write_batch(documents, run, batch_id)
 
     def start(self, spark: SparkSession, checkpoint: str, **trigger) -> StreamingQuery:
         """Process the fetch topic; offsets are committed after a batch's last write."""

@@ -101,9 +101,11 @@ def test_retry_counts(spark):
     assert gated(spark, [json.dumps(no_count).encode()])[0].retry_count == 0
 
 
-def test_raw_message_is_cut_after_decoding(spark):
-    row = gated(spark, [b"\xff" + "글".encode() * 3000])[0]
-    assert row.raw_message == "�" + "글" * 1999
+def test_raw_message_is_whole_or_cut_after_decoding(spark):
+    value = b"\xff" + "글".encode() * 3000
+    assert gated(spark, [value])[0].raw_message == "�" + "글" * 3000
+    cut = gate_jobs(messages(spark, [value]), raw_length=2000).first()
+    assert cut.raw_message == "�" + "글" * 1999
 
 
 def test_unreadable_failure_messages(spark):
@@ -264,15 +266,15 @@ def test_salted_join_equals_a_plain_one(spark):
         .otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("key")
     )
     right = left.select("key").distinct().where("key <> 'k3'").withColumn("value", F.upper("key"))
-    salted = salted_left_join(left, right, ["key"], F.col("id"), min_rows=100)
+    salted = salted_left_join(left, right, ["key"], F.col("id"), slice_rows=100)
     plain = left.join(right, "key", "left")
     assert sorted(map(str, salted.select(plain.columns).collect())) == sorted(map(str, plain.collect()))
 
 
 def test_hot_keys_are_few_and_cut_into_even_slices(spark):
     rows = spark.range(3000).select(F.when(F.col("id") < 1000, 0).otherwise(F.col("id")).alias("k"))
-    assert [r._slices for r in hot_keys(rows, ["k"], min_rows=100).collect()] == [10]
-    assert hot_keys(rows, ["k"], min_rows=1000).count() == 0
+    assert [r._slices for r in hot_keys(rows, ["k"], slice_rows=100).collect()] == [10]
+    assert hot_keys(rows, ["k"], slice_rows=1000).count() == 0
 
 
 def test_bad_times_do_not_build_keys(spark):

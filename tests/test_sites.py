@@ -174,7 +174,7 @@ def test_catch_page_whose_description_is_only_encoded_blanks_is_an_error(spark):
     assert [r.extract_error for r in facts(spark, pages).orderBy("i").collect()] == ["AttributeError", None]
 
 
-def test_stored_description_is_cleaned_again_and_capped(spark):
+def test_stored_description_is_cleaned_again_and_whole(spark):
     pages = [
         ("wanted", page(meta="&amp;amp;lt; x")),
         ("wanted", page(body="가" * 3000)),
@@ -182,9 +182,12 @@ def test_stored_description_is_cleaned_again_and_capped(spark):
         ("wanted", "<div></div>"),
     ]
     rows = final_description(facts(spark, pages)).orderBy("i").collect()
-    assert [len(row.description_text) for row in rows] == [3, 2000, 4000, 0]
+    assert [len(row.description_text) for row in rows] == [3, 3000, 5000, 0]
     assert rows[0].description_text == "< x"
     assert all(len(row.content_hash) == 64 for row in rows)
+    cut = final_description(facts(spark, pages), 2).orderBy("i").collect()
+    assert [len(row.description_text) for row in cut] == [2, 2, 2, 0]
+    assert [row.content_hash for row in cut] == [row.content_hash for row in rows]
 
 
 @pytest.mark.parametrize(

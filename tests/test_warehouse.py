@@ -186,7 +186,22 @@ def test_a_missing_required_value_stops_the_whole_load(spark, tmp_path, lake, ho
     with pytest.raises(Exception, match="required column"):
         load_increment(spark, ObjectDocuments(str(lake)), target, T0)
     assert target.postings(spark).count() == 0
-    assert target.loaded_keys.read(spark).count() == 0
+    assert target.loaded_keys.read(spark).count() == target.postings(spark).count() == 0
+
+
+def test_a_load_that_fails_leaves_nothing_however_often_it_is_tried(spark, tmp_path, lake):
+    put(lake, document(1), document(2))
+    target = Staging(str(tmp_path / "wh")).create(spark)
+    load_increment(spark, ObjectDocuments(str(lake)), target, T0)
+    before = sorted(map(str, target.rows.read(spark).collect()))
+    put(lake, document(3))
+    day = next(path.parent for path in lake.rglob("*.json"))
+    (day / "two.json").write_text(json.dumps([document(8), document(9)]))
+    for _ in range(3):
+        with pytest.raises(LoadMismatch):
+            load_increment(spark, ObjectDocuments(str(lake)), target, T0)
+        assert sorted(map(str, target.rows.read(spark).collect())) == before
+        assert target.loaded_keys.read(spark).count() == 2
 
 
 def test_keys_are_not_noted_if_documents_vanish(spark, tmp_path, lake):
@@ -198,14 +213,29 @@ def test_keys_are_not_noted_if_documents_vanish(spark, tmp_path, lake):
     target = Staging(str(tmp_path / "wh")).create(spark)
     with pytest.raises(LoadMismatch):
         load_increment(spark, Vanishing(str(lake)), target, T0)
-    assert target.loaded_keys.read(spark).count() == 0
+    assert target.loaded_keys.read(spark).count() == target.postings(spark).count() == 0
+
+
+def test_a_load_that_fails_leaves_nothing_however_often_it_is_tried(spark, tmp_path, lake):
+    put(lake, document(1), document(2))
+    target = Staging(str(tmp_path / "wh")).create(spark)
+    load_increment(spark, ObjectDocuments(str(lake)), target, T0)
+    before = sorted(map(str, target.rows.read(spark).collect()))
+    put(lake, document(3))
+    day = next(path.parent for path in lake.rglob("*.json"))
+    (day / "two.json").write_text(json.dumps([document(8), document(9)]))
+    for _ in range(3):
+        with pytest.raises(LoadMismatch):
+            load_increment(spark, ObjectDocuments(str(lake)), target, T0)
+        assert sorted(map(str, target.rows.read(spark).collect())) == before
+        assert target.loaded_keys.read(spark).count() == 2
 
 
 def test_hourly_run_from_the_curated_table(spark, tmp_path):
     layers = Layers(str(tmp_path / "lake")).create(spark)
     rows = [document(i) for i in range(3)]
     docs = spark.createDataFrame([tuple(d[n] for n in CURATED_COLUMNS) for d in rows], ", ".join(f"{n} string" for n in CURATED_COLUMNS))
-    layers.curated.write_batch(docs.withColumn("dt", F.lit("2026-03-24")), 0)
+    layers.curated.write_batch(docs.withColumn("dt", F.lit("2026-03-24")), "r", 0)
     found = hourly_run(spark, TableDocuments(layers.curated), Staging(str(tmp_path / "wh")), T0)
     assert found.where("NOT passed").count() == 0
     assert spark.table(CLEAN_VIEW).count() == 3
