@@ -139,10 +139,15 @@ def check_verdicts(
     return reduce(DataFrame.unionByName, parts, stg).select(*VERDICT.fieldNames())
 
 
-def enforce(verdicts: DataFrame) -> None:
-    """Raise on the first failing check. Reads one row, whatever the number of sources."""
+def first_failure(verdicts: DataFrame) -> DataFrame:
+    """The failing check that comes first, if any: one row, whatever the number of sources."""
     rank = F.array_position(F.array(*[F.lit(name) for name in CHECK_ORDER]), F.col("check_name"))
-    failed = verdicts.where("NOT passed").orderBy(rank, "subject").limit(1).collect()
+    return verdicts.where("NOT passed").orderBy(rank, "subject").limit(1)
+
+
+def enforce(verdicts: DataFrame) -> None:
+    """Raise on the first failing check."""
+    failed = first_failure(verdicts).collect()
     if failed:
         row = failed[0]
         raise QualityCheckFailed(

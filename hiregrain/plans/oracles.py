@@ -391,6 +391,14 @@ ORACLES: dict[str, str] = {
     + """SELECT CAST(CAST(collected_at AS DATE) AS VARCHAR) AS collected_date, source,
          count(*) AS posting_count FROM clean GROUP BY ALL""",
     "mart_source_quality": QUALITY + "SELECT * FROM quality",
+    "published_daily": CLEAN
+    + """SELECT CAST(CAST(collected_at AS DATE) AS VARCHAR) AS collected_date, source,
+         count(*) AS posting_count FROM clean GROUP BY ALL""",
+    "published_source_quality": QUALITY + "SELECT * FROM quality",
+    "dq_first_failure": QUALITY
+    + f"""SELECT check_name, subject FROM ({_VERDICTS}) WHERE NOT passed
+          ORDER BY list_position(['stg_not_empty', 'int_not_empty', 'int_required_fields',
+            'int_no_duplicate_content_hash', 'description_quality'], check_name), subject LIMIT 1""",
     "dq_verdicts": QUALITY + _VERDICTS,
     "dq_required_fields": CLEAN
     + f"SELECT count(*) AS invalid_count FROM clean WHERE {_REQUIRED_NULL}",
@@ -408,6 +416,9 @@ ORACLES: dict[str, str] = {
     + f"""SELECT * REPLACE (strftime(collected_at, {TIME}) AS collected_at,
                             '2024-02-01 00:00:00.000000' AS loaded_at) FROM stg
           WHERE NOT (collected_at < TIMESTAMP '2024-01-16 00:00:00' OR source = 'click')""",
+    "staging_load_objects": CLEAN
+    + f"""SELECT * REPLACE (strftime(collected_at, {TIME}) AS collected_at,
+                            '2024-02-01 00:00:00.000000' AS loaded_at) FROM clean""",
     "load_new_keys": KEYS
     + "SELECT s3_key FROM listed l WHERE NOT EXISTS (SELECT 1 FROM loaded WHERE s3_key = l.s3_key)",
     "load_required_violations": STAGING

@@ -28,9 +28,10 @@ from hiregrain.operators.sites import extract_fields, site_flag, site_of
 from hiregrain.operators.skew import salted_left_join
 from hiregrain.plans import standins
 from hiregrain.plans.loading import Staging, load_increment, new_keys, staging_rows
+from hiregrain.plans.warehouse import DAILY_VIEW, QUALITY_VIEW, publish
 from hiregrain.schemas import LOAD_CHECKPOINT, POSTING_FIELDS
 from hiregrain.session import cut, pin, shared_dir
-from hiregrain.sources.lake import Layers, TableDocuments
+from hiregrain.sources.lake import CURATED_PREFIX, Layers, ObjectDocuments, TableDocuments
 from hiregrain.sources.tables import BATCH_COLUMNS
 from hiregrain.sources.topics import FETCH_TOPIC
 from hiregrain.streaming.failures import Archive, FailureTrend, Replay
@@ -89,6 +90,19 @@ def dq_verdicts(spark, sf_dir):
     return quality.check_verdicts(standins.staging(spark, sf_dir))
 
 
+def dq_first_failure(spark, sf_dir):
+    verdicts = quality.check_verdicts(standins.staging(spark, sf_dir))
+    return quality.first_failure(verdicts).select("check_name", "subject")
+
+
+def _published(name: str) -> Query:
+    def read_back(spark, sf_dir):
+        publish(standins.staging(spark, sf_dir), _fresh_dir(spark, "marts"))
+        return spark.table(name)
+
+    return read_back
+
+
 def dq_required_fields(spark, sf_dir):
     return quality.required_field_nulls(clean_postings(standins.staging(spark, sf_dir)))
 
@@ -142,6 +156,18 @@ def staging_load(spark, sf_dir):
     return staging.postings(spark)
 
 
+def staging_load_objects(spark, sf_dir):
+    """The latest document of every posting as one JSON object in a file of its own, loaded."""
+    root = _fresh_dir(spark, "objects")
+    latest = clean_postings(standins.staging(spark, sf_dir)).select("posting_id")
+    documents = standins.curated(spark, sf_dir).join(latest, "posting_id", "left_semi")
+    objects = documents.write.partitionBy("dt").option("maxRecordsPerFile", 1)
+    objects.json(f"{root}/{CURATED_PREFIX}")
+    staging = Staging(root).create(spark)
+    load_increment(spark, ObjectDocuments(root), staging, NOW)
+    return staging.postings(spark)
+
+
 # --- gate and routing -----------------------------------------------------------------
 
 
@@ -474,12 +500,16 @@ _QUERIES: dict[str, Query] = {
     "latest_by_merge": latest_by_merge,
     "mart_postings_daily": mart_postings_daily,
     "mart_source_quality": mart_quality,
+    "published_daily": _published(DAILY_VIEW),
+    "published_source_quality": _published(QUALITY_VIEW),
     "dq_verdicts": dq_verdicts,
+    "dq_first_failure": dq_first_failure,
     "dq_required_fields": dq_required_fields,
     "dq_duplicate_hash_groups": dq_duplicate_hash_groups,
     "dq_fill_rate": dq_fill_rate,
     "stg_projection": stg_projection,
     "staging_load": staging_load,
+    "staging_load_objects": staging_load_objects,
     "load_new_keys": load_new_keys,
     "load_required_violations": load_required_violations,
     "job_keys": job_keys,

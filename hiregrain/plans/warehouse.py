@@ -30,6 +30,20 @@ def build_views(staging: DataFrame) -> dict[str, DataFrame]:
     return views
 
 
+def publish(staging: DataFrame, root: str) -> None:
+    """Store the three results as catalog tables below ``root``, for other sessions to read."""
+    spark = staging.sparkSession
+    results = {
+        CLEAN_VIEW: clean_postings(staging),
+        DAILY_VIEW: mart_daily(staging),
+        QUALITY_VIEW: mart_source_quality(staging),
+    }
+    for name, rows in results.items():
+        spark.catalog.dropTempView(name)  # it would hide the table
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        rows.write.mode("overwrite").option("path", f"{root}/{name}").saveAsTable(name)
+
+
 def run_checks(staging: DataFrame, stop_on_failure: bool = False) -> DataFrame:
     """All verdicts; with ``stop_on_failure`` the first failing check raises."""
     verdicts = check_verdicts(staging)
@@ -44,12 +58,17 @@ def hourly_run(
     staging: Staging,
     loaded_at: datetime,
     stop_on_failure: bool = False,
+    publish_to: str | None = None,
 ) -> DataFrame:
-    """Load what is new, refresh the views, check the result."""
+    """Load what is new, refresh the views (or the tables below ``publish_to``), check the
+    result."""
     staging.create(spark)
     load_increment(spark, documents, staging, loaded_at)
     postings = staging.postings(spark)
-    build_views(postings)
+    if publish_to is None:
+        build_views(postings)
+    else:
+        publish(postings, publish_to)
     return run_checks(postings, stop_on_failure)
 
 
