@@ -165,10 +165,15 @@ def judged(urls: DataFrame, rules: DataFrame) -> DataFrame:
     return rows.withColumn("verdict", F.when(blocked, "block").otherwise("allow"))
 
 
+def typed_in(spark: SparkSession, rules: tuple[tuple[str, str, str], ...] = RULES) -> DataFrame:
+    """A short list of rules (verdict, host, path) as a table."""
+    rows = [F.struct(*[F.lit(x).alias(n) for n, x in zip(("verdict", "host", "path"), rule, strict=True)]) for rule in rules]
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    rules = spark.createDataFrame(list(RULES), "verdict string, host string, path string")
-    return judged(pages, rules).select("row.page_id", "host", "path", "rule", "verdict")
+    return judged(pages, typed_in(spark)).select("row.page_id", "host", "path", "rule", "verdict")
 
 
 OP10_SQL = r"""
