@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hiregrain.llm.common import per_text, ranges, remainder, stored, table, written
+from hiregrain.llm.common import per_text, ranges, remainder, small_batches, table, written
 
 END = b"\n"
 #: Added to each count of a word; an unseen word is one word more.
@@ -78,6 +78,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
                 held.clear()
         yield rows()
 
+    small_batches(texts.sparkSession)
     counted = texts.select(F.col("text").cast("binary")).mapInArrow(run, "word binary, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 

@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 
 #: Bytes of text that a task works on at once; a longer text is a block of its own.
 BLOCK_BYTES = 4 << 20
+#: Rows that Spark hands to a task's Python at once; their texts are held twice, in Arrow and out.
+BATCH_ROWS = 1000
 #: Rows of a narrow table that may be broadcast; with more, the join shuffles.
 BROADCAST_ROWS = 100_000
 
@@ -68,6 +70,13 @@ def ranges(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int
         yield start, len(sizes)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Makes the session's Arrow batches BATCH_ROWS rows, if they are larger."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def per_text(
     docs: DataFrame,
     worker: Callable[[], Callable[[list[bytes | None]], list[pa.Array]]],
@@ -80,6 +89,7 @@ def per_text(
     ``worker()`` runs once in each task and returns a function that gives the arrays of the
     fields for a block of UTF-8 texts, which lie at ``path`` in ``row``. Extra columns of any name stay within ``row``.
     """
+    small_batches(docs.sparkSession)
     added = T.StructType.fromDDL(fields)
     schema = T.StructType([T.StructField("row", docs.schema), *added.fields])
 
@@ -94,6 +104,8 @@ def per_text(
                 yield pa.RecordBatch.from_arrays(
                     [rows.slice(start, stop - start), *arrays], names=schema.names
                 )
+        # The worker process goes on to other tasks; what this one held goes back.
+        pa.default_memory_pool().release_unused()
 
     return docs.select(F.struct("*").alias("row")).mapInArrow(run, schema)
 
