@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hiregrain.operators import monitoring
-from hiregrain.operators.latest import clean_postings
+from hiregrain.operators.latest import clean_postings, merge_latest
 from hiregrain.operators.marts import mart_daily, mart_source_quality
 from hiregrain.operators.quality import check_verdicts, enforce
 from hiregrain.plans.loading import Staging, load_increment
+from hiregrain.schemas import STAGING
 from hiregrain.sources.lake import Documents
 
 CLEAN_VIEW = "int_job_postings_clean"
 DAILY_VIEW = "mart_job_postings_daily"
 QUALITY_VIEW = "mart_job_postings_source_quality"
 
+# Names of versions of the clean table: the load time, to the microsecond.
+_VERSION = "%Y%m%dT%H%M%S%f"
+
 
 def build_views(staging: DataFrame) -> dict[str, DataFrame]:
     """Create or replace the three views; nothing is computed until one is read."""
@@ -30,18 +36,59 @@ def build_views(staging: DataFrame) -> dict[str, DataFrame]:
     return views
 
 
-def publish(staging: DataFrame, root: str) -> None:
-    """Store the three results as catalog tables below ``root``, for other sessions to read."""
-    spark = staging.sparkSession
+@dataclass(frozen=True)
+class CleanPostings:
+    """The latest row per posting as a table that each load carries on.
+
+    A version is a folder named by the load time it reaches. It counts once it is complete, so an
+    interrupted step leaves the version before, and the next step takes in all loads since.
+    """
+
+    root: str
+
+    def _versions(self, spark: SparkSession) -> list[str]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/version=*/_SUCCESS")
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        return sorted(found.getPath().getParent().toString() for found in files.globStatus(path) or [])
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        versions = self._versions(spark)
+        if not versions:
+            return spark.createDataFrame([], STAGING)
+        return spark.read.schema(STAGING).parquet(versions[-1])
+
+    def advance(self, spark: SparkSession, staging: Staging, loaded_at: datetime) -> DataFrame:
+        """Merge the rows loaded since the last version, up to ``loaded_at``; drop versions
+        before the last, which readers may still hold."""
+        versions = self._versions(spark)
+        rows = staging.rows.read(spark).where(F.col("loaded_at") <= F.lit(loaded_at))
+        if versions:
+            since = datetime.strptime(versions[-1].rpartition("=")[2], _VERSION)
+            later = (F.col("loaded_date") >= F.lit(since.date())) & (F.col("loaded_at") > F.lit(since))
+            rows = rows.where(later)
+            if loaded_at <= since:
+                return self.read(spark)
+        merged = merge_latest(self.read(spark), rows.drop("loaded_date"))
+        merged.write.mode("overwrite").parquet(f"{self.root}/version={loaded_at:{_VERSION}}")
+        for old in versions[:-1]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(old)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        return self.read(spark)
+
+
+def publish(rows: DataFrame, root: str) -> None:
+    """Store the three results over staging or clean ``rows`` as catalog tables below ``root``,
+    for other sessions to read."""
+    spark = rows.sparkSession
     results = {
-        CLEAN_VIEW: clean_postings(staging),
-        DAILY_VIEW: mart_daily(staging),
-        QUALITY_VIEW: mart_source_quality(staging),
+        CLEAN_VIEW: clean_postings(rows),
+        DAILY_VIEW: mart_daily(rows),
+        QUALITY_VIEW: mart_source_quality(rows),
     }
-    for name, rows in results.items():
+    for name, result in results.items():
         spark.catalog.dropTempView(name)  # it would hide the table
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        rows.write.mode("overwrite").option("path", f"{root}/{name}").saveAsTable(name)
+        result.write.mode("overwrite").option("path", f"{root}/{name}").saveAsTable(name)
 
 
 def run_checks(staging: DataFrame, stop_on_failure: bool = False) -> DataFrame:
@@ -60,15 +107,16 @@ def hourly_run(
     stop_on_failure: bool = False,
     publish_to: str | None = None,
 ) -> DataFrame:
-    """Load what is new, refresh the views (or the tables below ``publish_to``), check the
-    result."""
+    """Load what is new, carry the clean table on, refresh the views (or the tables below
+    ``publish_to``) over it, check the result."""
     staging.create(spark)
     load_increment(spark, documents, staging, loaded_at)
-    postings = staging.postings(spark)
+    clean = CleanPostings(f"{staging.root}/clean_postings").advance(spark, staging, loaded_at)
     if publish_to is None:
-        build_views(postings)
+        build_views(clean)
     else:
-        publish(postings, publish_to)
+        publish(clean, publish_to)
+    postings = staging.postings(spark)
     return run_checks(postings, stop_on_failure)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from hiregrain.operators import marts, quality
 from hiregrain.operators.latest import clean_postings, merge_latest
 from hiregrain.plans.loading import LoadMismatch, Staging, load_increment
-from hiregrain.plans.warehouse import CLEAN_VIEW, DAILY_VIEW, build_views, hourly_run, monitor, run_checks
+from hiregrain.plans.warehouse import CLEAN_VIEW, DAILY_VIEW, CleanPostings, build_views, hourly_run, monitor, run_checks
 from hiregrain.schemas import CURATED_COLUMNS, DLQ_EVENTS, STAGING
 from hiregrain.sources.lake import Layers, ObjectDocuments, TableDocuments
 
@@ -242,6 +242,28 @@ def test_hourly_run_from_the_curated_table(spark, tmp_path):
     assert [tuple(r)[1:] for r in spark.table(DAILY_VIEW).collect()] == [("s", 3)]
 
 
+def test_hourly_runs_carry_the_clean_table_on(spark, tmp_path, lake):
+    target, clean = Staging(str(tmp_path / "wh")), CleanPostings(str(tmp_path / "wh" / "clean_postings"))
+    documents, hours = ObjectDocuments(str(lake)), [datetime(2026, 3, 24, 12 + k) for k in range(4)]
+
+    def same():
+        found, wanted = clean.read(spark), clean_postings(target.postings(spark))
+        return found.count() > 0 and found.exceptAll(wanted).count() == wanted.exceptAll(found).count() == 0
+
+    put(lake, document(1), document(2))
+    hourly_run(spark, documents, target, hours[0])
+    assert same()
+    # A load whose step on the clean table was lost is taken in by the next run.
+    put(lake, {**document(3), "original_url": document(1)["original_url"], "collected_at": "2026-03-25T10:00:00Z"})
+    load_increment(spark, documents, target, hours[1])
+    put(lake, document(4))
+    hourly_run(spark, documents, target, hours[2], publish_to=str(tmp_path / "marts"))
+    assert same() and spark.table(CLEAN_VIEW).count() == 3
+    hourly_run(spark, documents, target, hours[3])
+    assert same()
+    spark.sql(f"DROP TABLE {CLEAN_VIEW}")
+
+
 def test_views_are_replaced(spark):
     build_views(staging(spark, [row(1)]))
     build_views(staging(spark, [row(1), row(2)]))
