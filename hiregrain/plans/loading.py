@@ -16,6 +16,15 @@ from hiregrain.sources.lake import Documents
 from hiregrain.sources.tables import Table
 
 
+PARTS = T.StructType(
+    [
+        T.StructField("dt", T.StringType()),
+        T.StructField("run", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
+
 class LoadMismatch(Exception):
     """Documents listed as new and rows written differ."""
 
@@ -37,9 +46,14 @@ class Staging:
     def loaded_keys(self) -> Table:
         return Table(f"{self.root}/etl_loaded_s3_keys_job_postings", LOAD_CHECKPOINT)
 
+    @property
+    def loaded_parts(self) -> Table:
+        return Table(f"{self.root}/etl_loaded_parts_job_postings", PARTS)
+
     def create(self, spark: SparkSession) -> "Staging":
         self.rows.create(spark)
         self.loaded_keys.create(spark)
+        self.loaded_parts.create(spark)
         return self
 
     def postings(self, spark: SparkSession) -> DataFrame:
@@ -96,13 +110,33 @@ def load_increment(
     whatever arrives meanwhile. The rows are stored next and must be one for each key
     before staging is touched, so a load that fails leaves nothing. Keys are noted after
     the rows: a crash between the two loads rows again, which the latest-row step hides,
-    but never skips any.
+    but never skips any. Documents that come in parts are looked for only in parts that no
+    load has noted; parts are noted last.
     """
     loaded = staging.loaded_keys.read(spark)
-    fresh = keep(new_keys(documents.keys(spark), loaded))
+    parts = documents.parts(spark)
+    if parts is not None:
+        names = PARTS.fieldNames()
+        parts = keep(parts.join(staging.loaded_parts.read(spark), names, "left_anti"))
+    fresh = keep(new_keys(documents.keys(spark, parts), loaded))
     count = fresh.count()
-    if count == 0:
-        return 0
+    if count:
+        _load(spark, documents, staging, fresh, count, loaded_at, keep)
+    if parts is not None:
+        staging.loaded_parts.append(parts)
+    return count
+
+
+def _load(
+    spark: SparkSession,
+    documents: Documents,
+    staging: Staging,
+    fresh: DataFrame,
+    count: int,
+    loaded_at: datetime,
+    keep: Callable[[DataFrame], DataFrame],
+) -> None:
+    """Store the rows of ``fresh`` keys, check them, append them and note the keys."""
     time = F.lit(loaded_at).cast("timestamp")
     found = documents.read(spark, fresh.select("dt"))
     wanted = found.join(fresh.select("s3_key"), "s3_key", "left_semi")
@@ -116,4 +150,3 @@ def load_increment(
         )
     staging.rows.append(rows.drop("_key"))
     staging.loaded_keys.append(fresh.select("s3_key", time.alias("loaded_at")))
-    return count

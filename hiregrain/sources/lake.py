@@ -68,8 +68,12 @@ class Layers:
 
 
 class Documents(Protocol):
-    def keys(self, spark: SparkSession) -> DataFrame:
-        """``(s3_key, dt)`` of every document."""
+    def parts(self, spark: SparkSession) -> DataFrame | None:
+        """``(dt, run, batch_id)`` of what was written at once and stays as it is, if documents
+        come in such parts."""
+
+    def keys(self, spark: SparkSession, parts: DataFrame | None = None) -> DataFrame:
+        """``(s3_key, dt)`` of every document, or of those in some parts."""
 
     def read(self, spark: SparkSession, days: DataFrame) -> DataFrame:
         """``s3_key`` and the curated columns of the given days (dt)."""
@@ -81,7 +85,8 @@ def on_days(rows: DataFrame, days: DataFrame) -> DataFrame:
     Days are few whatever the input, so they are broadcast, and Spark prunes the folders of
     other days by them when it runs the scan.
     """
-    dated = rows.join(F.broadcast(days.where("dt IS NOT NULL").distinct()), "dt", "left_semi")
+    # Spark prunes only by a side with a comparison in it; this one is true of every day.
+    dated = rows.join(F.broadcast(days.where("dt >= ''").distinct()), "dt", "left_semi")
     return dated.select(*rows.columns).unionByName(rows.where("dt IS NULL"))
 
 
@@ -92,8 +97,12 @@ class TableDocuments:
     def _rows(self, spark: SparkSession) -> DataFrame:
         return self.table.read(spark).withColumn("s3_key", F.col("curated_s3_key"))
 
-    def keys(self, spark: SparkSession) -> DataFrame:
-        return self._rows(spark).select("s3_key", "dt")
+    def parts(self, spark: SparkSession) -> DataFrame:
+        return self.table.parts(spark)
+
+    def keys(self, spark: SparkSession, parts: DataFrame | None = None) -> DataFrame:
+        rows = self.table.read(spark) if parts is None else self.table.in_parts(spark, parts)
+        return rows.select(F.col("curated_s3_key").alias("s3_key"), "dt")
 
     def read(self, spark: SparkSession, days: DataFrame) -> DataFrame:
         return on_days(self._rows(spark), days).select("s3_key", *CURATED_COLUMNS)
@@ -110,7 +119,10 @@ class ObjectDocuments:
         at = F.locate(f"/{self.prefix}/", path)
         return F.substring(path, at + 1, F.length(path))
 
-    def keys(self, spark: SparkSession) -> DataFrame:
+    def parts(self, spark: SparkSession) -> None:
+        return None
+
+    def keys(self, spark: SparkSession, parts: DataFrame | None = None) -> DataFrame:
         files = (
             spark.read.format("binaryFile")
             .option("pathGlobFilter", "*.json")

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hiregrain.operators.skew import checked_broadcast
+
 RUN, BATCH = "run", "batch_id"
 BATCH_COLUMNS = (RUN, BATCH)
 
@@ -55,6 +59,42 @@ class Table:
         for found in files.globStatus(path) or []:
             files.delete(found.getPath(), True)
 
+    def parts(self, spark: SparkSession) -> DataFrame:
+        """The folders of a batched table as their partition values, from a listing: no file is
+        opened."""
+        levels = [*self.partitions, *BATCH_COLUMNS]
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+        try:
+            listed = files.option("basePath", self.path).load(f"{self.path}/{self.partitions[0]}=*")
+        except AnalysisException:  # no folder yet; a missing table is an error elsewhere
+            return self.read(spark).select(*levels).limit(0)
+        kinds = {RUN: "string", BATCH: "long"}
+        return listed.select(
+            *[F.col(name).cast(kinds.get(name, "string")).alias(name) for name in levels]
+        ).distinct()
+
+    def in_parts(self, spark: SparkSession, parts: DataFrame) -> DataFrame:
+        """Rows of some folders; Spark prunes the others when it runs the scan."""
+        levels = [*self.partitions, *BATCH_COLUMNS]
+        # Spark prunes only by a side with a comparison in it; this one is true of every part.
+        chosen = checked_broadcast(parts.where(F.col(BATCH) >= -(1 << 62)))
+        return self.read(spark).join(chosen, levels, "left_semi")
+
+    def compact(self, spark: SparkSession, value: str) -> None:
+        """Rewrite the batches of one value of the first partition as one: for a closed day.
+
+        The new folder is complete before the old ones go, so nothing is lost when this is
+        interrupted; until it ends, or is run again, readers may see rows twice.
+        """
+        first = self.partitions[0]
+        old = [row.asDict() for row in self.parts(spark).where(F.col(first) == value).collect()]
+        rows = self.read(spark).where(F.col(first) == value).dropDuplicates(self.schema.fieldNames())
+        self.write_batch(rows, f"compacted-{uuid.uuid4().hex}", 0)
+        for part in old:
+            levels = [f"{name}={part[name]}" for name in (*self.partitions, *BATCH_COLUMNS)]
+            path = spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *levels]))
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def _rows(self, rows: DataFrame) -> DataFrame:
         chosen = rows.select(*self.schema.fieldNames())
         gather = self.gathered and self.partitions

@@ -11,6 +11,7 @@ from hiregrain.operators.latest import clean_postings, merge_latest
 from hiregrain.plans.loading import LoadMismatch, Staging, load_increment
 from hiregrain.plans.warehouse import CLEAN_VIEW, DAILY_VIEW, CleanPostings, build_views, hourly_run, monitor, run_checks
 from hiregrain.schemas import CURATED_COLUMNS, DLQ_EVENTS, STAGING
+from hiregrain.session import cut
 from hiregrain.sources.lake import Layers, ObjectDocuments, TableDocuments
 
 T0 = datetime(2026, 3, 24, 12)
@@ -242,6 +243,34 @@ def test_hourly_run_from_the_curated_table(spark, tmp_path):
     assert [tuple(r)[1:] for r in spark.table(DAILY_VIEW).collect()] == [("s", 3)]
 
 
+def test_loads_read_new_parts_only_and_closed_days_can_be_compacted(spark, tmp_path):
+    layers, target = Layers(str(tmp_path / "lake")).create(spark), Staging(str(tmp_path / "wh")).create(spark)
+    names = ", ".join(f"{n} string" for n in CURATED_COLUMNS)
+    documents = TableDocuments(layers.curated)
+
+    def write(day, batch, *numbers):
+        rows = [tuple(document(i)[n] for n in CURATED_COLUMNS) for i in numbers]
+        layers.curated.write_batch(spark.createDataFrame(rows, names).withColumn("dt", F.lit(day)), "r", batch)
+
+    assert load_increment(spark, documents, target, T0) == 0
+    write("2026-03-24", 0, 1, 2)
+    write("2026-03-24", 1, 3)
+    assert load_increment(spark, documents, target, T0) == 3
+    write("2026-03-25", 2, 4)
+    parts = documents.parts(spark).join(target.loaded_parts.read(spark), ["dt", "run", "batch_id"], "left_anti")
+    assert [tuple(r) for r in parts.collect()] == [("2026-03-25", "r", 2)]
+    plan = documents.keys(spark, cut(parts))._jdf.queryExecution().toString()
+    assert "dynamicpruning" in plan.lower()
+    assert load_increment(spark, documents, target, T0) == 1
+    before = sorted(map(str, documents.keys(spark).collect()))
+    layers.curated.compact(spark, "2026-03-24")
+    assert sorted(map(str, documents.keys(spark).collect())) == before
+    assert documents.parts(spark).where("dt = '2026-03-24'").count() == 1
+    # The compacted part is new, its documents are not.
+    assert load_increment(spark, documents, target, T0) == 0
+    assert target.postings(spark).count() == 4
+
+
 def test_hourly_runs_carry_the_clean_table_on(spark, tmp_path, lake):
     target, clean = Staging(str(tmp_path / "wh")), CleanPostings(str(tmp_path / "wh" / "clean_postings"))
     documents, hours = ObjectDocuments(str(lake)), [datetime(2026, 3, 24, 12 + k) for k in range(4)]
