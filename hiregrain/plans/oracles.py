@@ -164,13 +164,14 @@ tried AS (
       WHEN retry_count >= 3 THEN 'retry_exceeded' WHEN g.dt IS NULL THEN 'parse_failed'
       WHEN d.job_id IS NOT NULL THEN 'duplicate'
       WHEN f.page_id IS NULL OR f.fetch_error IS NOT NULL THEN 'fetch_failed'
+      WHEN f.page_id % 12 = 10 THEN 'curated_failed'
       ELSE 'success' END AS first_outcome,
     CASE WHEN f.page_id IS NULL THEN 'not_fetched' ELSE f.fetch_error END AS fetch_error, f.html
   FROM gated g LEFT JOIN done d ON d.dt = g.dt AND d.job_id = g.job_id
   LEFT JOIN fetched f ON f.page_id = g.page_number
 ),
 routed AS (
-  SELECT *, CASE WHEN first_outcome IN ('success', 'fetch_failed') AND event_id > first_ok
+  SELECT *, CASE WHEN first_outcome IN ('success', 'fetch_failed', 'curated_failed') AND event_id > first_ok
                  THEN 'duplicate' ELSE first_outcome END AS outcome
   FROM (SELECT *, min(event_id) FILTER (first_outcome = 'success')
                     OVER (PARTITION BY dt, job_id) AS first_ok FROM tried)
@@ -441,14 +442,22 @@ ORACLES: dict[str, str] = {
     "dlq_envelopes": ROUTED
     + """SELECT event_id AS "offset", CASE WHEN outcome <> 'malformed' THEN job_id END AS key,
          CASE outcome WHEN 'malformed' THEN 'malformed_message' WHEN 'parse_failed'
-              THEN 'ValueError' ELSE fetch_error END AS error_type,
+              THEN 'ValueError' WHEN 'curated_failed' THEN 'TypeError' ELSE fetch_error END AS error_type,
+         CASE outcome WHEN 'malformed' THEN malformed_reason
+              WHEN 'parse_failed' THEN 'collected_at is not an ISO-8601 time: ' || collected_at
+              WHEN 'curated_failed' THEN 'a linked-data or description field has an unusable type'
+              ELSE CASE WHEN fetch_error = 'not_fetched' THEN 'no page was fetched for this url'
+                WHEN page_number % 12 = 7 THEN 'FAILED to Resolve ' || chr(39) || 'host' || chr(39)
+                WHEN page_number % 12 = 8 THEN 'reset by peer' ELSE '' END END AS error_message,
          CASE planted WHEN 0 THEN '{not valid json' WHEN 1 THEN '\ufffd\ufffd'
               WHEN 2 THEN '[1, 2, 3]' WHEN 3 THEN '"text"' WHEN 5 THEN '' END AS raw_message,
-         CASE outcome WHEN 'fetch_failed' THEN 'fetch' ELSE 'parse' END AS failed_stage,
+         CASE outcome WHEN 'fetch_failed' THEN 'fetch' WHEN 'curated_failed' THEN 'curated'
+              ELSE 'parse' END AS failed_stage,
          CASE WHEN outcome = 'malformed' THEN malformed_reason END AS malformed_reason,
          CASE WHEN outcome <> 'malformed' THEN retry_count + 1 END AS retry_count,
          CASE WHEN outcome <> 'malformed' THEN url END AS url
-         FROM routed WHERE outcome IN ('malformed', 'parse_failed', 'fetch_failed')""",
+         FROM routed
+         WHERE outcome IN ('malformed', 'parse_failed', 'fetch_failed', 'curated_failed')""",
     "fetch_messages": JOBS
     + """SELECT job_id AS key, '{"job_id":"' || job_id || '","source":"' || source || '","url":"'
          || url || '","collected_at":"' || collected_at || '","retry_count":' || retry_count || '}'

@@ -214,6 +214,7 @@ def dlq_envelopes(spark, sf_dir):
         F.col("key").cast("string").alias("key"),
         got("$.error_type").alias("error_type"),
         got("$.failed_stage").alias("failed_stage"),
+        got("$.error_message").alias("error_message"),
         F.when(got("$.raw_message") == "", "")
         .when(got("$.raw_message").rlike(r'^\{"|\}'), None)
         .otherwise(got("$.raw_message"))

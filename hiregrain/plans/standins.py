@@ -223,8 +223,12 @@ def done_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+MISTYPED = '<script type="application/ld+json">{"@type":"JobPosting","title":[1]}</script>'
+
+
 def page_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The given pages as crawl results; nine kinds of failure among them."""
+    """The given pages as crawl results; nine kinds of failure among them, and one kind of page
+    whose linked data cannot be used."""
     pages = spread_table(spark, sf_dir, "pages")
     kind = _turn("page_id", 12)
 
@@ -246,9 +250,10 @@ def page_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
         9: "TooManyRedirects",
     }
     error = by_kind({number: F.lit(name) for number, name in names.items()}).cast("string")
+    html = F.when(kind == 10, F.concat(F.lit(MISTYPED), "html")).otherwise(F.col("html"))
     return pages.select(
         page_url(F.col("page_id")).alias("url"),
-        F.when(error.isNull(), F.col("html")).alias("html"),
+        F.when(error.isNull(), html).alias("html"),
         error.alias("error_class"),
         by_kind({4: 400 + _turn("page_id", 100), 5: F.lit(503)}).cast("int").alias("status_code"),
         by_kind({7: F.lit("FAILED to Resolve 'host'"), 8: F.lit("reset by peer")})
