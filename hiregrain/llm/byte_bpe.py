@@ -352,7 +352,12 @@ def encoded_chunks(rows: DataFrame, source_: Source) -> DataFrame:
                 out.append([chars[a - start : b - start] for a, b in zip(cuts, cuts[1:], strict=False)])
             out = codec.encode(out)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("k"), pa.array(out, pa.list_(pa.int32())), batch.column("synchronised")],
+                [
+                    batch.column("key"),
+                    batch.column("k"),
+                    pa.array(out, pa.list_(pa.int32())),
+                    batch.column("synchronised"),
+                ],
                 names=["key", "k", "ids", "synchronised"],
             )
 

@@ -303,7 +303,8 @@ def scored(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     )
     parts = per_text(docs, lambda: sent.value.worker(), fields)
     # What the texts gave is stored under a number of its own before it is joined with itself.
-    parts = parts.select(F.struct(*[F.col("row")[c].alias(c) for c in docs.columns if c != "text"]).alias("row"), *[c for c in parts.columns if c != "row"])
+    narrow = F.struct(*[F.col("row")[c].alias(c) for c in docs.columns if c != "text"])
+    parts = parts.select(narrow.alias("row"), *[c for c in parts.columns if c != "row"])
     parts = written(parts.withColumn("uid", F.monotonically_increasing_id()))
     n = F.coalesce(F.col("count"), F.lit(0)) + ADDED
     base = F.log10(n / (model.tokens + ADDED * (model.distinct + 1)))
@@ -320,6 +321,7 @@ def scored(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
             F.sum(F.col("n") * F.log10(n / whole)).alias("part"),
         )
     )
+
     def plus(a, b):
         return F.col(a) + F.coalesce(F.col(b), F.lit(0))
 

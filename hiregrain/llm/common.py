@@ -87,7 +87,8 @@ def per_text(
     """The rows of ``docs`` as a struct ``row``, with the ``fields`` worked out from their texts.
 
     ``worker()`` runs once in each task and returns a function that gives the arrays of the
-    fields for a block of UTF-8 texts, which lie at ``path`` in ``row``. Extra columns of any name stay within ``row``.
+    fields for a block of UTF-8 texts, which lie at ``path`` in ``row``. Extra columns of any
+    name stay within ``row``.
     """
     small_batches(docs.sparkSession)
     added = T.StructType.fromDDL(fields)

@@ -151,7 +151,10 @@ def judged(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """
     listed = rules.select("verdict", F.concat("host", "path").alias("key"), F.length("path").alias("n"))
     lengths = sorted(row["n"] for row in listed.select("n").distinct().collect())
-    rows = urls.select(F.struct("*").alias("row"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    url = F.col("url")
+    rows = urls.select(
+        F.struct("*").alias("row"), host_of(url).alias("host"), path_of(url).alias("path")
+    )
     if not lengths:
         return rows.withColumn("rule", F.lit(None).cast("string")).withColumn("verdict", F.lit("allow"))
     keys = keys_of(F.col("host"), F.col("path"), lengths)
@@ -159,7 +162,8 @@ def judged(urls: DataFrame, rules: DataFrame) -> DataFrame:
     blocks = cascade(listed.where("verdict = 'block'"), universe)
     allows = cascade(listed.where("verdict <> 'block'"), universe)
     fitting = F.filter(keys, lambda key: member(blocks, key) | member(allows, key))
-    longest = F.array_max(F.transform(fitting, lambda key: F.struct(F.length(key).alias("n"), key.alias("key"))))
+    sized = F.transform(fitting, lambda key: F.struct(F.length(key).alias("n"), key.alias("key")))
+    longest = F.array_max(sized)
     rows = rows.withColumn("rule", longest["key"])
     blocked = F.coalesce(member(blocks, F.col("rule")), F.lit(False)) & F.col("rule").isNotNull()
     return rows.withColumn("verdict", F.when(blocked, "block").otherwise("allow"))
@@ -167,7 +171,11 @@ def judged(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 def typed_in(spark: SparkSession, rules: tuple[tuple[str, str, str], ...] = RULES) -> DataFrame:
     """A short list of rules (verdict, host, path) as a table."""
-    rows = [F.struct(*[F.lit(x).alias(n) for n, x in zip(("verdict", "host", "path"), rule, strict=True)]) for rule in rules]
+    names = ("verdict", "host", "path")
+    rows = [
+        F.struct(*[F.lit(x).alias(name) for name, x in zip(names, rule, strict=True)])
+        for rule in rules
+    ]
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 

@@ -231,7 +231,11 @@ def with_roles(pages: DataFrame, least: int = LEAST_PAYLOAD) -> DataFrame:
 
 
 def archived(
-    rows: DataFrame, folder: str, member_bytes: int = MEMBER_BYTES, archive_bytes: int = ARCHIVE_BYTES, zip64: bool = True
+    rows: DataFrame,
+    folder: str,
+    member_bytes: int = MEMBER_BYTES,
+    archive_bytes: int = ARCHIVE_BYTES,
+    zip64: bool = True,
 ) -> DataFrame:
     """Writes ``rows`` of with_roles to archives in ``folder``; (path, records) of each archive."""
 
@@ -277,7 +281,9 @@ def archived(
                     if writer.at >= archive_bytes:
                         finish()
         finish()
-        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(counts, pa.int64())], names=["path", "records"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(paths, pa.string()), pa.array(counts, pa.int64())], names=["path", "records"]
+        )
 
     store, place = filesystem(folder)
     store.create_dir(place, recursive=True)
@@ -308,7 +314,11 @@ def record_ranges(archives: DataFrame, folder: str, range_bytes: int = RANGE_BYT
                     held += size
                     before = start + size
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([path] * len(starts)), pa.array(starts, pa.int64()), pa.array(lengths, pa.list_(pa.int64()))],
+                    [
+                        pa.array([path] * len(starts), pa.string()),
+                        pa.array(starts, pa.int64()),
+                        pa.array(lengths, pa.list_(pa.int64())),
+                    ],
                     names=["path", "start", "lengths"],
                 )
 
