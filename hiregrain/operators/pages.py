@@ -105,7 +105,9 @@ def resolve_pages(
     # join could not broadcast its left side and would shuffle every page.
     asked_for = checked_broadcast(urls.select("url"))
     needed = keep(page_fetch.join(asked_for, "url", "left_semi"))
-    placed = fetch_outcome(urls.select("url").join(needed, "url", "left")).withColumn("site", site_of(F.col("url"), sites))
+    placed = fetch_outcome(urls.select("url").join(needed, "url", "left")).withColumn(
+        "site", site_of(F.col("url"), sites)
+    )
     facts = page_facts(
         placed.select("url", "site", "html", "fetch_error", "fetch_message")
     ).withColumn("page_url", F.when(F.col("fetch_error").isNull(), F.col("url")))
