@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from hiregrain.operators import monitoring
 from hiregrain.operators.latest import clean_postings, merge_latest
@@ -20,7 +19,7 @@ CLEAN_VIEW = "int_job_postings_clean"
 DAILY_VIEW = "mart_job_postings_daily"
 QUALITY_VIEW = "mart_job_postings_source_quality"
 
-# Names of versions of the clean table: the load time, to the microsecond.
+# Names of versions of the clean table: the load time, to the microsecond, or the next free one.
 _VERSION = "%Y%m%dT%H%M%S%f"
 
 
@@ -40,8 +39,9 @@ def build_views(staging: DataFrame) -> dict[str, DataFrame]:
 class CleanPostings:
     """The latest row per posting as a table that each load carries on.
 
-    A version is a folder named by the load time it reaches. It counts once it is complete, so an
-    interrupted step leaves the version before, and the next step takes in all loads since.
+    A version is a folder; their names grow. It counts once it is complete, so an interrupted
+    step leaves the version before. The staging files that a version has taken in are listed
+    beside it, so the next step takes in all others, whatever the time of their load.
     """
 
     root: str
@@ -57,22 +57,36 @@ class CleanPostings:
             return spark.createDataFrame([], STAGING)
         return spark.read.schema(STAGING).parquet(versions[-1])
 
+    def _taken(self, spark: SparkSession, version: str) -> DataFrame:
+        """Staging files in a version; none if it was written without a list, so all are merged again."""
+        place = f"{self.root}/taken/{version.rpartition('/')[2]}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(place)
+        if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            return spark.createDataFrame([], "name string")
+        return spark.read.schema("name string").parquet(place)
+
     def advance(self, spark: SparkSession, staging: Staging, loaded_at: datetime) -> DataFrame:
-        """Merge the rows loaded since the last version, up to ``loaded_at``; drop versions
+        """Merge the rows of all staging files that the last version has not; drop versions
         before the last, which readers may still hold."""
         versions = self._versions(spark)
-        rows = staging.rows.read(spark).where(F.col("loaded_at") <= F.lit(loaded_at))
+        files = staging.rows.files(spark)
+        rows = staging.rows.read(spark)
         if versions:
-            since = datetime.strptime(versions[-1].rpartition("=")[2], _VERSION)
-            later = (F.col("loaded_date") >= F.lit(since.date())) & (F.col("loaded_at") > F.lit(since))
-            rows = rows.where(later)
-            if loaded_at <= since:
+            fresh = files.join(self._taken(spark, versions[-1]), "name", "left_anti").collect()
+            if not fresh:
                 return self.read(spark)
+            rows = staging.rows.in_files(spark, [row["name"] for row in fresh])
+            last = datetime.strptime(versions[-1].rpartition("=")[2], _VERSION)
+            loaded_at = max(loaded_at, last + timedelta(microseconds=1))
+        version = f"version={loaded_at:{_VERSION}}"
+        # The list comes first: a version that is complete always has its own.
+        files.write.mode("overwrite").parquet(f"{self.root}/taken/{version}")
         merged = merge_latest(self.read(spark), rows.drop("loaded_date"))
-        merged.write.mode("overwrite").parquet(f"{self.root}/version={loaded_at:{_VERSION}}")
+        merged.write.mode("overwrite").parquet(f"{self.root}/{version}")
         for old in versions[:-1]:
-            path = spark._jvm.org.apache.hadoop.fs.Path(old)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            for place in (old, f"{self.root}/taken/{old.rpartition('/')[2]}"):
+                path = spark._jvm.org.apache.hadoop.fs.Path(place)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
         return self.read(spark)
 
 

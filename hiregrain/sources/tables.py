@@ -73,6 +73,21 @@ class Table:
             *[F.col(name).cast(kinds.get(name, "string")).alias(name) for name in levels]
         ).distinct()
 
+    def files(self, spark: SparkSession) -> DataFrame:
+        """``name``, below the table's folder, of each file of a table with one partition level;
+        from a listing, which is fixed here."""
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+        try:
+            listed = files.option("basePath", self.path).load(f"{self.path}/{self.partitions[0]}=*")
+        except AnalysisException:  # no folder yet; a missing table is an error elsewhere
+            return spark.createDataFrame([], "name string")
+        return listed.select(F.regexp_extract("path", "[^/]+/[^/]+$", 0).alias("name"))
+
+    def in_files(self, spark: SparkSession, names: list[str]) -> DataFrame:
+        """Rows of some files."""
+        read = spark.read.schema(self._full_schema()).option("basePath", self.path)
+        return read.parquet(*[f"{self.path}/{name}" for name in names])
+
     def in_parts(self, spark: SparkSession, parts: DataFrame) -> DataFrame:
         """Rows of some folders; Spark prunes the others when it runs the scan."""
         levels = [*self.partitions, *BATCH_COLUMNS]

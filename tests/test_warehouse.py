@@ -293,6 +293,22 @@ def test_hourly_runs_carry_the_clean_table_on(spark, tmp_path, lake):
     spark.sql(f"DROP TABLE {CLEAN_VIEW}")
 
 
+def test_loads_with_the_same_or_an_earlier_time_reach_the_clean_table(spark, tmp_path, lake):
+    target, clean = Staging(str(tmp_path / "wh")), CleanPostings(str(tmp_path / "wh" / "clean_postings"))
+    documents = ObjectDocuments(str(lake))
+    newer = {**document(1), "posting_id": "again", "collected_at": "2026-03-25T10:00:00Z"}
+    newer["curated_s3_key"] = document(7)["curated_s3_key"]
+    hours = [T0, T0, datetime(2026, 3, 23, 5), datetime(2026, 3, 24, 13), datetime(2026, 3, 24, 13)]
+    puts = [[document(1), document(2)], [document(3), newer], [document(4)], [document(5)], []]
+    for hour, docs, wanted in zip(hours, puts, [2, 3, 4, 5, 5], strict=True):
+        put(lake, *docs)
+        hourly_run(spark, documents, target, hour)
+        found, whole = clean.read(spark), clean_postings(target.postings(spark))
+        assert found.count() == spark.table(CLEAN_VIEW).count() == wanted
+        assert found.exceptAll(whole).count() == whole.exceptAll(found).count() == 0
+    assert len(clean._versions(spark)) == 2
+
+
 def test_views_are_replaced(spark):
     build_views(staging(spark, [row(1)]))
     build_views(staging(spark, [row(1), row(2)]))
