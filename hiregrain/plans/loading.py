@@ -21,6 +21,7 @@ PARTS = T.StructType(
         T.StructField("dt", T.StringType()),
         T.StructField("run", T.StringType()),
         T.StructField("batch_id", T.LongType()),
+        T.StructField("files", T.StringType()),
     ]
 )
 
@@ -111,10 +112,11 @@ def load_increment(
     before staging is touched, so a load that fails leaves nothing. Keys are noted after
     the rows: a crash between the two loads rows again, which the latest-row step hides,
     but never skips any. Documents that come in parts are looked for only in parts that no
-    load has noted; parts are noted last.
+    load has noted with the files they have now: a part may be written again, or be seen
+    while it is written. Parts are listed first and noted last.
     """
     loaded = staging.loaded_keys.read(spark)
-    parts = documents.parts(spark)
+    parts = documents.listing(spark)
     if parts is not None:
         names = PARTS.fieldNames()
         parts = keep(parts.join(staging.loaded_parts.read(spark), names, "left_anti"))

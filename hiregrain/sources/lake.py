@@ -68,9 +68,9 @@ class Layers:
 
 
 class Documents(Protocol):
-    def parts(self, spark: SparkSession) -> DataFrame | None:
-        """``(dt, run, batch_id)`` of what was written at once and stays as it is, if documents
-        come in such parts."""
+    def listing(self, spark: SparkSession) -> DataFrame | None:
+        """``(dt, run, batch_id, files)`` if documents come in parts; ``files`` tells whether
+        anything in a part has changed."""
 
     def keys(self, spark: SparkSession, parts: DataFrame | None = None) -> DataFrame:
         """``(s3_key, dt)`` of every document, or of those in some parts."""
@@ -100,6 +100,9 @@ class TableDocuments:
     def parts(self, spark: SparkSession) -> DataFrame:
         return self.table.parts(spark)
 
+    def listing(self, spark: SparkSession) -> DataFrame:
+        return self.table.listing(spark)
+
     def keys(self, spark: SparkSession, parts: DataFrame | None = None) -> DataFrame:
         rows = self.table.read(spark) if parts is None else self.table.in_parts(spark, parts)
         return rows.select(F.col("curated_s3_key").alias("s3_key"), "dt")
@@ -119,7 +122,7 @@ class ObjectDocuments:
         at = F.locate(f"/{self.prefix}/", path)
         return F.substring(path, at + 1, F.length(path))
 
-    def parts(self, spark: SparkSession) -> None:
+    def listing(self, spark: SparkSession) -> None:
         return None
 
     def keys(self, spark: SparkSession, parts: DataFrame | None = None) -> DataFrame:

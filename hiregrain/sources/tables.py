@@ -60,18 +60,25 @@ class Table:
             files.delete(found.getPath(), True)
 
     def parts(self, spark: SparkSession) -> DataFrame:
-        """The folders of a batched table as their partition values, from a listing: no file is
-        opened."""
+        """The folders of a batched table as their partition values."""
+        return self.listing(spark).drop("files")
+
+    def listing(self, spark: SparkSession) -> DataFrame:
+        """The folders of a batched table as their partition values, and in ``files`` a digest of
+        the names and sizes of what lies in each, from a listing: no file is opened. Whatever
+        writes to a folder changes it, as no two writes name a file the same."""
         levels = [*self.partitions, *BATCH_COLUMNS]
         files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
         try:
             listed = files.option("basePath", self.path).load(f"{self.path}/{self.partitions[0]}=*")
         except AnalysisException:  # no folder yet; a missing table is an error elsewhere
-            return self.read(spark).select(*levels).limit(0)
+            return self.read(spark).select(*levels, F.lit("").alias("files")).limit(0)
         kinds = {RUN: "string", BATCH: "long"}
-        return listed.select(
-            *[F.col(name).cast(kinds.get(name, "string")).alias(name) for name in levels]
-        ).distinct()
+        # From the table's folder on: the same files may be reached under another address.
+        name = F.concat_ws(" ", F.substring_index("path", "/", -1 - len(levels)), "length")
+        named = [F.col(level).cast(kinds.get(level, "string")).alias(level) for level in levels]
+        digest = F.sha2(F.concat_ws("\n", F.array_sort(F.collect_list("_name"))), 256)
+        return listed.select(*named, name.alias("_name")).groupBy(*levels).agg(digest.alias("files"))
 
     def files(self, spark: SparkSession) -> DataFrame:
         """``name``, below the table's folder, of each file of a table with one partition level;

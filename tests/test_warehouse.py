@@ -271,6 +271,33 @@ def test_loads_read_new_parts_only_and_closed_days_can_be_compacted(spark, tmp_p
     assert target.postings(spark).count() == 4
 
 
+def test_parts_that_change_after_a_load_are_looked_at_again(spark, tmp_path):
+    layers, target = Layers(str(tmp_path / "lake")).create(spark), Staging(str(tmp_path / "wh")).create(spark)
+    names = ", ".join(f"{n} string" for n in CURATED_COLUMNS)
+    documents = TableDocuments(layers.curated)
+
+    def frame(*numbers):
+        rows = [tuple(document(i)[n] for n in CURATED_COLUMNS) for i in numbers]
+        return spark.createDataFrame(rows, names).withColumn("dt", F.lit("2026-03-24"))
+
+    layers.curated.write_batch(frame(1, 2), "r", 0)
+    layers.curated.write_batch(frame(3), "r", 1)
+    assert load_increment(spark, documents, target, T0) == 3
+    # A batch that is done again finds one page more.
+    layers.curated.clear_batch(spark, "r", 0)
+    layers.curated.write_batch(frame(1, 2, 4), "r", 0)
+    assert load_increment(spark, documents, target, T0) == 1
+    # One more file comes to a folder that was listed while its batch was committed.
+    folder = f"{layers.curated.path}/dt=2026-03-24/run=r/batch_id=1"
+    frame(5).drop("dt").write.mode("append").parquet(folder)
+    assert load_increment(spark, documents, target, T0) == 1
+    assert {r.posting_id for r in target.postings(spark).collect()} == {f"p{i}" for i in range(1, 6)}
+    assert target.postings(spark).count() == 5
+    # Nothing has changed, so no part is looked at.
+    parts = documents.listing(spark).join(target.loaded_parts.read(spark), ["dt", "run", "batch_id", "files"], "left_anti")
+    assert parts.count() == 0 and load_increment(spark, documents, target, T0) == 0
+
+
 def test_hourly_runs_carry_the_clean_table_on(spark, tmp_path, lake):
     target, clean = Staging(str(tmp_path / "wh")), CleanPostings(str(tmp_path / "wh" / "clean_postings"))
     documents, hours = ObjectDocuments(str(lake)), [datetime(2026, 3, 24, 12 + k) for k in range(4)]
