@@ -1,24 +1,29 @@
 """Language-model scores by a Brown class-based bigram model.
 
-Counting: words of all training texts, and pairs of neighbouring symbols. A symbol is one of the
-CLUSTERED most frequent words, the end of a text, or the shape of any other word. Exchange
-clustering moves each clustered word to the class that raises the likelihood of the pair counts
-most; a shape and the end are classes of their own. The probability of a word is that of its
-class after the class before, times that of the word in its class.
+A symbol is a word that occurs MIN_COUNT times or more, the end of a text, or the shape of any
+other word. The training texts are stored once as numbers of symbols. Exchange clustering on the
+driver moves each of the CLUSTERED most frequent words, the core, to the class that raises the
+likelihood of the pair counts most. Every other symbol word joins the core's class that raises the
+likelihood most, by Spark aggregates of the classes before and after it, over several passes. A
+shape and the end are classes of their own. The probability of a word is that of its class after
+the class before, times that of the word in its class.
 
 Counts of all words stay on the cluster. Only words above a frequency that at most HOT of them
-reach are broadcast; the rest of each text meets its counts in a shuffle.
+reach are broadcast; the rest of each text meets its counts in a shuffle. What grows with the
+vocabulary on the driver and in each worker is a hash, a shape and a class of each symbol word,
+some eleven bytes.
 """
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,15 +32,20 @@ from hiregrain.llm.common import per_text, ranges, remainder, small_batches, tab
 END = b"\n"
 #: Added to each count of a word; an unseen word is one word more.
 ADDED = 0.1
-#: Words that are clustered, classes they are put in, rounds of exchange at most.
+#: Words of the core, classes they are put in, rounds of exchange at most.
 CLUSTERED = 1000
 CLASSES = 40
 ROUNDS = 8
+#: Words that occur less often have the class of their shape; times the others choose a class.
+MIN_COUNT = 2
+PASSES = 2
+#: Of those, so many choose in one task.
+WORDS_A_TASK = 20_000
 #: Weight of a class's own share in the probability of following another.
 BACKOFF = 20.0
 #: The words that are broadcast with their counts are the most frequent, so many at most.
 HOT = 200_000
-#: Shapes of words outside the clusters: four lengths, with a last byte in a word or not.
+#: Shapes of unseen and one-off words: four lengths, with a last byte in a word or not.
 SHAPES = 8
 #: Distinct words or symbols a task holds before it passes counts on.
 HELD = 400_000
@@ -83,44 +93,235 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def word_hashes(words_: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(blake2b(word, digest_size=8).digest() for word in words_), np.uint64)
+
+
+@dataclass
+class Clustered:
+    """The words that have a class: the core by name, the others by sorted hashes, with shapes."""
+
+    core: list[bytes]
+    tail: np.ndarray
+    shapes: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.core) + len(self.tail)
+
+
 class Symbols(dict):
     """Numbers of the clustered words, END, and the shapes of all others, kept when first met."""
 
-    def __init__(self, clustered: list[bytes]):
-        super().__init__((word, k) for k, word in enumerate(clustered))
+    def __init__(self, clustered: Clustered):
+        super().__init__((word, k) for k, word in enumerate(clustered.core))
+        self.first, self.tail = len(clustered.core), clustered.tail
         self.end = self[END] = len(clustered)
         self.count = len(clustered) + 1 + SHAPES
 
+    def _found(self, own: list[bytes]) -> list[int]:
+        if not len(self.tail):
+            return [self.end + 1 + shape(word) for word in own]
+        keys = word_hashes(own)
+        at = np.minimum(self.tail.searchsorted(keys), len(self.tail) - 1)
+        places = np.where(self.tail[at] == keys, self.first + at, -1).tolist()
+        return [self.end + 1 + shape(word) if k < 0 else k for word, k in zip(own, places, strict=True)]
+
+    def learn(self, met: set[bytes]) -> None:
+        """Looks up words together: that takes a fraction of the time they take one by one."""
+        own = list(met.difference(self))
+        if len(self) + len(own) <= HELD:
+            self.update(zip(own, self._found(own), strict=True))
+
+    def looked_up(self, own: list[bytes]) -> np.ndarray:
+        """Symbols of words, none of which is kept."""
+        found = self._found(own)
+        return np.array([self.get(word, k) for word, k in zip(own, found, strict=True)], np.int64)
+
     def __missing__(self, word: bytes) -> int:
-        symbol = self.end + 1 + shape(word)
+        symbol = self._found([word])[0]
         if len(self) < HELD:
             self[word] = symbol
         return symbol
 
 
-def pair_counts(texts: DataFrame, clustered: list[bytes]) -> np.ndarray:
-    """How often each symbol follows each; a text begins after END. The result's size depends on
-    CLUSTERED only, so it comes to the driver."""
-    count = Symbols(clustered).count
+def clustered_words(counts: DataFrame) -> Clustered:
+    """The core, and every other word of MIN_COUNT or more."""
+    words_ = counts.where(F.col("word") != F.lit(bytearray(END)))
+    core = [bytes(row["word"]) for row in words_.orderBy(F.desc("n"), "word").limit(CLUSTERED).collect()]
+    named = set(core)
 
     def run(batches):
-        symbols = Symbols(clustered)
-        held = np.zeros(count * count, np.int64)
+        for batch in batches:
+            own = [word for word in batch.column(0).to_pylist() if word not in named]
+            keys = word_hashes(own).view(np.int64)
+            shapes = np.array([shape(word) for word in own], np.int8)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(shapes)], names=["key", "shape"])
+
+    found = words_.where(F.col("n") >= MIN_COUNT).select("word").mapInArrow(run, "key long, shape byte").toArrow()
+    keys, first = np.unique(found["key"].to_numpy().view(np.uint64), return_index=True)
+    return Clustered(core, keys, found["shape"].to_numpy()[first])
+
+
+def encoded(texts: DataFrame, clustered: Clustered) -> DataFrame:
+    """(symbols): the numbers of each text's symbols, its end included, four bytes each."""
+    sent = texts.sparkSession.sparkContext.broadcast(clustered)
+
+    def run(batches):
+        symbols = Symbols(sent.value)
+        get = symbols.__getitem__
         for block in _blocks(batches):
-            get = symbols.__getitem__
-            for text in block:
-                own = np.array([symbols.end, *map(get, words(text)), symbols.end], np.int64)
-                np.add.at(held, own[:-1] * count + own[1:], 1)
+            split = [words(text) for text in block]
+            symbols.learn(set().union(*split))
+            rows = [np.array([*map(get, own), symbols.end], np.int32).tobytes() for own in split]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["symbols"])
+
+    small_batches(texts.sparkSession)
+    return texts.select(F.col("text").cast("binary")).mapInArrow(run, "symbols binary")
+
+
+def _runs(batches: Iterator[pa.RecordBatch], end: int) -> Iterator[np.ndarray]:
+    """The symbols of some texts after each other; the first text too begins after an end."""
+    for batch in batches:
+        for start, stop in ranges(batch.column(0)):
+            block = batch.column(0).slice(start, stop - start).to_pylist()
+            yield np.concatenate([[end], np.frombuffer(b"".join(block), np.int32)]).astype(np.int64)
+
+
+def pair_counts(codes: DataFrame, kinds: np.ndarray, end: int) -> np.ndarray:
+    """How often each kind of symbol follows each. ``kinds`` has the kind of each symbol; there are
+    so few that the result comes to the driver."""
+    count = int(kinds.max()) + 1
+    sent = codes.sparkSession.sparkContext.broadcast(kinds)
+
+    def run(batches):
+        held = np.zeros(count * count, np.int64)
+        for symbols in _runs(batches, end):
+            own = sent.value[symbols].astype(np.int64)
+            np.add.at(held, own[:-1] * count + own[1:], 1)
         pairs = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(held[pairs])], names=["pair", "n"])
 
-    counted = texts.select(F.col("text").cast("binary")).mapInArrow(run, "pair long, n long")
-    found = counted.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    found = codes.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     pairs = np.zeros(count * count)
     pairs[found["pair"].to_numpy()] = found["n"].to_numpy()
     return pairs.reshape(count, count)
 
 
+def _summed(keys: list[np.ndarray], sums: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    keys = np.concatenate([np.zeros(0, np.int64), *keys])
+    order = np.argsort(keys, kind="stable")
+    keys, sums = keys[order], np.concatenate([np.zeros(0, np.int64), *sums])[order]
+    starts = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[starts], np.add.reduceat(sums, starts) if len(starts) else sums
+
+
+def contexts(codes: DataFrame, clustered: Clustered, classes: np.ndarray) -> DataFrame:
+    """(word, sides, counts): for a word outside the core, as its place in ``tail``, how often each
+    class comes before it (side = class) and after it (side = classes + class), as bytes. Counted in
+    each task; all rows of a word are in one partition, and a partition has some WORDS_A_TASK words."""
+    total, first, end = int(classes.max()) + 1, len(clustered.core), len(clustered)
+    sent = codes.sparkSession.sparkContext.broadcast(classes)
+
+    def rows(keys, sums):
+        word, side = np.divmod(keys, 2 * total)
+        starts = np.flatnonzero(np.diff(word, prepend=-1))
+        cuts = np.append(starts, len(word))
+        columns = [pa.array(word[starts])]
+        for data in (side.astype(np.uint16), sums.astype(np.uint32)):
+            offsets = (cuts * data.itemsize).astype(np.int32)
+            buffers = [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())]
+            columns.append(pa.Array.from_buffers(pa.binary(), len(starts), buffers))
+        return pa.RecordBatch.from_arrays(columns, names=["word", "sides", "counts"])
+
+    def run(batches):
+        keys, sums, size = [], [], 0
+        for symbols in _runs(batches, end):
+            kinds = sent.value[symbols].astype(np.int64)
+            at = np.flatnonzero((symbols >= first) & (symbols < end))
+            place = (symbols[at] - first) * (2 * total)
+            # An end closes each run, so a word always has a symbol after it.
+            met = np.concatenate([place + kinds[at - 1], place + total + kinds[at + 1]])
+            for x, y in zip((keys, sums), _summed([met], [np.ones(len(met), np.int64)]), strict=True):
+                x.append(y)
+            size += len(keys[-1])
+            if size > 8 * HELD:
+                yield rows(*_summed(keys, sums))
+                keys, sums, size = [], [], 0
+        yield rows(*_summed(keys, sums))
+
+    found = codes.mapInArrow(run, "word long, sides binary, counts binary")
+    return found.repartition(1 + len(clustered.tail) // WORDS_A_TASK, "word")
+
+
+def chosen(near: DataFrame, old: np.ndarray, grid: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words of ``near`` (contexts) and the one of the first ``classes`` classes that raises the
+    likelihood of ``grid`` most for each. ``old`` has the classes they are counted in now."""
+    total, size = len(grid), grid.sum(0)
+    # What a class follows, then what follows it: a row for each side, a column for each class.
+    sides = np.concatenate([grid, grid.T])[:, :classes]
+    sent = near.sparkSession.sparkContext.broadcast((old, sides, size[:classes]))
+
+    def best(word, side, n):
+        old, sides, size = sent.value
+        starts = np.flatnonzero(np.diff(word, prepend=-1))
+        owner = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(word))))
+        word = word[starts]
+        weight = np.bincount(owner, n * (side < total), len(word))
+        # The word itself is taken out of its class before all classes are compared.
+        here = np.arange(classes)[None, :] == old[word][:, None]
+        base = np.maximum(sides[side] - n[:, None] * here[owner], 0)
+        gain = np.add.reduceat(_entropy(base + n[:, None]) - _entropy(base), starts)
+        rest = np.maximum(size[None, :] - weight[:, None] * here, 0)
+        gain -= 2 * (_entropy(rest + weight[:, None]) - _entropy(rest))
+        kind = gain.argmax(1).astype(np.int16)
+        return pa.RecordBatch.from_arrays([pa.array(word), pa.array(kind)], names=["word", "kind"])
+
+    def run(batches):
+        keys, sums = [], []
+        for batch in batches:
+            side = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16)
+            times = pc.binary_length(batch.column(1)).to_numpy() // 2
+            keys.append(np.repeat(batch.column(0).to_numpy(), times) * (2 * total) + side)
+            sums.append(np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint32).astype(np.int64))
+        keys, sums = _summed(keys, sums)
+        word, side = np.divmod(keys, 2 * total)
+        edges = np.append(np.flatnonzero(np.diff(word, prepend=-1)), len(word))
+        for start in range(0, len(edges) - 1, 1000):
+            part = slice(edges[start], edges[min(start + 1000, len(edges) - 1)])
+            yield best(word[part], side[part], sums[part].astype(float))
+
+    found = near.mapInArrow(run, "word long, kind short").toArrow()
+    return found["word"].to_numpy(), found["kind"].to_numpy()
+
+
+def likelihood(grid: np.ndarray) -> float:
+    """What depends on the classes in the log likelihood of class pairs ``grid``."""
+    return float(_entropy(grid).sum() - _entropy(grid.sum(0)).sum() - _entropy(grid.sum(1)).sum())
+
+
+def assigned(codes: DataFrame, clustered: Clustered) -> tuple[np.ndarray, np.ndarray]:
+    """The class of each symbol, and how often each class follows each."""
+    core, end = len(clustered.core), len(clustered)
+    # For the core, all other words count as their shapes.
+    kinds = np.concatenate(
+        [np.arange(core), core + 1 + clustered.shapes.astype(np.int64), core + np.arange(1 + SHAPES)]
+    ).astype(np.int32)
+    classes = exchanged(pair_counts(codes, kinds, end), core).astype(np.int16)[kinds]
+    grid = pair_counts(codes, classes, end)
+    own = len(grid) - 1 - SHAPES
+    best = None
+    for _ in range(PASSES if len(clustered.tail) else 0):
+        words_, found = chosen(contexts(codes, clustered, classes), classes[core:end], grid, own)
+        classes = classes.copy()
+        classes[core + words_] = found
+        grid = pair_counts(codes, classes, end)
+        reached = likelihood(grid)
+        if best is not None and reached <= best[0]:
+            break
+        best = reached, classes, grid
+    return best[1:] if best else (classes, grid)
+
+
 def _entropy(x: np.ndarray | float) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
@@ -178,9 +379,10 @@ def exchanged(pairs: np.ndarray, movable: int, classes: int = CLASSES, rounds: i
 class Model:
     """What scoring needs on every executor."""
 
-    clustered: list[bytes]
+    clustered: Clustered
     hot: list[bytes]
     hot_counts: np.ndarray
+    hot_kinds: np.ndarray
     #: Class of each symbol; log10 of a class after a class; of each class its tokens and words.
     classes: np.ndarray
     follows: np.ndarray
@@ -199,7 +401,7 @@ class Model:
     def worker(self):
         symbols = Symbols(self.clustered)
         index = {word: k for k, word in enumerate(self.hot)}
-        kinds = np.array([self.classes[symbols[word]] for word in self.hot], np.int64)
+        kinds = self.hot_kinds
         counts = self.hot_counts.astype(float)
         base, emission = self.base(counts), self.emission(counts, kinds)
         end = int(self.classes[symbols.end])
@@ -223,6 +425,7 @@ class Model:
             return len(own), seen, float(base[at].sum()), float(chain + emission[at].sum()), rare
 
         def work(texts):
+            symbols.learn({word for text in texts for word in words(text) if word not in index})
             columns = zip(*map(score, texts), strict=True)
             kinds_ = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pair))
             return [pa.array(x, kind) for x, kind in zip(columns, kinds_, strict=True)]
@@ -246,14 +449,18 @@ def hot_words(counts: DataFrame, most: int = HOT) -> tuple[list[bytes], np.ndarr
     return found["word"].to_pylist(), found["n"].to_numpy()
 
 
-def class_sizes(counts: DataFrame, clustered: list[bytes], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def class_sizes(counts: DataFrame, clustered: Clustered, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Tokens and distinct words of each class."""
+    sent = counts.sparkSession.sparkContext.broadcast((clustered, classes))
 
     def run(batches):
+        clustered, classes = sent.value
         symbols, total = Symbols(clustered), int(classes.max()) + 1
+        # Each word comes once, so none is kept.
+        symbols_of = symbols.looked_up
         tokens, distinct = np.zeros(total, np.int64), np.zeros(total, np.int64)
         for batch in batches:
-            kinds = classes[[symbols[word] for word in batch.column(0).to_pylist()]]
+            kinds = classes[symbols_of(batch.column(0).to_pylist())]
             tokens += np.bincount(kinds, batch.column(1).to_numpy(), total).astype(np.int64)
             distinct += np.bincount(kinds, minlength=total)
         yield pa.RecordBatch.from_arrays(
@@ -277,17 +484,17 @@ def fit(docs: DataFrame, learn: Column) -> tuple[Model, DataFrame]:
     counts = written(word_counts(texts))
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     hot, hot_counts = hot_words(counts)
-    clustered = [word for word in hot if word != END][:CLUSTERED]
-    pairs = pair_counts(texts, clustered)
-    classes = exchanged(pairs, len(clustered))
-    total = int(classes.max()) + 1
-    member = np.zeros((len(classes), total))
-    member[np.arange(len(classes)), classes] = 1
-    grid = member.T @ pairs @ member
+    clustered = clustered_words(counts)
+    classes, grid = assigned(written(encoded(texts, clustered)), clustered)
+    total = len(grid)
+    symbols = Symbols(clustered)
+    hot_kinds = classes[symbols.looked_up(hot)].astype(np.int64)
     share = (grid.sum(0) + 1) / (grid.sum() + total)
     follows = np.log10((grid + BACKOFF * share) / (grid.sum(1, keepdims=True) + BACKOFF))
     class_tokens, class_words = class_sizes(counts, clustered, classes)
-    model = Model(clustered, hot, hot_counts, classes, follows, class_tokens, class_words, tokens, distinct)
+    model = Model(
+        clustered, hot, hot_counts, hot_kinds, classes, follows, class_tokens, class_words, tokens, distinct
+    )
     return model, counts
 
 

@@ -81,3 +81,27 @@ def test_odd_rows(odd_docs):
     nothing = scored(odd_docs, *fit(empty, learn)).collect()
     assert {row["n_known"] for row in nothing} == {0} and {row["train_tokens"] for row in nothing} == {0}
     assert all(math.isfinite(row["score"]) for row in nothing)
+
+
+def test_words_outside_the_core_get_the_class_of_their_use(spark, monkeypatch):
+    monkeypatch.setattr(class_lm, "CLUSTERED", 20)
+    monkeypatch.setattr(exchanged, "__defaults__", (2, class_lm.ROUNDS))
+    source = np.random.default_rng(3)
+    # Two kinds of words take turns; ten of each are frequent, thirty of each are rare. All of one shape.
+    named = [[f"{kind}{k:02d}" for k in range(40)] for kind in "ab"]
+    weights = np.array([20.0] * 10 + [1.0] * 30) / 230
+    rows = [
+        (k, " ".join(str(source.choice(named[j % 2], p=weights)) for j in range(100))) for k in range(150)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model, counts = fit(docs, F.lit(True))
+    symbols = Symbols(model.clustered)
+    kinds = [{int(model.classes[symbols[word.encode()]]) for word in words_} for words_ in named]
+    assert [len(kind) for kind in kinds] == [1, 1] and kinds[0] != kinds[1]
+    # A word met once, and one never met, have the class of their shape.
+    once = docs.union(spark.createDataFrame([(999, "zzz")], docs.schema))
+    model, counts = fit(once, F.lit(True))
+    symbols = Symbols(model.clustered)
+    assert symbols[b"zzz"] == symbols[b"yyy"] == symbols.end + 1 + class_lm.shape(b"zzz")
+    score = scored(docs, model, counts).agg(F.sum("score"), F.sum("base_score")).first()
+    assert score[0] > score[1]
