@@ -27,10 +27,11 @@ MAX_REPEAT_PERCENT = 50
 #: The share of a group that each concentration step keeps.
 CORE = 0.75
 #: A text is rejected if a clean one lies as far out with this probability at most.
-ALPHA = 1e-9
+ALPHA = 1e-6
 #: Spread below which a difference of a statistic means nothing, added to each variance: the
-#: statistics of clean texts are often all zero, and their scatter would be singular.
-FLOORS = (0.05, 0.03, 0.15, 0.15)
+#: statistics of clean texts are often all zero, and their scatter would be singular. Where they
+#: are, over 8 percent of equal lines or of words repeated are beyond the cut by themselves.
+FLOORS = (0.05, 0.03, 0.05, 0.05)
 #: Languages and sources with fewer rows are estimated together, by language or as a whole.
 MIN_GROUP = 200
 #: Concentration steps end when no log determinant falls by this much, or after so many.

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 
@@ -52,6 +53,34 @@ def test_robust_estimate_withstands_a_quarter_of_outliers(spark):
     assert abs(params.first()["_m0"] - clean.mean()) < 0.01
 
 
+@pytest.fixture(scope="module")
+def planted(spark):
+    """Clean texts of one group, with forty outliers in each of the four statistics; who is rejected."""
+    source = np.random.default_rng(2)
+    rows = []
+    for k in range(1600):
+        kind = k % 10 if k < 400 else 9
+        n_words, n_lines = int(source.integers(100, 400)), int(source.integers(20, 40))
+        chars = int(n_words * (9.0 if kind == 0 else source.normal(5.0, 0.1)))
+        symbols = chars // 10 if kind == 1 else int(source.integers(0, 2))
+        equal = n_lines * 3 // 10 if kind == 2 else 0
+        repeats = n_words * 2 // 5 if kind == 3 else int(source.integers(0, 2)) * 3
+        rows.append((k, "en", "s", n_words, chars, symbols, n_lines, equal, repeats))
+    measured = spark.createDataFrame(rows, "doc_id long, lang string, source string, " + quality.STATISTICS)
+    found = quality.judged(measured, quality.fit(measured)).collect()
+    assert not any(row["base_failed"] for row in found)
+    return {row["doc_id"] for row in found if not row["kept"]}
+
+
+@pytest.mark.parametrize("kind", range(4))
+def test_each_statistic_rejects_by_itself(planted, kind):
+    assert {k for k in range(400) if k % 10 == kind} <= planted
+
+
+def test_clean_texts_are_kept(planted):
+    assert not {k for k in planted if k >= 400 or k % 10 > 3}
+
+
 def test_chi_square_quantile():
     assert abs(quality.chi2_quantile(0.05, 4) - 9.4877) < 1e-3
     assert abs(quality.chi2_quantile(0.025, 4) - 11.1433) < 1e-3
