@@ -83,12 +83,13 @@ def per_text(
     fields: str,
     limit: int = BLOCK_BYTES,
     path: tuple[str, ...] = ("text",),
+    beside: str | None = None,
 ) -> DataFrame:
     """The rows of ``docs`` as a struct ``row``, with the ``fields`` worked out from their texts.
 
     ``worker()`` runs once in each task and returns a function that gives the arrays of the
     fields for a block of UTF-8 texts, which lie at ``path`` in ``row``. Extra columns of any
-    name stay within ``row``.
+    name stay within ``row``. With ``beside``, the function also gets that column's values.
     """
     small_batches(docs.sparkSession)
     added = T.StructType.fromDDL(fields)
@@ -101,7 +102,11 @@ def per_text(
             texts = pc.struct_field(rows, list(path)).cast(pa.binary())
             for start, stop in ranges(texts, limit):
                 work = work or worker()
-                arrays = work(texts.slice(start, stop - start).to_pylist())
+                given = [texts.slice(start, stop - start).to_pylist()]
+                if beside:
+                    own = pc.struct_field(rows, [beside])
+                    given.append(own.slice(start, stop - start).to_pylist())
+                arrays = work(*given)
                 yield pa.RecordBatch.from_arrays(
                     [rows.slice(start, stop - start), *arrays], names=schema.names
                 )

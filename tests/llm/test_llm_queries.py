@@ -22,7 +22,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test table
 
 def test_every_number_is_registered_once():
     numbers = [int(name.split("_")[0][2:]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11)) and {*QUERIES, "pipeline"} <= set(queries())
+    assert sorted(numbers) == list(range(1, 14)) and {*QUERIES, "pipeline"} <= set(queries())
 
 
 @pytest.mark.parametrize("name", list(ORACLES))
