@@ -108,25 +108,15 @@ def last_of_batch(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_rank", F.row_number().over(latest)).where("_rank = 1").drop("_rank")
 
 
-def newest(rows: DataFrame, identity: list[str]) -> DataFrame:
-    """One row per identity: that of the latest ``written_at``, found on narrow columns."""
-    if "written_at" in rows.columns:
-        last = rows.groupBy(*identity).agg(F.max("written_at").alias("written_at"))
-        rows = rows.join(last, [*identity, "written_at"], "left_semi")
-    return rows.dropDuplicates(identity)
-
-
 def reprocess_from_raw(
     raw_pages: DataFrame, jobs: DataFrame, sites: tuple[SiteRule, ...] = SITES
 ) -> DataFrame:
     """Curated documents from stored html after a rule change; nothing is fetched.
 
-    ``raw_pages(source, dt, job_id, html)`` and ``jobs`` with keys share one identity. Of
-    several raw pages of an identity the one written last (``written_at``, if there is such a
-    column) counts.
+    ``raw_pages(source, dt, job_id, html)`` and ``jobs`` with keys share one identity, of which
+    each has one row.
     """
     identity = ["source", "dt", "job_id"]
-    raw_pages = newest(raw_pages, identity)
     facts = page_facts(raw_pages.select(*identity, "html"))
     stored = jobs.join(facts, identity)
     return curated_documents(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +34,22 @@ def clean_postings(staging: DataFrame) -> DataFrame:
     return latest_rows(staging.select(*STAGING_COLUMNS))
 
 
+def last_written(rows: DataFrame, identity: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row of each identity: the last by ``order``, and then by the whole row.
+
+    Identities with more than one row, which are few, are found on narrow columns; all other
+    rows pass as they are, without a shuffle while those few can be sent.
+    """
+    again = rows.groupBy(*identity).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    again = checked_broadcast(again.select(*[F.col(name).alias(f"_{name}") for name in identity]))
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in identity]
+    ties = F.to_json(F.struct(*[name for name in rows.columns if name not in identity]))
+    last = Window.partitionBy(*identity).orderBy(*[F.col(name).desc() for name in order], ties.desc())
+    contested = rows.join(again, same, "left_semi").withColumn("_rank", F.row_number().over(last))
+    settled = contested.where("_rank = 1").drop("_rank")
+    return rows.join(again, same, "left_anti").unionByName(settled)
+
+
 def merge_latest(current: DataFrame, increment: DataFrame) -> DataFrame:
     """Newest row per posting of an already clean table and new staging rows.
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hiregrain.operators.marts import quality_counts, quality_flags
-from hiregrain.schemas import REQUIRED_STAGING, VERDICT
+from hiregrain.schemas import REQUIRED_CLEAN, REQUIRED_STAGING, VERDICT
 from hiregrain.session import cut
 
 MIN_POSTINGS = 5
@@ -28,7 +28,6 @@ CHECK_ORDER = (
     NO_DUPLICATE_HASH,
     DESCRIPTION_QUALITY,
 )
-_REQUIRED_CLEAN = ("title", "original_url", "source", "collected_at")
 
 
 class QualityCheckFailed(Exception):
@@ -47,7 +46,7 @@ def row_count(rows: DataFrame) -> DataFrame:
 
 
 def required_field_nulls(clean: DataFrame) -> DataFrame:
-    return clean.where(any_null(*_REQUIRED_CLEAN)).agg(F.count(F.lit(1)).alias("invalid_count"))
+    return clean.where(any_null(*REQUIRED_CLEAN)).agg(F.count(F.lit(1)).alias("invalid_count"))
 
 
 def duplicate_hashes(clean: DataFrame) -> DataFrame:
@@ -100,18 +99,34 @@ def check_verdicts(
     stored once, and all checks over them read that narrow copy.
     """
     flags = keep(
-        quality_flags(staging, field_missing=any_null(*_REQUIRED_CLEAN)).drop(
+        quality_flags(staging, field_missing=any_null(*REQUIRED_CLEAN)).drop(
             "original_url", "collected_at", "loaded_at", "posting_id"
         )
     )
-    stg = row_count(staging).select(
+    counted = flags.agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_if("field_missing").alias("invalid")
+    )
+    groups = duplicate_hashes(flags).agg(F.count(F.lit(1)).alias("groups"))
+    return verdicts_of(
+        row_count(staging), counted, groups, quality_counts(flags), min_postings, min_fill_rate
+    )
+
+
+def verdicts_of(
+    staged: DataFrame,
+    counted: DataFrame,
+    groups: DataFrame,
+    quality: DataFrame,
+    min_postings: int = MIN_POSTINGS,
+    min_fill_rate: float = MIN_FILL_RATE,
+) -> DataFrame:
+    """The verdicts on counts: ``staged`` (row_count), ``counted`` (row_count, invalid), ``groups``
+    (groups) in one row each, and the ``quality`` counts of each source."""
+    stg = staged.select(
         *_verdict(
             STAGING_NOT_EMPTY, F.lit("staging"), F.col("row_count"), 1, F.col("row_count") > 0
         )
     )
-    counted = flags.agg(
-        F.count(F.lit(1)).alias("row_count"), F.count_if("field_missing").alias("invalid")
-    )
     rows = counted.select(
         *_verdict(
             CLEAN_NOT_EMPTY, F.lit("intermediate"), F.col("row_count"), 1, F.col("row_count") > 0
@@ -120,13 +135,12 @@ def check_verdicts(
     required = counted.select(
         *_verdict(REQUIRED_FIELDS, F.lit("intermediate"), F.col("invalid"), 0, F.col("invalid") == 0)
     )
-    groups = duplicate_hashes(flags).agg(F.count(F.lit(1)).alias("groups"))
     hashes = groups.select(
         *_verdict(
             NO_DUPLICATE_HASH, F.lit("intermediate"), F.col("groups"), 0, F.col("groups") == 0
         )
     )
-    rates = fill_rates(quality_counts(flags)).select(
+    rates = fill_rates(quality).select(
         *_verdict(
             DESCRIPTION_QUALITY,
             F.col("source"),

@@ -498,6 +498,11 @@ SELECT doc_id AS page_id, unnest(CASE WHEN doc_id % 3 = 1 THEN CAST([] AS VARCHA
     "curated_docs": DOCUMENTS + _CURATED_ROWS,
     "worker_stream_documents": DOCUMENTS + _CURATED_ROWS,
     "two_workers_documents": DOCUMENTS + _CURATED_ROWS,
+    "overlapping_workers_documents": DOCUMENTS + _CURATED_ROWS,
+    "backfill_documents": DOCUMENTS + _CURATED_ROWS,
+    "loaded_from_commits": DOCUMENTS
+    + f"""SELECT * REPLACE (strftime(CAST(collected_at AS TIMESTAMP), {TIME}) AS collected_at),
+                 '2024-02-01 00:00:00.000000' AS loaded_at FROM ({_CURATED_ROWS})""",
     "processed_docs": DOCUMENTS
     + """SELECT job_id, source, url, collected_at, raw_s3_key,
          '2024-02-01 00:00:00.000000' AS processed_at, length(html)::INT AS html_length,
@@ -557,3 +562,11 @@ WITH urls AS (
 SELECT sha256('load_test|' || url || '|' || ordinal || '|run-1') AS job_id,
        'load_test' AS source, url, {_JOB_COLUMNS} FROM urls""",
 }
+
+# What is carried on from load to load is what whole tables give.
+ORACLES |= {
+    "carried_clean": ORACLES["int_postings_clean"],
+    "carried_daily": ORACLES["mart_postings_daily"],
+    "carried_source_quality": ORACLES["mart_source_quality"],
+    "carried_verdicts": ORACLES["dq_verdicts"],
+}

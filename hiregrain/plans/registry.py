@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,13 +27,15 @@ from hiregrain.operators.pages import NOT_FETCHED, fetch_outcome, page_facts, re
 from hiregrain.operators.sites import extract_fields, site_flag, site_of
 from hiregrain.operators.skew import salted_left_join
 from hiregrain.plans import standins
+from hiregrain.plans.backfill import backfill
+from hiregrain.plans.clean import CleanPostings
 from hiregrain.plans.loading import Staging, load_increment, new_keys, staging_rows
 from hiregrain.plans.warehouse import DAILY_VIEW, QUALITY_VIEW, publish
-from hiregrain.schemas import LOAD_CHECKPOINT, POSTING_FIELDS
+from hiregrain.schemas import CURATED_COLUMNS, POSTING_FIELDS
 from hiregrain.session import cut, pin, shared_dir
 from hiregrain.sources.lake import CURATED_PREFIX, Layers, ObjectDocuments, TableDocuments
 from hiregrain.sources.tables import BATCH_COLUMNS
-from hiregrain.sources.topics import FETCH_TOPIC
+from hiregrain.sources.topics import FETCH_TOPIC, FolderTopics
 from hiregrain.streaming.failures import Archive, FailureTrend, Replay
 from hiregrain.streaming.worker import Worker
 
@@ -103,6 +105,33 @@ def _published(name: str) -> Query:
     return read_back
 
 
+def _carried(spark, sf_dir) -> CleanPostings:
+    """The clean table and its counts after three loads, of every third event each."""
+    root = _fresh_dir(spark, "carried")
+    staging, clean = Staging(root).create(spark), CleanPostings(f"{root}/clean", buckets=8)
+    rows = cut(standins.staging(spark, sf_dir))
+    for k in range(3):
+        staging.rows.append(rows.where(F.pmod(F.crc32("posting_id"), F.lit(3)) == k))
+        clean.advance(spark, staging)
+    return clean
+
+
+def carried_clean(spark, sf_dir):
+    return _carried(spark, sf_dir).read(spark)
+
+
+def carried_daily(spark, sf_dir):
+    return _carried(spark, sf_dir).daily(spark)
+
+
+def carried_source_quality(spark, sf_dir):
+    return _carried(spark, sf_dir).source_quality(spark)
+
+
+def carried_verdicts(spark, sf_dir):
+    return _carried(spark, sf_dir).verdicts(spark)
+
+
 def dq_required_fields(spark, sf_dir):
     return quality.required_field_nulls(clean_postings(standins.staging(spark, sf_dir)))
 
@@ -150,7 +179,7 @@ def staging_load(spark, sf_dir):
     lake.write_batch(standins.curated(spark, sf_dir), RUN, 0)
     staging = Staging(root).create(spark)
     staging.loaded_keys.append(
-        standins.loaded_keys(spark, sf_dir).select(*LOAD_CHECKPOINT.fieldNames())
+        standins.loaded_keys(spark, sf_dir)
     )
     load_increment(spark, TableDocuments(lake), staging, NOW)
     return staging.postings(spark)
@@ -385,11 +414,7 @@ def replay_skips(spark, sf_dir):
 def _worked(spark, sf_dir, parts: tuple[Column | None, ...] = (None,)) -> Layers:
     """A worker for each part of the events, one after the other, until none is left."""
     root = _fresh_dir(spark, "worker")
-    layers = Layers(root).create(spark)
-    done = standins.done_keys(spark, sf_dir).withColumnRenamed("job_id", "posting_id")
-    blank = {f.name: F.lit(None).cast("string") for f in layers.curated.schema.fields}
-    missing = {name: null for name, null in blank.items() if name not in done.columns}
-    layers.curated.write_batch(done.withColumns(missing), "before", -1)
+    layers = _lake(spark, sf_dir, root)
     for k, part in enumerate(parts):
         worker = Worker(
             layers,
@@ -401,14 +426,21 @@ def _worked(spark, sf_dir, parts: tuple[Column | None, ...] = (None,)) -> Layers
     return layers
 
 
+def _lake(spark, sf_dir, root: str) -> Layers:
+    """A lake in which some identities are done already."""
+    layers = Layers(root).create(spark)
+    done = standins.done_keys(spark, sf_dir).withColumnRenamed("job_id", "posting_id")
+    layers.curated.write_batch(done, "before", -1)
+    return layers
+
+
 def worker_stream_outcomes(spark, sf_dir):
     counts = _worked(spark, sf_dir).outcomes.read(spark)
     return counts.groupBy("outcome").agg(F.sum("message_count").alias("message_count"))
 
 
 def _documents(spark, layers: Layers) -> DataFrame:
-    made = layers.curated.read(spark).where("batch_id >= 0")
-    return made.drop("dt", *BATCH_COLUMNS)
+    return layers.documents(spark).where("batch_id >= 0").select(*CURATED_COLUMNS)
 
 
 def worker_stream_documents(spark, sf_dir):
@@ -424,6 +456,41 @@ def two_workers_documents(spark, sf_dir):
     return _documents(spark, _worked(spark, sf_dir, parts))
 
 
+def overlapping_workers_documents(spark, sf_dir):
+    """Two workers over the first and the last two thirds of the events: the second does its work
+    after the first has looked for documents and before it writes its own."""
+    thirds = F.percentile_approx("event_id", F.array(F.lit(1 / 3), F.lit(2 / 3)))
+    low, high = standins.table(spark, sf_dir, "events").agg(thirds).first()[0]
+    layers = _lake(spark, sf_dir, _fresh_dir(spark, "worker"))
+    topics = FolderTopics(f"{layers.root}/topics")
+
+    def worker(name: str, time: datetime) -> Worker:
+        pages = lambda session: standins.page_fetch(session, sf_dir)
+        return Worker(layers, topics, pages, clock=lambda: time, name=name)
+
+    messages = standins.messages(spark, sf_dir)
+    first, second = worker("first", NOW + timedelta(minutes=1)), worker("second", NOW)
+    judged = first.routed(messages.where(F.col("offset") <= high), 0, "run-1")
+    second.process(messages.where(F.col("offset") > low), 0, "run-2")
+    first.store(*judged, "run-1", 0)
+    return _documents(spark, layers)
+
+
+def backfill_documents(spark, sf_dir):
+    """Every document of a worker made again from the stored pages, as of newer rules."""
+    layers = _worked(spark, sf_dir)
+    backfill(spark, layers, 1, NOW + timedelta(days=1))
+    return _documents(spark, layers)
+
+
+def loaded_from_commits(spark, sf_dir):
+    """Staging after a load that follows the commits of a worker: the same documents again."""
+    layers = _worked(spark, sf_dir)
+    staging = Staging(_fresh_dir(spark, "load")).create(spark)
+    load_increment(spark, TableDocuments(layers.curated, layers.commits), staging, NOW)
+    return staging.postings(spark)
+
+
 def archive_stream(spark, sf_dir):
     root = _fresh_dir(spark, "archive")
     archive = Archive(root, standins.EventTopics(f"{root}/topics", sf_dir), clock=lambda: NOW)
@@ -504,6 +571,10 @@ _QUERIES: dict[str, Query] = {
     "published_daily": _published(DAILY_VIEW),
     "published_source_quality": _published(QUALITY_VIEW),
     "dq_verdicts": dq_verdicts,
+    "carried_clean": carried_clean,
+    "carried_daily": carried_daily,
+    "carried_source_quality": carried_source_quality,
+    "carried_verdicts": carried_verdicts,
     "dq_first_failure": dq_first_failure,
     "dq_required_fields": dq_required_fields,
     "dq_duplicate_hash_groups": dq_duplicate_hash_groups,
@@ -549,6 +620,9 @@ _QUERIES: dict[str, Query] = {
     "worker_stream_outcomes": worker_stream_outcomes,
     "worker_stream_documents": worker_stream_documents,
     "two_workers_documents": two_workers_documents,
+    "overlapping_workers_documents": overlapping_workers_documents,
+    "backfill_documents": backfill_documents,
+    "loaded_from_commits": loaded_from_commits,
     "archive_stream": archive_stream,
     "replay_stream": replay_stream,
     "failure_trend_stream": failure_trend_stream,

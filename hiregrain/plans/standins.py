@@ -37,7 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table in even parts, whatever its files: a file of one row group would keep one core
     busy. Only the stand-ins need this shuffle."""
-    return table(spark, sf_dir, name).hint("rebalance")
+    return table(spark, sf_dir, name).repartition(spark.sparkContext.defaultParallelism)
 
 
 def _turn(column: str, by: int) -> Column:

@@ -2,26 +2,24 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 from hiregrain.operators import monitoring
-from hiregrain.operators.latest import clean_postings, merge_latest
+from hiregrain.operators.latest import clean_postings
 from hiregrain.operators.marts import mart_daily, mart_source_quality
 from hiregrain.operators.quality import check_verdicts, enforce
+from hiregrain.plans.clean import KEPT, CleanPostings, Version
 from hiregrain.plans.loading import Staging, load_increment
 from hiregrain.schemas import STAGING
 from hiregrain.sources.lake import Documents
+from hiregrain.sources.tables import delete, matching
 
 CLEAN_VIEW = "int_job_postings_clean"
 DAILY_VIEW = "mart_job_postings_daily"
 QUALITY_VIEW = "mart_job_postings_source_quality"
 
-# Names of versions of the clean table: the load time, to the microsecond, or the next free one.
-_VERSION = "%Y%m%dT%H%M%S%f"
-
 
 def build_views(staging: DataFrame) -> dict[str, DataFrame]:
     """Create or replace the three views; nothing is computed until one is read."""
@@ -35,74 +33,52 @@ def build_views(staging: DataFrame) -> dict[str, DataFrame]:
     return views
 
 
-@dataclass(frozen=True)
-class CleanPostings:
-    """The latest row per posting as a table that each load carries on.
+def switch_view(
+    spark: SparkSession, name: str, root: str, places: list[str], columns: list[str]
+) -> None:
+    """Make a catalog view read from some parquet folders below ``root``: one step for its readers,
+    who see the folders before or these, never none and never both."""
+    spark.catalog.dropTempView(name)  # it would hide the view
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")
+    place = f"{root}/{{{','.join(places)}}}" if len(places) > 1 else f"{root}/{places[0]}"
+    chosen = ", ".join(f"`{column}`" for column in columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {chosen} FROM parquet.`{place}`")
 
-    A version is a folder; their names grow. It counts once it is complete, so an interrupted
-    step leaves the version before. The staging files that a version has taken in are listed
-    beside it, so the next step takes in all others, whatever the time of their load.
-    """
 
-    root: str
-
-    def _versions(self, spark: SparkSession) -> list[str]:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/version=*/_SUCCESS")
-        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        return sorted(found.getPath().getParent().toString() for found in files.globStatus(path) or [])
-
-    def read(self, spark: SparkSession) -> DataFrame:
-        versions = self._versions(spark)
-        if not versions:
-            return spark.createDataFrame([], STAGING)
-        return spark.read.schema(STAGING).parquet(versions[-1])
-
-    def _taken(self, spark: SparkSession, version: str) -> DataFrame:
-        """Staging files in a version; none if it was written without a list, so all are merged again."""
-        place = f"{self.root}/taken/{version.rpartition('/')[2]}"
-        path = spark._jvm.org.apache.hadoop.fs.Path(place)
-        if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-            return spark.createDataFrame([], "name string")
-        return spark.read.schema("name string").parquet(place)
-
-    def advance(self, spark: SparkSession, staging: Staging, loaded_at: datetime) -> DataFrame:
-        """Merge the rows of all staging files that the last version has not; drop versions
-        before the last, which readers may still hold."""
-        versions = self._versions(spark)
-        files = staging.rows.files(spark)
-        rows = staging.rows.read(spark)
-        if versions:
-            fresh = files.join(self._taken(spark, versions[-1]), "name", "left_anti").collect()
-            if not fresh:
-                return self.read(spark)
-            rows = staging.rows.in_files(spark, [row["name"] for row in fresh])
-            last = datetime.strptime(versions[-1].rpartition("=")[2], _VERSION)
-            loaded_at = max(loaded_at, last + timedelta(microseconds=1))
-        version = f"version={loaded_at:{_VERSION}}"
-        # The list comes first: a version that is complete always has its own.
-        files.write.mode("overwrite").parquet(f"{self.root}/taken/{version}")
-        merged = merge_latest(self.read(spark), rows.drop("loaded_date"))
-        merged.write.mode("overwrite").parquet(f"{self.root}/{version}")
-        for old in versions[:-1]:
-            for place in (old, f"{self.root}/taken/{old.rpartition('/')[2]}"):
-                path = spark._jvm.org.apache.hadoop.fs.Path(place)
-                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-        return self.read(spark)
-
-
-def publish(rows: DataFrame, root: str) -> None:
-    """Store the three results over staging or clean ``rows`` as catalog tables below ``root``,
-    for other sessions to read."""
-    spark = rows.sparkSession
+def publish(rows: DataFrame, root: str, kept: int = KEPT) -> None:
+    """Store the three results over staging or clean ``rows`` as versions below ``root`` and turn
+    the catalog views to them, for other sessions to read. ``kept`` versions stay."""
     results = {
         CLEAN_VIEW: clean_postings(rows),
         DAILY_VIEW: mart_daily(rows),
         QUALITY_VIEW: mart_source_quality(rows),
     }
+    _publish(rows.sparkSession, results, root, kept)
+
+
+def _publish(spark: SparkSession, results: dict[str, DataFrame], root: str, kept: int) -> None:
+    made = {}
     for name, result in results.items():
-        spark.catalog.dropTempView(name)  # it would hide the table
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        result.write.mode("overwrite").option("path", f"{root}/{name}").saveAsTable(name)
+        versions = matching(spark, f"{root}/{name}/version=*")
+        number = int(versions[-1].rpartition("=")[2]) + 1 if versions else 0
+        made[name] = f"{name}/version={number:010d}"
+        result.write.parquet(f"{root}/{made[name]}")
+    for name, place in made.items():
+        switch_view(spark, name, root, [place], results[name].columns)
+        for old in matching(spark, f"{root}/{name}/version=*")[:-kept]:
+            delete(spark, old)
+
+
+def publish_version(spark: SparkSession, clean: CleanPostings, of: Version, root: str, kept: int = KEPT) -> None:
+    """Turn the views to a version of the clean table, whose rows are not written again."""
+    places = list(of.places.get("rows", {}).values())
+    marts = {DAILY_VIEW: clean.daily(spark, of), QUALITY_VIEW: clean.source_quality(spark, of)}
+    if not places:
+        marts[CLEAN_VIEW] = clean.read(spark, of)
+    _publish(spark, marts, root, kept)
+    if places:
+        switch_view(spark, CLEAN_VIEW, clean.root, places, STAGING.fieldNames())
 
 
 def run_checks(staging: DataFrame, stop_on_failure: bool = False) -> DataFrame:
@@ -121,17 +97,31 @@ def hourly_run(
     stop_on_failure: bool = False,
     publish_to: str | None = None,
 ) -> DataFrame:
-    """Load what is new, carry the clean table on, refresh the views (or the tables below
-    ``publish_to``) over it, check the result."""
+    """Load what is new, carry the clean table and its counts on, refresh the views (or those in
+    the catalog, with their files below ``publish_to``), check the result.
+
+    Everything after the load reads the increment, the postings it displaces and stored counts.
+    """
     staging.create(spark)
     load_increment(spark, documents, staging, loaded_at)
-    clean = CleanPostings(f"{staging.root}/clean_postings").advance(spark, staging, loaded_at)
+    clean = CleanPostings(f"{staging.root}/clean_postings")
+    version = clean.advance(spark, staging)
     if publish_to is None:
-        build_views(clean)
+        clean.read(spark, version).createOrReplaceTempView(CLEAN_VIEW)
+        clean.daily(spark, version).createOrReplaceTempView(DAILY_VIEW)
+        clean.source_quality(spark, version).createOrReplaceTempView(QUALITY_VIEW)
     else:
-        publish(clean, publish_to)
-    postings = staging.postings(spark)
-    return run_checks(postings, stop_on_failure)
+        publish_version(spark, clean, version, publish_to)
+    verdicts = clean.verdicts(spark, version)
+    if stop_on_failure:
+        enforce(verdicts)
+    return verdicts
+
+
+def housekeeping(spark: SparkSession, staging: Staging) -> int:
+    """Delete what interrupted loads and old versions have left; for an hour without a run.
+    Returns the number of folders deleted."""
+    return staging.sweep(spark) + CleanPostings(f"{staging.root}/clean_postings").sweep(spark)
 
 
 def monitor(staging: DataFrame, events: DataFrame) -> dict[str, DataFrame]:

@@ -1,4 +1,7 @@
-"""Declared schemas of every message, document and table."""
+"""Declared schemas of every message, document and table.
+
+Fixed values: the names, types and order of columns are those that other systems read and write.
+"""
 
 from __future__ import annotations
 
@@ -85,6 +88,9 @@ REQUIRED_STAGING = (
     "loaded_at",
 )
 
+#: What a clean posting may not lack.
+REQUIRED_CLEAN = ("title", "original_url", "source", "collected_at")
+
 STAGING_COLUMNS = (*CURATED_COLUMNS, "loaded_at")
 
 STAGING = T.StructType(
@@ -102,6 +108,7 @@ LOAD_CHECKPOINT = T.StructType(
     [
         T.StructField("s3_key", T.StringType(), False),
         T.StructField("loaded_at", T.TimestampType(), False),
+        T.StructField("rule_version", T.LongType()),
     ]
 )
 

@@ -7,14 +7,16 @@ file. Both list keys without reading documents and read only the days asked for.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hiregrain.operators.latest import last_written
 from hiregrain.schemas import CURATED, CURATED_COLUMNS, PROCESSED, TOPIC
-from hiregrain.sources.tables import Table
+from hiregrain.sources.tables import BATCH_COLUMNS, Table
 
 CURATED_PREFIX = "curated/job_postings"
 
@@ -23,6 +25,19 @@ RAW_PAGES = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("job_id", "html", "raw_s3_key", "source")]
     + [T.StructField("written_at", T.TimestampType()), _DT]
 )
+#: What a batch has written, one row for each day of its documents.
+COMMITS = T.StructType(
+    [
+        _DT,
+        T.StructField("documents", T.LongType()),
+        T.StructField("written_at", T.TimestampType()),
+        T.StructField("written_on", T.StringType()),
+    ]
+)
+#: Which rows of a layer are of one object: of several, the one written last stays.
+DOCUMENT, PAGE = ("dt", "posting_id"), ("source", "dt", "job_id")
+#: The last document is that made by the newest site rules, and of these the last written.
+LAST_DOCUMENT = ("rule_version", "written_at", *BATCH_COLUMNS)
 OUTCOME_COUNTS = T.StructType(
     [T.StructField("outcome", T.StringType()), T.StructField("message_count", T.LongType())]
 )
@@ -30,7 +45,11 @@ OUTCOME_COUNTS = T.StructType(
 
 @dataclass(frozen=True)
 class Layers:
-    """Tables the worker fills below one root."""
+    """Tables the worker fills below one root.
+
+    Two workers that overlap may both write an identity. Readers see one row of it, that of the
+    last write, as in a store with one object for each key; see ``documents``.
+    """
 
     root: str
 
@@ -45,9 +64,15 @@ class Layers:
 
     @property
     def curated(self) -> Table:
-        schema = T.StructType([*CURATED.fields, _DT])
+        own = [T.StructField("rule_version", T.LongType()), T.StructField("written_at", T.TimestampType())]
+        schema = T.StructType([*CURATED.fields, *own, _DT])
         return Table(f"{self.root}/curated_docs", schema, ("dt",), batched=True)
 
+    @property
+    def commits(self) -> Table:
+        """Batches that are complete, by the day they were written on."""
+        return Table(f"{self.root}/commits", COMMITS, ("written_on",), batched=True)
+
     @property
     def malformed(self) -> Table:
         """Bytes of messages that are no jobs; the failure topic has their text."""
@@ -59,56 +84,111 @@ class Layers:
         return Table(f"{self.root}/outcome_counts", OUTCOME_COUNTS, batched=True)
 
     def tables(self) -> tuple[Table, ...]:
-        return self.raw, self.processed, self.curated, self.malformed, self.outcomes
+        """All tables; the commits come first, so that a batch to be cleared is not seen half."""
+        return self.commits, self.raw, self.processed, self.curated, self.malformed, self.outcomes
 
     def create(self, spark: SparkSession) -> "Layers":
         for table in self.tables():
             table.create(spark)
         return self
 
+    def write_documents(
+        self, documents: DataFrame, rule_version: int, time: datetime, run: str, batch_id: int
+    ) -> None:
+        """Write a batch's curated documents and then commit them, one row for each day."""
+        own = {"rule_version": F.lit(rule_version).cast("long"), "written_at": F.lit(time).cast("timestamp")}
+        self.curated.write_batch(documents.withColumns(own), run, batch_id)
+        commits = documents.groupBy("dt").agg(F.count(F.lit(1)).alias("documents")).withColumns(
+            {"written_at": own["written_at"], "written_on": F.lit(f"{time:%Y-%m-%d}")}
+        )
+        self.commits.write_batch(commits, run, batch_id)
+
+    def documents(self, spark: SparkSession) -> DataFrame:
+        """Curated documents, one for each identity."""
+        return last_written(self.curated.read(spark), DOCUMENT, LAST_DOCUMENT)
+
+    def raw_pages(self, spark: SparkSession) -> DataFrame:
+        """Stored html, one page for each identity."""
+        return last_written(self.raw.read(spark), PAGE, ("written_at", *BATCH_COLUMNS))
+
+    def processed_pages(self, spark: SparkSession) -> DataFrame:
+        rows = self.processed.read(spark)
+        return last_written(rows, PAGE, ("processed_at", *BATCH_COLUMNS))
+
 
 class Documents(Protocol):
-    def listing(self, spark: SparkSession) -> DataFrame | None:
-        """``(dt, run, batch_id, files)`` if documents come in parts; ``files`` tells whether
-        anything in a part has changed."""
+    def listing(self, spark: SparkSession, since: str | None = None) -> DataFrame | None:
+        """``(dt, run, batch_id, files, noted_on)`` if documents come in parts; ``files`` tells
+        whether anything in a part has changed. Parts noted before the day ``since`` may be left
+        out."""
 
     def keys(self, spark: SparkSession, parts: DataFrame | None = None) -> DataFrame:
-        """``(s3_key, dt)`` of every document, or of those in some parts."""
+        """``(s3_key, dt, rule_version)`` of every document, or of those in some parts, each key
+        once."""
 
-    def read(self, spark: SparkSession, days: DataFrame) -> DataFrame:
-        """``s3_key`` and the curated columns of the given days (dt)."""
+    def read(self, spark: SparkSession, wanted: DataFrame) -> DataFrame:
+        """``s3_key``, ``rule_version`` and the curated columns of the ``wanted`` documents
+        (s3_key, dt)."""
 
 
-def on_days(rows: DataFrame, days: DataFrame) -> DataFrame:
-    """Rows of some days (dt) and those without a day.
+def version_of() -> Column:
+    """Version of the site rules a document was made by; those without one are of version 0."""
+    return F.coalesce("rule_version", F.lit(0)).cast("long").alias("rule_version")
 
-    Days are few whatever the input, so they are broadcast, and Spark prunes the folders of
-    other days by them when it runs the scan.
-    """
-    # Spark prunes only by a side with a comparison in it; this one is true of every day.
-    dated = rows.join(F.broadcast(days.where("dt >= ''").distinct()), "dt", "left_semi")
-    return dated.select(*rows.columns).unionByName(rows.where("dt IS NULL"))
+
+def days_of(rows: DataFrame) -> list[str | None]:
+    """The days (dt) of ``rows``: they are dates, and few whatever the input."""
+    return [row["dt"] for row in rows.select("dt").distinct().collect()]
 
 
 @dataclass(frozen=True)
 class TableDocuments:
-    table: Table
+    """Documents of a curated table.
 
-    def _rows(self, spark: SparkSession) -> DataFrame:
-        return self.table.read(spark).withColumn("s3_key", F.col("curated_s3_key"))
+    With ``commits`` a part is what a batch has committed, and only commits written since a day
+    are read, on whatever day their documents are. Without, parts are the table's folders, all of
+    which are listed.
+    """
+
+    table: Table
+    commits: Table | None = None
 
     def parts(self, spark: SparkSession) -> DataFrame:
         return self.table.parts(spark)
 
-    def listing(self, spark: SparkSession) -> DataFrame:
-        return self.table.listing(spark)
+    def listing(self, spark: SparkSession, since: str | None = None) -> DataFrame:
+        if self.commits is None:
+            return self.table.listing(spark).withColumn("noted_on", F.lit(""))
+        rows = self.commits.from_day(spark, "written_on", since)
+        time = F.date_format("written_at", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        return rows.select(
+            "dt",
+            *BATCH_COLUMNS,
+            F.concat_ws(" ", time, "documents").alias("files"),
+            F.col("written_on").alias("noted_on"),
+        )
 
     def keys(self, spark: SparkSession, parts: DataFrame | None = None) -> DataFrame:
         rows = self.table.read(spark) if parts is None else self.table.in_parts(spark, parts)
-        return rows.select(F.col("curated_s3_key").alias("s3_key"), "dt")
+        keys = rows.groupBy(F.col("curated_s3_key").alias("s3_key"), "dt")
+        return keys.agg(F.max(version_of()).alias("rule_version"))
+
+    def read(self, spark: SparkSession, wanted: DataFrame) -> DataFrame:
+        rows = self.table.on_days(spark, days_of(wanted)).withColumn("s3_key", F.col("curated_s3_key"))
+        chosen = rows.join(wanted.select("s3_key"), "s3_key", "left_semi")
+        only = last_written(chosen, ("s3_key",), LAST_DOCUMENT)
+        return only.select("s3_key", version_of(), *CURATED_COLUMNS)
+
 
-    def read(self, spark: SparkSession, days: DataFrame) -> DataFrame:
-        return on_days(self._rows(spark), days).select("s3_key", *CURATED_COLUMNS)
+def on_days(rows: DataFrame, days: DataFrame) -> DataFrame:
+    """Rows of some days (dt) and those without a day.
+
+    Days are few whatever the input, so they are broadcast, and Spark prunes the folders of
+    other days by them when it runs the scan.
+    """
+    # Spark prunes only by a side with a comparison in it; this one is true of every day.
+    dated = rows.join(F.broadcast(days.where("dt >= ''").distinct()), "dt", "left_semi")
+    return dated.select(*rows.columns).unionByName(rows.where("dt IS NULL"))
 
 
 @dataclass(frozen=True)
@@ -122,7 +202,7 @@ class ObjectDocuments:
         at = F.locate(f"/{self.prefix}/", path)
         return F.substring(path, at + 1, F.length(path))
 
-    def listing(self, spark: SparkSession) -> None:
+    def listing(self, spark: SparkSession, since: str | None = None) -> None:
         return None
 
     def keys(self, spark: SparkSession, parts: DataFrame | None = None) -> DataFrame:
@@ -131,9 +211,10 @@ class ObjectDocuments:
             .option("pathGlobFilter", "*.json")
             .load(f"{self.root}/{self.prefix}")
         )
-        return files.select(self._key(F.col("path")).alias("s3_key"), F.col("dt").cast("string"))
+        zero = F.lit(0).cast("long").alias("rule_version")
+        return files.select(self._key(F.col("path")).alias("s3_key"), F.col("dt").cast("string"), zero)
 
-    def read(self, spark: SparkSession, days: DataFrame) -> DataFrame:
+    def read(self, spark: SparkSession, wanted: DataFrame) -> DataFrame:
         schema = T.StructType([*CURATED.fields, _DT])
         objects = (
             spark.read.schema(schema)
@@ -144,5 +225,7 @@ class ObjectDocuments:
         # File paths come percent-encoded here and plain from the listing.
         path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
         rows = objects.withColumn("s3_key", self._key(path))
-        return on_days(rows, days).select("s3_key", *CURATED_COLUMNS)
+        zero = F.lit(0).cast("long").alias("rule_version")
+        found = on_days(rows, wanted.select("dt")).select("s3_key", zero, *CURATED_COLUMNS)
+        return found.join(wanted.select("s3_key"), "s3_key", "left_semi")
 

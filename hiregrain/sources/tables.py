@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,68 @@ RUN, BATCH = "run", "batch_id"
 BATCH_COLUMNS = (RUN, BATCH)
 
 
+#: The folder of rows without a day.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _hadoop(spark: SparkSession, place: str):
+    """A Hadoop path and its file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Files and folders that a pattern names, in order."""
+    path, files = _hadoop(spark, pattern)
+    return sorted(found.getPath().toString() for found in files.globStatus(path) or [])
+
+
+def delete(spark: SparkSession, place: str) -> None:
+    path, files = _hadoop(spark, place)
+    files.delete(path, True)
+
+
+def make_folder(spark: SparkSession, place: str) -> None:
+    path, files = _hadoop(spark, place)
+    files.mkdirs(path)
+
+
+def put_if_absent(spark: SparkSession, place: str, text: str) -> bool:
+    """Creates a file with all of its content in one step; false if there is one already.
+
+    The content is written beside and renamed. Where renaming is one step that fails at an
+    existing name, as in HDFS, of several writers exactly one gets true.
+    """
+    folder, _, name = place.rpartition("/")
+    beside, files = _hadoop(spark, f"{folder}/.{name}-{uuid.uuid4().hex}")
+    target, _ = _hadoop(spark, place)
+    out = files.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    jvm, gateway = spark._jvm, spark._sc._gateway
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        files.makeQualified(target).toUri(), spark._jsc.hadoopConfiguration()
+    )
+    try:
+        context.rename(
+            files.makeQualified(beside), files.makeQualified(target), gateway.new_array(kind, 0)
+        )
+    except Py4JJavaError as error:
+        files.delete(beside, False)
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
+def fitted(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema``; those that rows lack and may be null are null."""
+    missing = [f for f in schema.fields if f.nullable and f.name not in rows.columns]
+    rows = rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
+    return rows.select(*schema.fieldNames())
+
+
 @dataclass(frozen=True)
 class Table:
     """A folder of parquet files with a declared schema.
@@ -50,14 +113,38 @@ class Table:
         """All rows; a missing or unreadable folder is an error, never an empty table."""
         return spark.read.schema(self._full_schema()).parquet(self.path)
 
+    def on_days(self, spark: SparkSession, days: list[str | None]) -> DataFrame:
+        """Rows of some days (dt); of the table's folders only those of the days are listed."""
+        above = "".join(f"/{name}=*" for name in self.partitions[: self.partitions.index("dt")])
+        found = []
+        for day in sorted({NO_DAY if day is None else day for day in days}):
+            found += matching(spark, f"{self.path}{above}/dt={day}")
+        if not found and not matching(spark, self.path):
+            return self.read(spark)  # fails, as there is no table
+        if not found:
+            return spark.createDataFrame([], self._full_schema())
+        files = spark.read.schema(self._full_schema()).option("basePath", self.path)
+        return files.parquet(*found)
+
+    def from_day(self, spark: SparkSession, level: str, first: str | None) -> DataFrame:
+        """Rows whose first partition level, ``level``, is at least ``first``, or all of them; of
+        the other folders only the names are listed."""
+        found = matching(spark, f"{self.path}/{level}=*")
+        if first is not None:
+            found = [place for place in found if place.rpartition("=")[2] >= first]
+        if not found and not matching(spark, self.path):
+            return self.read(spark)
+        if not found:
+            return spark.createDataFrame([], self._full_schema())
+        files = spark.read.schema(self._full_schema()).option("basePath", self.path)
+        return files.parquet(*found)
+
     def clear_batch(self, spark: SparkSession, run: str, batch_id: int) -> None:
         """Remove a batch that is to be done again from every folder."""
         levels = ["*"] * len(self.partitions)
         place = "/".join([self.path, *levels, f"{RUN}={run}", f"{BATCH}={batch_id}"])
-        path = spark._jvm.org.apache.hadoop.fs.Path(place)
-        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        for found in files.globStatus(path) or []:
-            files.delete(found.getPath(), True)
+        for found in matching(spark, place):
+            delete(spark, found)
 
     def parts(self, spark: SparkSession) -> DataFrame:
         """The folders of a batched table as their partition values."""
@@ -80,27 +167,11 @@ class Table:
         digest = F.sha2(F.concat_ws("\n", F.array_sort(F.collect_list("_name"))), 256)
         return listed.select(*named, name.alias("_name")).groupBy(*levels).agg(digest.alias("files"))
 
-    def files(self, spark: SparkSession) -> DataFrame:
-        """``name``, below the table's folder, of each file of a table with one partition level;
-        from a listing, which is fixed here."""
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-        try:
-            listed = files.option("basePath", self.path).load(f"{self.path}/{self.partitions[0]}=*")
-        except AnalysisException:  # no folder yet; a missing table is an error elsewhere
-            return spark.createDataFrame([], "name string")
-        return listed.select(F.regexp_extract("path", "[^/]+/[^/]+$", 0).alias("name"))
-
-    def in_files(self, spark: SparkSession, names: list[str]) -> DataFrame:
-        """Rows of some files."""
-        read = spark.read.schema(self._full_schema()).option("basePath", self.path)
-        return read.parquet(*[f"{self.path}/{name}" for name in names])
-
     def in_parts(self, spark: SparkSession, parts: DataFrame) -> DataFrame:
-        """Rows of some folders; Spark prunes the others when it runs the scan."""
+        """Rows of some folders; of the table's folders only those of their days are listed."""
+        days = [row[0] for row in parts.select("dt").distinct().collect()]
         levels = [*self.partitions, *BATCH_COLUMNS]
-        # Spark prunes only by a side with a comparison in it; this one is true of every part.
-        chosen = checked_broadcast(parts.where(F.col(BATCH) >= -(1 << 62)))
-        return self.read(spark).join(chosen, levels, "left_semi")
+        return self.on_days(spark, days).join(checked_broadcast(parts.select(*levels)), levels, "left_semi")
 
     def compact(self, spark: SparkSession, value: str) -> None:
         """Rewrite the batches of one value of the first partition as one: for a closed day.
@@ -114,11 +185,10 @@ class Table:
         self.write_batch(rows, f"compacted-{uuid.uuid4().hex}", 0)
         for part in old:
             levels = [f"{name}={part[name]}" for name in (*self.partitions, *BATCH_COLUMNS)]
-            path = spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *levels]))
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            delete(spark, "/".join([self.path, *levels]))
 
     def _rows(self, rows: DataFrame) -> DataFrame:
-        chosen = rows.select(*self.schema.fieldNames())
+        chosen = fitted(rows, self.schema)
         gather = self.gathered and self.partitions
         return chosen.hint("rebalance", *self.partitions) if gather else chosen
 

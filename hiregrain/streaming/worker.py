@@ -28,7 +28,7 @@ from hiregrain.operators.routing import (
     route,
 )
 from hiregrain.operators.sites import SITES, SiteRule
-from hiregrain.sources.lake import Layers, on_days
+from hiregrain.sources.lake import Layers, days_of
 from hiregrain.sources.tables import BATCH, BATCH_COLUMNS, RUN
 from hiregrain.sources.topics import FAILURE_TOPIC, FETCH_TOPIC, Topics
 
@@ -61,7 +61,9 @@ class Worker:
     ``pages`` returns the crawl results, one row per URL. Tables are written by run and
     batch, and jobs done before are looked up in other batches only, so an interrupted
     batch neither loses nor doubles anything; failure messages may come twice. A run is a
-    streaming checkpoint: any number of workers may write one lake.
+    streaming checkpoint: any number of workers may write one lake. Two that overlap may both
+    document an identity; the readers of ``Layers`` then see the row written last. A batch counts
+    for loads when its commit is there, which is its last write.
     """
 
     layers: Layers
@@ -71,13 +73,12 @@ class Worker:
     sites: tuple[SiteRule, ...] = SITES
     clock: Callable[[], datetime] = utc_now
     name: str = "worker"
+    rule_version: int = 0
 
     def _done(self, spark: SparkSession, gated: DataFrame, run: str, batch_id: int) -> DataFrame:
         """Identities documented by other batches, on the days of this batch only."""
-        rows = on_days(
-            self.layers.curated.read(spark).select("dt", "posting_id", *BATCH_COLUMNS),
-            gated.where("outcome IS NULL").select("dt"),
-        )
+        days = days_of(gated.where("outcome IS NULL"))
+        rows = self.layers.curated.on_days(spark, days).select("dt", "posting_id", *BATCH_COLUMNS)
         own = F.col(RUN).eqNullSafe(run) & F.col(BATCH).eqNullSafe(batch_id)
         return rows.where(~own).select("dt", F.col("posting_id").alias("job_id"))
 
@@ -97,17 +98,25 @@ class Worker:
         return keep
 
     def process(self, messages: DataFrame, batch_id: int, run: str | None = None) -> None:
-        spark = messages.sparkSession
         run = run or run_of(messages) or self.name
+        self.store(*self.routed(messages, batch_id, run), run, batch_id)
+
+    def routed(self, messages: DataFrame, batch_id: int, run: str) -> tuple[DataFrame, DataFrame]:
+        """The batch's messages with their outcomes, stored, and the pages they were judged by."""
+        spark = messages.sparkSession
         if begun_before(spark, f"{self.layers.root}/work/{self.name}-{run}/begun", batch_id):
             for table in self.layers.tables():
                 table.clear_batch(spark, run, batch_id)
         keep = self._keeper(spark, run)
-        now = F.lit(self.clock()).cast("timestamp")
         pages = self.pages(spark)
         gated = keep(gate_and_key(messages, self.max_retry))
         done = self._done(spark, gated, run, batch_id)
-        routed = keep(route(gated, pages, done, self.sites, keep))
+        return keep(route(gated, pages, done, self.sites, keep)), pages
+
+    def store(self, routed: DataFrame, pages: DataFrame, run: str, batch_id: int) -> None:
+        """Write what becomes of a batch's messages."""
+        time = self.clock()
+        now = F.lit(time).cast("timestamp")
         fetched = last_of_batch(routed.where(F.col("outcome").isin(SUCCESS, CURATED_FAILED)))
         raw = raw_documents(fetched, pages).withColumn("written_at", now)
         self.layers.raw.write_batch(raw, run, batch_id)
@@ -120,9 +129,9 @@ class Worker:
         )
         counts = routed.groupBy("outcome").agg(F.count(F.lit(1)).alias("message_count"))
         self.layers.outcomes.write_batch(counts, run, batch_id)
-        # Last, because a curated document marks its job as done.
+        # Late, because a curated document marks its job as done.
         documents = curated_documents(routed.where(F.col("outcome") == SUCCESS))
-        self.layers.curated.write_batch(documents, run, batch_id)
+        self.layers.write_documents(documents, self.rule_version, time, run, batch_id)
 
     def start(self, spark: SparkSession, checkpoint: str, **trigger) -> StreamingQuery:
         """Process the fetch topic; offsets are committed after a batch's last write."""
