@@ -174,8 +174,8 @@ def test_objects_are_loaded_once(spark, tmp_path, lake):
 
 def test_unreadable_checkpoint_stops_the_load(spark, tmp_path, lake):
     put(lake, *[document(i) for i in range(3)])
-    target = Staging(str(tmp_path / "wh"))
-    target.rows.create(spark)
+    target = Staging(str(tmp_path / "wh")).create(spark)
+    (tmp_path / "wh" / "etl_loaded_s3_keys_job_postings").rmdir()
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         load_increment(spark, ObjectDocuments(str(lake)), target, T0)
     assert target.postings(spark).count() == 0
