@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import html
+import json
+from html.entities import html5
 
-import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # The characters counted as whitespace (the Unicode set, with the
 # four ASCII separators U+001C to U+001F). First as a regex class body for patterns that
@@ -21,36 +20,78 @@ WS_CHARS = (
 DIGIT = r"\p{Nd}"
 
 
-@F.arrow_udf(T.StringType())
-def _decode_entities(texts: pa.Array) -> pa.Array:
-    return pa.array(
-        [None if text is None else html.unescape(text) for text in texts.to_pylist()], pa.string()
+# Character references, as HTML 5 has them: the standard library lists the names. Those that may
+# lack the semicolon are short, and also stand where other letters follow.
+_NAMED: dict[str, dict[str, str]] = {}
+for _name, _value in html5.items():
+    _NAMED.setdefault(_name[0], {})[_name] = _value
+_OPEN = {name: value for name, value in html5.items() if not name.endswith(";")}
+_LONGEST_OPEN = max(map(len, _OPEN))
+# Numbers of the C1 controls mean the characters of Windows-1252 where that has one.
+_C1 = [bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)]
+_UNKNOWN = "\ufffd"
+
+
+def _constant(value: dict, kind: str) -> Column:
+    """A map as one literal: the optimizer reads it once."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
+
+
+def _character(number: Column) -> Column:
+    """The character that a decimal number of at most seven digits stands for."""
+    n = number.cast("int")
+    control = n.between(1, 8) | (n == 11) | n.between(14, 31) | (n == 127)
+    no_character = control | n.between(0xFDD0, 0xFDEF) | (n.bitwiseAND(0xFFFE) == 0xFFFE)
+    code = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    return (
+        F.when((n == 0) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF), _UNKNOWN)
+        .when(n.between(0x80, 0x9F), F.get(F.array(*map(F.lit, _C1)), n - 0x80))
+        .when(no_character, "")
+        .otherwise(code)
     )
 
 
-@F.arrow_udf(T.ArrayType(T.StringType()))
-def _decode_lists(lists: pa.Array) -> pa.Array:
-    return pa.array(
-        [
-            None if texts is None else [text and html.unescape(text) for text in texts]
-            for texts in lists.to_pylist()
-        ],
-        pa.list_(pa.string()),
+def _numbered(part: Column) -> Column:
+    """What follows an ampersand and begins with a hash."""
+    decimal = F.regexp_extract(part, "^#0*([0-9]*)", 1)
+    hexadecimal = F.regexp_extract(part, "^#[xX]0*([0-9a-fA-F]*)", 1)
+    rest = F.regexp_replace(part, "^#(?:[0-9]+|[xX][0-9a-fA-F]+);?", "")
+    number = (
+        F.when(~F.rlike(part, F.lit("^#[xX]")), F.when(F.length(decimal) < 8, decimal))
+        .when(F.length(hexadecimal) < 7, F.conv(hexadecimal, 16, 10))
     )
+    found = F.coalesce(_character(F.when(number == "", "0").otherwise(number)), F.lit(_UNKNOWN))
+    known = F.rlike(part, F.lit("^#(?:[0-9]|[xX][0-9a-fA-F])"))
+    return F.when(known, F.concat(found, rest)).otherwise(F.concat(F.lit("&"), part))
 
 
-def _has_reference(text: Column) -> Column:
-    return F.coalesce(F.contains(text, F.lit("&")), F.lit(False))
+def _named(part: Column) -> Column:
+    """What follows an ampersand, with the name at its beginning decoded if there is one."""
+    name = F.regexp_extract(part, r"^[^\t\n\f <&#;]{1,32};?", 0)
+    names = _constant(_NAMED, "map<string,map<string,string>>")
+    whole = F.try_element_at(F.try_element_at(names, F.substring(name, 1, 1)), name)
+    found = [F.concat(whole, F.substring(part, F.length(name) + 1, F.length(part)))]
+    opened = _constant(_OPEN, "map<string,string>")
+    for size in range(_LONGEST_OPEN, 1, -1):
+        value = F.try_element_at(opened, F.substring(part, 1, size))
+        short = F.concat(value, F.substring(part, F.lit(size + 1), F.length(part)))
+        found.append(F.when(F.length(name) > size, short))
+    return F.coalesce(*found, F.concat(F.lit("&"), part))
 
 
-def unescape_all(texts: Column) -> Column:
-    """``unescape`` for every text of an array, in one Arrow column."""
-    return F.coalesce(_decode_lists(F.when(F.exists(texts, _has_reference), texts)), texts)
+def unescape(text: Column) -> Column:
+    """Decode character references; what is none stays as it is."""
 
+    def decoded(part: Column, k: Column) -> Column:
+        after = F.when(F.startswith(part, F.lit("#")), _numbered(part)).otherwise(_named(part))
+        return F.when(k == 0, part).otherwise(after)
 
-def unescape(text: Column) -> Column:
-    """Decode character references. Text without ``&`` never travels to Python."""
-    return F.coalesce(_decode_entities(F.when(F.contains(text, F.lit("&")), text)), text)
+    return F.array_join(F.transform(F.split(text, "&"), decoded), "")
+
+
+def unescape_all(texts: Column) -> Column:
+    """``unescape`` for every text of an array."""
+    return F.transform(texts, unescape)
 
 
 def strip(text: Column) -> Column:

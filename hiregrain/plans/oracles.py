@@ -569,4 +569,5 @@ ORACLES |= {
     "carried_daily": ORACLES["mart_postings_daily"],
     "carried_source_quality": ORACLES["mart_source_quality"],
     "carried_verdicts": ORACLES["dq_verdicts"],
+    "domain_table_route": f"SELECT event_id, site FROM ({ORACLES['domain_route']})",
 }

@@ -20,6 +20,7 @@ from hiregrain.operators.dead_letters import (
     replay_decisions,
     replay_messages,
 )
+from hiregrain.operators.domains import domain_table, with_site
 from hiregrain.operators.gate import gate_jobs
 from hiregrain.operators.latest import clean_postings, merge_latest
 from hiregrain.operators.marts import mart_daily, mart_source_quality, quality_counts, quality_flags
@@ -262,6 +263,12 @@ def domain_route(spark, sf_dir):
     )
 
 
+def domain_table_route(spark, sf_dir):
+    """Routing by a table of domains instead of one branch per site."""
+    jobs = standins.jobs(spark, sf_dir).select("event_id", "url")
+    return with_site(jobs, domain_table(spark)).select("event_id", "site")
+
+
 def fetch_errors(spark, sf_dir):
     """Every job with the class of its page's failure; html stays out of the join."""
     jobs = standins.jobs(spark, sf_dir).select("event_id", "url")
@@ -590,6 +597,7 @@ _QUERIES: dict[str, Query] = {
     "route_outcomes": route_outcomes,
     "dlq_envelopes": dlq_envelopes,
     "domain_route": domain_route,
+    "domain_table_route": domain_table_route,
     "fetch_errors": fetch_errors,
     "canonical_refetch": canonical_refetch,
     "page_titles": page_titles,

@@ -1,5 +1,6 @@
 import html
 import re
+from html.entities import html5
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -40,6 +41,23 @@ def test_normalize_matches_plain_python(spark, values):
     assert column(spark, values, text.normalize) == [collapsed(v) for v in values]
 
 
+def test_references_equal_the_standard_library(spark):
+    names = [f"&{name}{after}" for name in html5 for after in ("", "x", " y", ";", "&lt")]
+    numbers = [*range(0x2FF), *range(0xD7F0, 0xD810), *range(0xDFF0, 0xE010), *range(0xFDC0, 0xFE00)]
+    numbers += [n + (plane << 16) for plane in range(18) for n in (0, 0xFFFD, 0xFFFE, 0xFFFF)]
+    numbers += [9_999_999, 10**7, 10**30, 0xFFFFFF, 16**20]
+    forms = ("&#{0};", "&#{0}z", "&#000{0};", "&#x{0:x};", "&#X{0:X}g", "&#x000{0:x};")
+    odd = ["&", "&&", "&#", "&#;", "&#x", "&#x;", "&#xg;", "&;", "& amp;", "&am;p;", "a&b&amp", "&ampamp;",
+           "&notin;", "&notit;", "&noti&notin", "&AMP&amp;", "&" + "a" * 40 + ";", "&frac123;", "&#38;#38;", None, ""]
+    values = names + [form.format(n) for n in numbers for form in forms] + odd
+    found = column(spark, values, text.unescape)
+    wanted = [value and html.unescape(value) for value in values]
+    # A surrogate or a number past the last character has no other form in both.
+    assert [x for x in zip(values, found, wanted, strict=True) if x[1] != x[2]] == []
+    plan = spark.createDataFrame([("a",)], "v string").select(text.html_to_text(F.col("v")))
+    assert "EvalPython" not in plan._jdf.queryExecution().toString()
+
+
 def test_html_to_text(spark):
     cases = {
         "one<br>two<BR />three": "one\ntwo\nthree",
