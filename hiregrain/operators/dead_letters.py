@@ -70,6 +70,15 @@ def replay_decisions(messages: DataFrame, max_retry: int = MAX_RETRY) -> DataFra
     return counted.withColumn("skip_reason", reason)
 
 
+#: What becomes of a failure: it goes back, or the reason why not.
+REPLAYED = "replayed"
+DECISIONS = (REPLAYED, "unreadable", "no_job", "retry_limit", "unsupported_stage", "no_job_id")
+
+
+def decision() -> Column:
+    return F.coalesce("skip_reason", F.lit(REPLAYED))
+
+
 def replay_messages(decisions: DataFrame) -> DataFrame:
     """``(key, value)`` of replayed jobs: the stored job, unchanged."""
     return decisions.where("skip_reason IS NULL").select(
@@ -79,6 +88,6 @@ def replay_messages(decisions: DataFrame) -> DataFrame:
 
 
 def replay_counts(decisions: DataFrame) -> DataFrame:
-    return decisions.groupBy(F.coalesce("skip_reason", F.lit("replayed")).alias("decision")).agg(
+    return decisions.groupBy(decision().alias("decision")).agg(
         F.count(F.lit(1)).alias("message_count")
     )

@@ -23,6 +23,7 @@ DUPLICATE = "duplicate"
 FETCH_FAILED = "fetch_failed"
 CURATED_FAILED = "curated_failed"
 SUCCESS = "success"
+OUTCOMES = (MALFORMED, RETRY_EXCEEDED, PARSE_FAILED, DUPLICATE, FETCH_FAILED, CURATED_FAILED, SUCCESS)
 
 
 def exceeds_retry_limit(count: Column, limit: int = MAX_RETRY) -> Column:

@@ -15,9 +15,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from hiregrain.operators.collecting import iso_utc
+from hiregrain.operators.counting import Counted
 from hiregrain.operators.dead_letters import (
+    DECISIONS,
+    decision,
     event_rows,
-    replay_counts,
     replay_decisions,
     replay_messages,
 )
@@ -101,10 +103,12 @@ class Replay:
     def process(self, messages: DataFrame, batch_id: int, run: str | None = None) -> None:
         run = run or run_of(messages) or self.name
         place = f"{self.root}/work/{self.name}-{run}"
-        decisions = kept_step(replay_decisions(messages, self.max_retry), place)
+        counted = Counted.of(replay_decisions(messages, self.max_retry), decision(), DECISIONS)
+        decisions = kept_step(counted.rows, place)
         producer = f"{self.name}-{run}"
         self.topics.write(replay_messages(decisions), FETCH_TOPIC, producer, batch_id)
-        self.counts.write_batch(replay_counts(decisions), run, batch_id)
+        counts = counted.counts(messages.sparkSession, REPLAY_COUNTS)
+        self.counts.write_batch(counts, run, batch_id)
 
     def run(self, spark: SparkSession, checkpoint: str) -> None:
         self.counts.create(spark)

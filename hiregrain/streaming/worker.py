@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hiregrain.operators.collecting import iso_utc
+from hiregrain.operators.counting import Counted
 from hiregrain.operators.curation import (
     curated_documents,
     last_of_batch,
@@ -22,13 +23,14 @@ from hiregrain.operators.routing import (
     CURATED_FAILED,
     MALFORMED,
     MAX_RETRY,
+    OUTCOMES,
     SUCCESS,
     failure_messages,
     gate_and_key,
     route,
 )
 from hiregrain.operators.sites import SITES, SiteRule
-from hiregrain.sources.lake import Layers, days_of
+from hiregrain.sources.lake import OUTCOME_COUNTS, Layers, days_of
 from hiregrain.sources.tables import BATCH, BATCH_COLUMNS, RUN
 from hiregrain.sources.topics import FAILURE_TOPIC, FETCH_TOPIC, Topics
 
@@ -101,8 +103,11 @@ class Worker:
         run = run or run_of(messages) or self.name
         self.store(*self.routed(messages, batch_id, run), run, batch_id)
 
-    def routed(self, messages: DataFrame, batch_id: int, run: str) -> tuple[DataFrame, DataFrame]:
-        """The batch's messages with their outcomes, stored, and the pages they were judged by."""
+    def routed(
+        self, messages: DataFrame, batch_id: int, run: str
+    ) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """The batch's messages with their outcomes, stored, the pages they were judged by, and
+        the number of each outcome."""
         spark = messages.sparkSession
         if begun_before(spark, f"{self.layers.root}/work/{self.name}-{run}/begun", batch_id):
             for table in self.layers.tables():
@@ -111,9 +116,14 @@ class Worker:
         pages = self.pages(spark)
         gated = keep(gate_and_key(messages, self.max_retry))
         done = self._done(spark, gated, run, batch_id)
-        return keep(route(gated, pages, done, self.sites, keep)), pages
-
-    def store(self, routed: DataFrame, pages: DataFrame, run: str, batch_id: int) -> None:
+        judged = route(gated, pages, done, self.sites, keep)
+        counted = Counted.of(judged, F.col("outcome"), OUTCOMES)
+        routed = keep(counted.rows)
+        return routed, pages, counted.counts(spark, OUTCOME_COUNTS)
+
+    def store(
+        self, routed: DataFrame, pages: DataFrame, counts: DataFrame, run: str, batch_id: int
+    ) -> None:
         """Write what becomes of a batch's messages."""
         time = self.clock()
         now = F.lit(time).cast("timestamp")
@@ -127,7 +137,6 @@ class Worker:
         self.topics.write(
             failure_messages(routed, iso_utc(now)), FAILURE_TOPIC, producer, batch_id
         )
-        counts = routed.groupBy("outcome").agg(F.count(F.lit(1)).alias("message_count"))
         self.layers.outcomes.write_batch(counts, run, batch_id)
         # Late, because a curated document marks its job as done.
         documents = curated_documents(routed.where(F.col("outcome") == SUCCESS))
