@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hiregrain.llm.common import table
+from hiregrain.llm.common import stored, table
 
 #: Common words of English, German, French and Spanish.
 ANCHORS = (
@@ -36,6 +36,8 @@ DIGITS = 8
 #: Ids of a block of neighbours, and blocks at most: with more ids, blocks are larger.
 BLOCK_ROWS = 256
 MOST_BLOCKS = 1 << 16
+#: Ids that a task counts through to find the blocks.
+PART_ROWS = 50_000
 #: Bounds of blocks that a row is compared with at once.
 STRIDE = 256
 _NO_ID = -(1 << 63)
@@ -127,12 +129,19 @@ def fingerprint(signatures: str) -> Column:
 
 
 def block_tops(ids: DataFrame, rows: int = BLOCK_ROWS, most: int = MOST_BLOCKS) -> list[int]:
-    """The largest id of each block of about ``rows`` neighbouring ids, by range, ``most`` at
-    most; ``ids`` has one column and no null."""
-    ids = ids.toDF("id").distinct()
-    n = max(1, min(most, -(-ids.count() // rows)))
-    parts = ids.repartitionByRange(n, "id").groupBy(F.spark_partition_id().alias("part"))
-    return sorted(row["top"] for row in parts.agg(F.max("id").alias("top")).collect())
+    """The largest id of each block of some ``rows`` neighbouring ids, ``most`` blocks at most and
+    then larger ones; ``ids`` has one column and no null.
+
+    Ids are dealt by range and counted through in each part, so that only tops come together.
+    """
+    ids = stored(ids.toDF("id").distinct())
+    n, last = ids.agg(F.count(F.lit(1)), F.max("id")).first()
+    rows = max(rows, -(-n // most))
+    parts = ids.repartitionByRange(max(1, -(-n // PART_ROWS)), "id")
+    place = F.row_number().over(Window.partitionBy("part").orderBy("id"))
+    numbered = parts.withColumn("part", F.spark_partition_id()).withColumn("place", place)
+    tops = [row["id"] for row in numbered.where(F.col("place") % rows == 0).select("id").collect()]
+    return sorted({*tops, last}) if n else []
 
 
 def block_of(value: Column, tops: list[int]) -> Column:
