@@ -1,4 +1,9 @@
-"""From raw documents to token ids, stage by stage; each stage is written and read again."""
+"""From raw documents to token ids, stage by stage; each stage is written and read again.
+
+Every stage takes a table with the columns of documents, empty or not, keeps extra columns, and treats
+rows by themselves or their groups: nulls in any column, empty texts and repeated rows have the results
+that the stage's operator states.
+"""
 
 from __future__ import annotations
 

@@ -415,12 +415,15 @@ def encoded(
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, as digests, and what they decode to. A null text is empty and
+    has no token; a text of any length is encoded whole; repeated rows are encoded each."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return encoded(docs).select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 def encode_documents(docs: DataFrame) -> DataFrame:
-    """Token ids of every row of ``docs`` with its doc_id, language and source."""
+    """Token ids of every row of ``docs`` with its doc_id, language and source. Null and empty
+    texts have no ids; repeated rows come each."""
     return encoded(docs, keep_ids=True).select(
         "row.doc_id", "row.lang", "row.source", "n_tokens", "ids_sha256", "decoded_sha256", "ids"
     )

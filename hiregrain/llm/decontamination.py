@@ -212,11 +212,17 @@ def without_spans(text: Column, spans: Column) -> Column:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, with their own columns."""
+    """The rows of ``docs`` that are not contaminated, with their own columns, whatever their names.
+    Null and empty texts stay, and with an empty benchmark every row; repeats stay or go together."""
     return searched(docs, benchmark).where(~F.col("contaminated")).select("row.*")
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of the benchmark every document holds; see ``searched`` for odd rows.
+
+    A benchmark item without a word has no window, and an empty benchmark hits nothing; items that
+    share a window all count; repeated documents are judged each.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return searched(docs, table(spark, sf_dir, "benchmark")).select(
         "row.doc_id",

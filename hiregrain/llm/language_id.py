@@ -207,6 +207,12 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, by machines fitted on those that are not held out.
+
+    A null text, and one without a letter, is ``und`` with score 0; rows without a lang are judged
+    but not learned from; a null doc_id is neither held out nor learned from; repeated rows are
+    judged each and alike, and texts whole. Without a row to learn from every text is ``und``.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = fit(docs, remainder("doc_id", 4) != 2)
     held = F.coalesce(remainder("row.doc_id", 4) == 2, F.lit(False))

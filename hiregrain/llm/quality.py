@@ -288,7 +288,12 @@ def quality_rules(docs: DataFrame, alpha: float = ALPHA) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, alpha: float = ALPHA) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with their own columns."""
+    """The rows of ``docs`` that the rules keep, with their own columns, whatever their names.
+
+    Null and empty texts go, as they fail the base rules; repeated rows stay or go together; an
+    empty table stays empty. Groups are those of ``docs``, so what a stage before has taken away
+    does not count.
+    """
     measured = with_statistics(docs)
     named = [c for c in measured.columns if c != "row"]
     params = fit(measured.select("row.lang", "row.source", *named))
@@ -297,6 +302,8 @@ def keep_good(docs: DataFrame, alpha: float = ALPHA) -> DataFrame:
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdicts of every document; see ``quality_rules`` for odd rows. An empty
+    table gives no rows; columns beyond doc_id, text, lang and source are not looked at."""
     return quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id",
         "n_words",

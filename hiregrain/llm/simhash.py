@@ -148,7 +148,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """One row of each component of ``docs``, with its own columns: that of the smallest doc_id
-    (null ids last), and of rows with the same id that of the smallest text hash."""
+    (null ids last), and of rows with the same id that of the smallest text hash. Texts without a
+    word are copies of each other, so one of them stays; columns of any name are kept."""
     rows = fingerprints(docs)
     rows = rows.select("row.doc_id", F.xxhash64("row.text").alias("hash"), "fingerprint")
     rows = stored(rows)
@@ -170,4 +171,6 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document; see ``near_duplicates`` for odd rows. Repeated
+    rows come each; an empty table gives no rows."""
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -140,5 +140,7 @@ def counted(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and word pieces of every document. A null or empty text has none of either; repeated
+    rows are counted each; texts are counted whole; an empty table gives no rows."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return counted(docs).select("row.doc_id", "n_words", "n_tokens")

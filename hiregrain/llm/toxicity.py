@@ -384,12 +384,19 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, with their own columns."""
+    """The rows of ``docs`` that score below ``threshold``, with their own columns, whatever their
+    names. Null and empty texts are scored like any other; without labels every row stays."""
     rows = scored(docs, fit(docs, labels, may_learn()))
     return rows.where(F.col("score") < threshold).select("row.*")
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, by a chain fitted on labelled ones that are not held out.
+
+    A null or empty text has no token and the score of a text without marks; a null doc_id is
+    neither held out nor learned from; null labels teach nothing, and without labels no token is
+    marked; repeated rows are scored each and alike.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = scored(docs, fit(docs, table(spark, sf_dir, "labels"), may_learn()))
     return rows.select(

@@ -180,6 +180,8 @@ def typed_in(spark: SparkSession, rules: tuple[tuple[str, str, str], ...] = RULE
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's URL. A null URL, or one without ``://``, has an empty host and
+    path, which no rule fits; repeated rows are judged each; URLs of any length are judged whole."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return judged(pages, typed_in(spark)).select("row.page_id", "host", "path", "rule", "verdict")
 

@@ -371,6 +371,9 @@ def round_trip(pages: DataFrame) -> DataFrame:
 
 
 def op9_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back. A null html is an empty payload; payloads
+    that repeat are revisits of the largest page_id's if they are long enough; an empty table makes
+    no archive and no rows."""
     return round_trip(table(spark, sf_dir, "pages"))
 
 

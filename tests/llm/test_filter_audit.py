@@ -53,6 +53,11 @@ def test_potential_of_a_unanimity_game(spark):
     assert [p[7] - p[7 - (1 << i)] for i in range(3)] == [18, 0, 18]
 
 
+@pytest.fixture(scope="module")
+def odd_labels(odd_labels):
+    return odd_labels.withColumn("quality", 1 - F.col("toxic"))
+
+
 def test_copies_and_odd_rows(spark, odd_docs, odd_labels):
     counts = failure_counts(odd_docs, odd_labels)
     rows = counts.where("n > 0").collect()
