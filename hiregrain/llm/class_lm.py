@@ -16,14 +16,15 @@ some eleven bytes.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from hashlib import blake2b
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,7 +95,25 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def word_hashes(words_: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(blake2b(word, digest_size=8).digest() for word in words_), np.uint64)
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words_), np.uint64, len(words_))
+
+
+def flat(split: list[list[bytes]]) -> tuple[list[bytes], np.ndarray]:
+    """The distinct words of some texts, and for each of their words after each other its place
+    among them."""
+    place: defaultdict[bytes, int] = defaultdict()
+    place.default_factory = place.__len__
+    n = sum(map(len, split))
+    found = np.fromiter(map(place.__getitem__, chain.from_iterable(split)), np.int64, n)
+    place.default_factory = None  # it would keep the words until they are searched for
+    return list(place), found
+
+
+def closed(values: np.ndarray, split: list[list[bytes]], end: int) -> tuple[np.ndarray, np.ndarray]:
+    """``values`` of the words of some texts with ``end`` after each text, and where texts begin."""
+    sizes = np.fromiter(map(len, split), np.int64, len(split))
+    stops = np.cumsum(sizes)
+    return np.insert(values, stops, end), stops - sizes + np.arange(len(split))
 
 
 @dataclass
@@ -109,39 +128,27 @@ class Clustered:
         return len(self.core) + len(self.tail)
 
 
-class Symbols(dict):
-    """Numbers of the clustered words, END, and the shapes of all others, kept when first met."""
+class Symbols:
+    """Numbers of the clustered words, END, and the shapes of all others."""
 
     def __init__(self, clustered: Clustered):
-        super().__init__((word, k) for k, word in enumerate(clustered.core))
-        self.first, self.tail = len(clustered.core), clustered.tail
-        self.end = self[END] = len(clustered)
+        self.core = {word: k for k, word in enumerate(clustered.core)}
+        self.tail, self.end = clustered.tail, len(clustered)
         self.count = len(clustered) + 1 + SHAPES
 
-    def _found(self, own: list[bytes]) -> list[int]:
-        if not len(self.tail):
-            return [self.end + 1 + shape(word) for word in own]
-        keys = word_hashes(own)
-        at = np.minimum(self.tail.searchsorted(keys), len(self.tail) - 1)
-        places = np.where(self.tail[at] == keys, self.first + at, -1).tolist()
-        return [self.end + 1 + shape(word) if k < 0 else k for word, k in zip(own, places, strict=True)]
-
-    def learn(self, met: set[bytes]) -> None:
-        """Looks up words together: that takes a fraction of the time they take one by one."""
-        own = list(met.difference(self))
-        if len(self) + len(own) <= HELD:
-            self.update(zip(own, self._found(own), strict=True))
-
-    def looked_up(self, own: list[bytes]) -> np.ndarray:
-        """Symbols of words, none of which is kept."""
-        found = self._found(own)
-        return np.array([self.get(word, k) for word, k in zip(own, found, strict=True)], np.int64)
-
-    def __missing__(self, word: bytes) -> int:
-        symbol = self._found([word])[0]
-        if len(self) < HELD:
-            self[word] = symbol
-        return symbol
+    def of(self, own: list[bytes]) -> np.ndarray:
+        """The symbols of words, looked up together: best called with distinct ones."""
+        found = np.fromiter(map(self.core.get, own, repeat(-1)), np.int64, len(own))
+        rest = np.flatnonzero(found < 0)
+        if len(rest) and len(self.tail):
+            keys = word_hashes(own)[rest]
+            at = np.minimum(self.tail.searchsorted(keys), len(self.tail) - 1)
+            hit = self.tail[at] == keys
+            found[rest[hit]] = len(self.core) + at[hit]
+            rest = rest[~hit]
+        shapes = [self.end if own[k] == END else self.end + 1 + shape(own[k]) for k in rest.tolist()]
+        found[rest] = shapes
+        return found
 
 
 def clustered_words(counts: DataFrame) -> Clustered:
@@ -168,17 +175,24 @@ def encoded(texts: DataFrame, clustered: Clustered) -> DataFrame:
 
     def run(batches):
         symbols = Symbols(sent.value)
-        get = symbols.__getitem__
         for block in _blocks(batches):
             split = [words(text) for text in block]
-            symbols.learn(set().union(*split))
-            rows = [np.array([*map(get, own), symbols.end], np.int32).tobytes() for own in split]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["symbols"])
+            met, at = flat(split)
+            own, starts = closed(symbols.of(met)[at], split, symbols.end)
+            offsets = np.append(starts, len(own)) * 4
+            rows = _binaries(offsets, own.astype(np.int32))
+            yield pa.RecordBatch.from_arrays([rows], names=["symbols"])
 
     small_batches(texts.sparkSession)
     return texts.select(F.col("text").cast("binary")).mapInArrow(run, "symbols binary")
 
 
+def _binaries(offsets: np.ndarray, data: np.ndarray) -> pa.Array:
+    """Binary values that lie after each other in ``data``."""
+    buffers = [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())]
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, buffers)
+
+
 def _runs(batches: Iterator[pa.RecordBatch], end: int) -> Iterator[np.ndarray]:
     """The symbols of some texts after each other; the first text too begins after an end."""
     for batch in batches:
@@ -228,9 +242,7 @@ def contexts(codes: DataFrame, clustered: Clustered, classes: np.ndarray) -> Dat
         cuts = np.append(starts, len(word))
         columns = [pa.array(word[starts])]
         for data in (side.astype(np.uint16), sums.astype(np.uint32)):
-            offsets = (cuts * data.itemsize).astype(np.int32)
-            buffers = [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())]
-            columns.append(pa.Array.from_buffers(pa.binary(), len(starts), buffers))
+            columns.append(_binaries(cuts * data.itemsize, data))
         return pa.RecordBatch.from_arrays(columns, names=["word", "sides", "counts"])
 
     def run(batches):
@@ -401,34 +413,48 @@ class Model:
     def worker(self):
         symbols = Symbols(self.clustered)
         index = {word: k for k, word in enumerate(self.hot)}
-        kinds = self.hot_kinds
         counts = self.hot_counts.astype(float)
-        base, emission = self.base(counts), self.emission(counts, kinds)
-        end = int(self.classes[symbols.end])
-        pair = pa.struct([("word", pa.binary()), ("kind", pa.int32()), ("n", pa.int64())])
-
-        def score(text):
-            own = [*words(text), END]
-            at = np.array([index.get(word, -1) for word in own], np.int64)
-            known = at >= 0
-            kind = np.empty(len(own), np.int64)
-            kind[known] = kinds[at[known]]
-            rest = [own[k] for k in np.flatnonzero(~known).tolist()]
-            kind[~known] = [self.classes[symbols[word]] for word in rest]
-            chain = self.follows[np.concatenate([[end], kind[:-1]]), kind].sum()
-            at = at[known]
-            rare = [
-                {"word": word, "kind": int(self.classes[symbols[word]]), "n": n}
-                for word, n in Counter(rest).items()
-            ]
-            seen = int((counts[at] > 0).sum())
-            return len(own), seen, float(base[at].sum()), float(chain + emission[at].sum()), rare
+        base, emission = self.base(counts), self.emission(counts, self.hot_kinds)
+        end, end_place = int(self.classes[symbols.end]), index[END]
+        names = ("word", "kind", "n")
 
         def work(texts):
-            symbols.learn({word for text in texts for word in words(text) if word not in index})
-            columns = zip(*map(score, texts), strict=True)
-            kinds_ = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pair))
-            return [pa.array(x, kind) for x, kind in zip(columns, kinds_, strict=True)]
+            split = [words(text) for text in texts]
+            met, at = flat(split)
+            hot = np.fromiter(map(index.get, met, repeat(-1)), np.int64, len(met))
+            kinds = np.empty(len(met), np.int64)
+            rare = np.flatnonzero(hot < 0)
+            kinds[hot >= 0] = self.hot_kinds[hot[hot >= 0]]
+            kinds[rare] = self.classes[symbols.of([met[k] for k in rare.tolist()])]
+            own, starts = closed(hot[at], split, end_place)
+            kind, _ = closed(kinds[at], split, end)
+            # What comes before a text's first word is an end, as the text before has one.
+            steps = self.follows[np.concatenate([[end], kind[:-1]]), kind]
+            known = own >= 0
+            place = np.maximum(own, 0)
+            sums = [
+                np.add.reduceat(x, starts)
+                for x in (
+                    (known & (counts[place] > 0)).astype(np.int64),
+                    np.where(known, base[place], 0.0),
+                    steps + np.where(known, emission[place], 0.0),
+                )
+            ]
+            owner = np.repeat(np.arange(len(split)), np.fromiter(map(len, split), np.int64, len(split)))
+            left = np.flatnonzero(hot[at] < 0)
+            pairs, times = np.unique(owner[left] * len(met) + at[left], return_counts=True)
+            text, word = np.divmod(pairs, max(1, len(met)))
+            offsets = np.searchsorted(text, np.arange(len(split) + 1))
+            rows = pa.StructArray.from_arrays(
+                [
+                    pa.array([met[k] for k in word.tolist()], pa.binary()),
+                    pa.array(kinds[word], pa.int32()),
+                    pa.array(times, pa.int64()),
+                ],
+                names=names,
+            )
+            n_tokens = np.diff(np.append(starts, len(own)))
+            return [*map(pa.array, (n_tokens, *sums)), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rows)]
 
         return work
 
@@ -456,11 +482,9 @@ def class_sizes(counts: DataFrame, clustered: Clustered, classes: np.ndarray) ->
     def run(batches):
         clustered, classes = sent.value
         symbols, total = Symbols(clustered), int(classes.max()) + 1
-        # Each word comes once, so none is kept.
-        symbols_of = symbols.looked_up
         tokens, distinct = np.zeros(total, np.int64), np.zeros(total, np.int64)
         for batch in batches:
-            kinds = classes[symbols_of(batch.column(0).to_pylist())]
+            kinds = classes[symbols.of(batch.column(0).to_pylist())]
             tokens += np.bincount(kinds, batch.column(1).to_numpy(), total).astype(np.int64)
             distinct += np.bincount(kinds, minlength=total)
         yield pa.RecordBatch.from_arrays(
@@ -484,11 +508,13 @@ def fit(docs: DataFrame, learn: Column) -> tuple[Model, DataFrame]:
     counts = written(word_counts(texts))
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     hot, hot_counts = hot_words(counts)
+    if END not in hot:  # nothing to learn from
+        hot, hot_counts = [*hot, END], np.append(hot_counts, 0)
     clustered = clustered_words(counts)
     classes, grid = assigned(written(encoded(texts, clustered)), clustered)
     total = len(grid)
     symbols = Symbols(clustered)
-    hot_kinds = classes[symbols.looked_up(hot)].astype(np.int64)
+    hot_kinds = classes[symbols.of(hot)].astype(np.int64)
     share = (grid.sum(0) + 1) / (grid.sum() + total)
     follows = np.log10((grid + BACKOFF * share) / (grid.sum(1, keepdims=True) + BACKOFF))
     class_tokens, class_words = class_sizes(counts, clustered, classes)
@@ -548,6 +574,12 @@ def perplexity(score: Column, tokens: Column) -> Column:
 
 
 def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document by the model of the documents that are not held out.
+
+    A null text is empty: its end alone. Rows are scored each for itself, repeated ones alike; a
+    null doc_id is neither learned from nor held out. Without documents to learn from all words
+    are unseen. ``perplexity`` is per token, the end included.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model, counts = fit(docs, remainder("doc_id", 10) != 0)
     return scored(docs, model, counts).select(
@@ -558,4 +590,5 @@ def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
         "train_tokens",
         "base_score",
         "score",
+        perplexity(F.col("score"), F.col("n_tokens")).alias("perplexity"),
     )

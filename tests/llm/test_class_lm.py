@@ -46,7 +46,7 @@ def test_scores_equal_brute_force(spark, hot, monkeypatch):
     assert len(hot_words(counts, hot)[0]) <= max(hot, 1) + 1
     whole, distinct = sum(counted.values()), len(counted)
     symbols = Symbols(model.clustered)
-    kind = {word: int(model.classes[symbols[word]]) for word in counted}
+    kind = {word: int(model.classes[symbols.of([word])[0]]) for word in counted}
     sums = Counter()
     for word, n in counted.items():
         sums[kind[word]] += n
@@ -58,7 +58,7 @@ def test_scores_equal_brute_force(spark, hot, monkeypatch):
         base = sum(math.log10((counted[w] + 0.1) / (whole + 0.1 * (distinct + 1))) for w in own)
         before, score = int(model.classes[symbols.end]), 0.0
         for word in own:
-            k = int(model.classes[symbols[word]])
+            k = int(model.classes[symbols.of([word])[0]])
             score += model.follows[before, k]
             score += math.log10((counted[word] + 0.1) / (sums[k] + 0.1 * (members[k] + 1)))
             before = k
@@ -96,12 +96,19 @@ def test_words_outside_the_core_get_the_class_of_their_use(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     model, counts = fit(docs, F.lit(True))
     symbols = Symbols(model.clustered)
-    kinds = [{int(model.classes[symbols[word.encode()]]) for word in words_} for words_ in named]
+    kinds = [{int(model.classes[symbols.of([word.encode()])[0]]) for word in words_} for words_ in named]
     assert [len(kind) for kind in kinds] == [1, 1] and kinds[0] != kinds[1]
     # A word met once, and one never met, have the class of their shape.
     once = docs.union(spark.createDataFrame([(999, "zzz")], docs.schema))
     model, counts = fit(once, F.lit(True))
     symbols = Symbols(model.clustered)
-    assert symbols[b"zzz"] == symbols[b"yyy"] == symbols.end + 1 + class_lm.shape(b"zzz")
+    alike = symbols.end + 1 + class_lm.shape(b"zzz")
+    assert symbols.of([b"zzz", END, b"yyy"]).tolist() == [alike, symbols.end, alike]
     score = scored(docs, model, counts).agg(F.sum("score"), F.sum("base_score")).first()
     assert score[0] > score[1]
+
+
+def test_perplexity(spark):
+    frame = spark.createDataFrame([(-6.0, 3), (0.0, 1)], "score double, n long")
+    found = frame.select(class_lm.perplexity(F.col("score"), F.col("n")).alias("p")).collect()
+    assert [row["p"] for row in found] == [100.0, 1.0]
