@@ -97,7 +97,7 @@ class CleanPostings:
 
     def version(self, spark: SparkSession) -> Version:
         """The current version; before the first load one without rows."""
-        notes = matching(spark, f"{self.root}/versions/*")
+        notes = matching(spark, f"{self.root}/versions/[0-9]*")
         if not notes:
             return Version(buckets=self.buckets)
         text = spark.read.text(notes[-1], wholetext=True).first()[0]
@@ -217,7 +217,7 @@ class CleanPostings:
     def sweep(self, spark: SparkSession, kept: int = KEPT) -> int:
         """Delete folders that none of the last ``kept`` versions has, and older notes; not while
         a step runs."""
-        notes = matching(spark, f"{self.root}/versions/*")
+        notes = matching(spark, f"{self.root}/versions/[0-9]*")
         used = set()
         for note in notes[-kept:]:
             places = json.loads(spark.read.text(note, wholetext=True).first()[0])["places"]
