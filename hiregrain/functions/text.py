@@ -79,19 +79,25 @@ def _named(part: Column) -> Column:
     return F.coalesce(*found, F.concat(F.lit("&"), part))
 
 
-def unescape(text: Column) -> Column:
-    """Decode character references; what is none stays as it is."""
+def _decoded(text: Column) -> Column:
+    """A text that is cheap to name, as it is named several times."""
 
     def decoded(part: Column, k: Column) -> Column:
         after = F.when(F.startswith(part, F.lit("#")), _numbered(part)).otherwise(_named(part))
         return F.when(k == 0, part).otherwise(after)
 
-    return F.array_join(F.transform(F.split(text, "&"), decoded), "")
+    whole = F.array_join(F.transform(F.split(text, "&"), decoded), "")
+    return F.when(F.contains(text, F.lit("&")), whole).otherwise(text)
 
 
 def unescape_all(texts: Column) -> Column:
-    """``unescape`` for every text of an array."""
-    return F.transform(texts, unescape)
+    """Decode character references in every text of an array; what is none stays as it is."""
+    return F.transform(texts, _decoded)
+
+
+def unescape(text: Column) -> Column:
+    """Decode character references of one text, which is worked out once."""
+    return F.get(unescape_all(F.array(text)), F.lit(0))
 
 
 def strip(text: Column) -> Column:
