@@ -9,9 +9,11 @@ from hiregrain.llm.toxicity import (
     Chain,
     drop_toxic,
     fit,
+    lowered,
     may_learn,
     op6_toxicity,
     scored,
+    tokens,
 )
 
 SF_DIR = "/root/testdata/sf0.1"
@@ -35,13 +37,37 @@ def test_marginals_equal_enumeration():
         at += size
 
 
-def test_held_out_accuracy(spark):
-    labels = table(spark, SF_DIR, "labels").where("toxic is not null")
-    rows = op6_toxicity(spark, SF_DIR).join(labels, "doc_id").where("held_out").collect()
-    clean = [row["predicted"] for row in rows if row["toxic"] == 0]
-    toxic = [row["predicted"] for row in rows if row["toxic"] == 1]
-    assert sum(clean) <= 0.02 * len(clean) and sum(toxic) >= 0.65 * len(toxic)
+def test_held_out_recall_in_each_language(spark):
+    labels = table(spark, SF_DIR, "labels").where("toxic is not null").select("doc_id", "toxic")
+    langs = table(spark, SF_DIR, "documents").select("doc_id", "lang")
+    rows = op6_toxicity(spark, SF_DIR).join(labels, "doc_id").join(langs, "doc_id").where("held_out").collect()
     assert all(row["predicted"] == (row["score"] >= THRESHOLD) for row in rows)
+    for lang in {row["lang"] for row in rows}:
+        clean = [row["predicted"] for row in rows if row["lang"] == lang and row["toxic"] == 0]
+        toxic = [row["predicted"] for row in rows if row["lang"] == lang and row["toxic"] == 1]
+        assert sum(clean) <= 0.02 * len(clean) and sum(toxic) >= 0.9 * len(toxic)
+
+
+def test_lower_case_keeps_every_byte_in_its_place():
+    # Upper case with a shorter and a longer lower case stays; so do bytes that are no UTF-8.
+    for text in ("ÉCOLE Straße", "É\u212a\u0130É", "\u212a"):
+        found = lowered(text.encode())
+        assert len(found) == len(text.encode()) and "É" not in found.decode()
+    assert lowered(b"\xff\xc3\x89A") == b"\xff\xc3\xa9a"
+    assert tokens("RÉEUX réeux".encode()) == ["réeux".encode()] * 2
+
+
+def test_contradicting_labels_and_missing_texts_teach_nothing(spark):
+    docs = spark.createDataFrame([(k, f"blorg{k % 3} one {k}") for k in range(60)], "doc_id long, text string")
+    labels = [(k, k % 2) for k in range(60)]
+    plain = fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), may_learn(), 12)
+    # Labels of documents that are not there take no place, and a repeated label counts once.
+    more = labels + labels[:9] + [(k, k % 2) for k in range(100, 300)] + [(k, None) for k in range(9)]
+    same = fit(docs, spark.createDataFrame(more, "doc_id long, toxic int"), may_learn(), 12)
+    assert np.array_equal(plain.chain.theta, same.chain.theta) and np.array_equal(plain.beta, same.beta)
+    both = labels + [(k, 1 - k % 2) for k in range(60)]
+    none = fit(docs, spark.createDataFrame(both, "doc_id long, toxic int"), may_learn(), 12)
+    assert all(row["score"] < 0.01 for row in scored(docs, none).collect())
 
 
 def test_spans_mark_the_offending_words(spark):
