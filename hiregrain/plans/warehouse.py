@@ -13,7 +13,7 @@ from hiregrain.operators.quality import check_verdicts, enforce
 from hiregrain.plans.clean import KEPT, CleanPostings, Version
 from hiregrain.plans.loading import Staging, load_increment
 from hiregrain.schemas import STAGING
-from hiregrain.sources.lake import Documents
+from hiregrain.sources.lake import Documents, Layers
 from hiregrain.sources.tables import delete, matching
 
 CLEAN_VIEW = "int_job_postings_clean"
@@ -124,6 +124,17 @@ def housekeeping(spark: SparkSession, staging: Staging) -> int:
     return staging.sweep(spark) + CleanPostings(f"{staging.root}/clean_postings").sweep(spark)
 
 
+def compact_closed_days(spark: SparkSession, layers: Layers, since: str, before: str, time: datetime) -> int:
+    """Put together the batches of each day before ``before`` that has several in the commits
+    written since ``since``. Returns the number of folders deleted.
+
+    Nothing is done to a day that is one batch already, so this may run as often as one likes;
+    a document that comes late makes its day one of several batches again.
+    """
+    days = layers.closed_days(spark, since, before)
+    return sum(layers.compact(spark, day, since, time) for day in days)
+
+
 def monitor(staging: DataFrame, events: DataFrame) -> dict[str, DataFrame]:
     """Every operational view, by name; each is computed only when read."""
     clean = clean_postings(staging)

@@ -6,6 +6,7 @@ file. Both list keys without reading documents and read only the days asked for.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime
 from typing import Protocol
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 
 from hiregrain.operators.latest import last_written
 from hiregrain.schemas import CURATED, CURATED_COLUMNS, PROCESSED, TOPIC
-from hiregrain.sources.tables import BATCH_COLUMNS, Table
+from hiregrain.sources.tables import BATCH_COLUMNS, Table, delete
 
 CURATED_PREFIX = "curated/job_postings"
 
@@ -38,6 +39,10 @@ COMMITS = T.StructType(
 DOCUMENT, PAGE = ("dt", "posting_id"), ("source", "dt", "job_id")
 #: The last document is that made by the newest site rules, and of these the last written.
 LAST_DOCUMENT = ("rule_version", "written_at", *BATCH_COLUMNS)
+LAST_RAW = ("written_at", *BATCH_COLUMNS)
+LAST_PROCESSED = ("processed_at", *BATCH_COLUMNS)
+#: How the run of a batch begins that holds what was once several batches of a day.
+COMPACTED = "compacted-"
 OUTCOME_COUNTS = T.StructType(
     [T.StructField("outcome", T.StringType()), T.StructField("message_count", T.LongType())]
 )
@@ -109,11 +114,53 @@ class Layers:
 
     def raw_pages(self, spark: SparkSession) -> DataFrame:
         """Stored html, one page for each identity."""
-        return last_written(self.raw.read(spark), PAGE, ("written_at", *BATCH_COLUMNS))
+        return last_written(self.raw.read(spark), PAGE, LAST_RAW)
 
     def processed_pages(self, spark: SparkSession) -> DataFrame:
-        rows = self.processed.read(spark)
-        return last_written(rows, PAGE, ("processed_at", *BATCH_COLUMNS))
+        return last_written(self.processed.read(spark), PAGE, LAST_PROCESSED)
+
+    def closed_days(self, spark: SparkSession, since: str, before: str) -> list[str]:
+        """Days before ``before`` of which several batches were committed, as seen from the
+        commits written since ``since``."""
+        rows = self.commits.from_day(spark, "written_on", since).where(F.col("dt") < before)
+        several = rows.groupBy("dt").agg(F.countDistinct(*BATCH_COLUMNS).alias("_n")).where("_n > 1")
+        return sorted(row["dt"] for row in several.select("dt").collect())
+
+    def compact(self, spark: SparkSession, day: str, since: str, time: datetime) -> int:
+        """Put the committed batches of a closed day together as one, in each layer. Returns the
+        number of folders deleted.
+
+        Only batches in the commits written since ``since`` are taken, so none that a worker is
+        at; of each identity the row that readers see stays. The new batch is complete and
+        committed before the old folders go: a load that has not seen them yet finds their
+        documents by the new commit, and one that has finds only keys it knows. Interrupted, it
+        leaves rows twice, of which ``documents`` and the like show one, until it runs again.
+        One compaction at a time, in an hour without a load.
+        """
+        commits = self.commits.from_day(spark, "written_on", since).where(F.col("dt") == day)
+        committed = {tuple(row) for row in commits.select(*BATCH_COLUMNS).distinct().collect()}
+        run, layers = f"{COMPACTED}{uuid.uuid4().hex}", (
+            (self.raw, PAGE, LAST_RAW),
+            (self.processed, PAGE, LAST_PROCESSED),
+            (self.curated, DOCUMENT, LAST_DOCUMENT),
+        )
+        gone: list[str] = []
+        for table, identity, order in layers:
+            found = table.folders(spark, day)
+            old = [at for at, of in found.items() if of in committed or of[0].startswith(COMPACTED)]
+            if len({found[at] for at in old}) < 2:
+                continue
+            rows = table.in_folders(spark, old)
+            table.write_batch(last_written(rows, identity, order), run, 0)
+            gone += old
+        new = [at for at, of in self.curated.folders(spark, day).items() if of[0] == run]
+        if new:
+            commit = self.curated.in_folders(spark, new).groupBy("dt").agg(F.count(F.lit(1)).alias("documents"))
+            own = {"written_at": F.lit(time).cast("timestamp"), "written_on": F.lit(f"{time:%Y-%m-%d}")}
+            self.commits.write_batch(commit.withColumns(own), run, 0)
+        for place in gone:
+            delete(spark, place)
+        return len(gone)
 
 
 class Documents(Protocol):

@@ -187,6 +187,20 @@ class Table:
             levels = [f"{name}={part[name]}" for name in (*self.partitions, *BATCH_COLUMNS)]
             delete(spark, "/".join([self.path, *levels]))
 
+    def folders(self, spark: SparkSession, day: str) -> dict[str, tuple[str, int]]:
+        """The batch folders of one day, and whose run and batch each is; nothing else is listed."""
+        above = "".join(f"/{name}=*" for name in self.partitions[: self.partitions.index("dt")])
+        found = {}
+        for place in matching(spark, f"{self.path}{above}/dt={day}/{RUN}=*/{BATCH}=*"):
+            run, batch = (level.partition("=")[2] for level in place.rsplit("/", 2)[1:])
+            found[place] = run, int(batch)
+        return found
+
+    def in_folders(self, spark: SparkSession, places: list[str]) -> DataFrame:
+        """Rows of some of its folders, none of the others listed."""
+        files = spark.read.schema(self._full_schema()).option("basePath", self.path)
+        return files.parquet(*places)
+
     def _rows(self, rows: DataFrame) -> DataFrame:
         chosen = fitted(rows, self.schema)
         gather = self.gathered and self.partitions
