@@ -500,6 +500,7 @@ SELECT doc_id AS page_id, unnest(CASE WHEN doc_id % 3 = 1 THEN CAST([] AS VARCHA
     "two_workers_documents": DOCUMENTS + _CURATED_ROWS,
     "overlapping_workers_documents": DOCUMENTS + _CURATED_ROWS,
     "backfill_documents": DOCUMENTS + _CURATED_ROWS,
+    "compacted_documents": DOCUMENTS + _CURATED_ROWS,
     "loaded_from_commits": DOCUMENTS
     + f"""SELECT * REPLACE (strftime(CAST(collected_at AS TIMESTAMP), {TIME}) AS collected_at),
                  '2024-02-01 00:00:00.000000' AS loaded_at FROM ({_CURATED_ROWS})""",

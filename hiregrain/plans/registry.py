@@ -31,7 +31,7 @@ from hiregrain.plans import standins
 from hiregrain.plans.backfill import backfill
 from hiregrain.plans.clean import CleanPostings
 from hiregrain.plans.loading import Staging, load_increment, new_keys, staging_rows
-from hiregrain.plans.warehouse import DAILY_VIEW, QUALITY_VIEW, publish
+from hiregrain.plans.warehouse import DAILY_VIEW, QUALITY_VIEW, compact_closed_days, publish
 from hiregrain.schemas import CURATED_COLUMNS, POSTING_FIELDS
 from hiregrain.session import cut, pin, shared_dir
 from hiregrain.sources.lake import CURATED_PREFIX, Layers, ObjectDocuments, TableDocuments
@@ -490,6 +490,17 @@ def backfill_documents(spark, sf_dir):
     return _documents(spark, layers)
 
 
+def compacted_documents(spark, sf_dir):
+    """Documents after two workers, a backfill and the compaction of all days:
+    the last row of each identity, in one batch a day. Read from the bare table."""
+    middle = standins.table(spark, sf_dir, "events").agg(F.percentile_approx("event_id", 0.5)).first()[0]
+    layers = _worked(spark, sf_dir, (F.col("event_id") <= middle, F.col("event_id") > middle))
+    backfill(spark, layers, 1, NOW + timedelta(days=1))
+    compact_closed_days(spark, layers, f"{NOW:%Y-%m-%d}", "9999", NOW + timedelta(days=2))
+    rows = layers.curated.read(spark).where("batch_id >= 0")
+    return rows.select(*CURATED_COLUMNS)
+
+
 def loaded_from_commits(spark, sf_dir):
     """Staging after a load that follows the commits of a worker: the same documents again."""
     layers = _worked(spark, sf_dir)
@@ -630,6 +641,7 @@ _QUERIES: dict[str, Query] = {
     "two_workers_documents": two_workers_documents,
     "overlapping_workers_documents": overlapping_workers_documents,
     "backfill_documents": backfill_documents,
+    "compacted_documents": compacted_documents,
     "loaded_from_commits": loaded_from_commits,
     "archive_stream": archive_stream,
     "replay_stream": replay_stream,

@@ -131,8 +131,7 @@ def compact_closed_days(spark: SparkSession, layers: Layers, since: str, before:
     Nothing is done to a day that is one batch already, so this may run as often as one likes;
     a document that comes late makes its day one of several batches again.
     """
-    days = layers.closed_days(spark, since, before)
-    return sum(layers.compact(spark, day, since, time) for day in days)
+    return layers.compact(spark, layers.closed_days(spark, since, before), since, time)
 
 
 def monitor(staging: DataFrame, events: DataFrame) -> dict[str, DataFrame]:

@@ -126,9 +126,9 @@ class Layers:
         several = rows.groupBy("dt").agg(F.countDistinct(*BATCH_COLUMNS).alias("_n")).where("_n > 1")
         return sorted(row["dt"] for row in several.select("dt").collect())
 
-    def compact(self, spark: SparkSession, day: str, since: str, time: datetime) -> int:
-        """Put the committed batches of a closed day together as one, in each layer. Returns the
-        number of folders deleted.
+    def compact(self, spark: SparkSession, days: list[str], since: str, time: datetime) -> int:
+        """Put the committed batches of each closed day together as one, in each layer, all days
+        in one job a layer. Returns the number of folders deleted.
 
         Only batches in the commits written since ``since`` are taken, so none that a worker is
         at; of each identity the row that readers see stays. The new batch is complete and
@@ -137,8 +137,8 @@ class Layers:
         leaves rows twice, of which ``documents`` and the like show one, until it runs again.
         One compaction at a time, in an hour without a load.
         """
-        commits = self.commits.from_day(spark, "written_on", since).where(F.col("dt") == day)
-        committed = {tuple(row) for row in commits.select(*BATCH_COLUMNS).distinct().collect()}
+        commits = self.commits.from_day(spark, "written_on", since).where(F.col("dt").isin(days))
+        committed = {tuple(row) for row in commits.select("dt", *BATCH_COLUMNS).distinct().collect()}
         run, layers = f"{COMPACTED}{uuid.uuid4().hex}", (
             (self.raw, PAGE, LAST_RAW),
             (self.processed, PAGE, LAST_PROCESSED),
@@ -146,14 +146,21 @@ class Layers:
         )
         gone: list[str] = []
         for table, identity, order in layers:
-            found = table.folders(spark, day)
-            old = [at for at, of in found.items() if of in committed or of[0].startswith(COMPACTED)]
-            if len({found[at] for at in old}) < 2:
-                continue
-            rows = table.in_folders(spark, old)
-            table.write_batch(last_written(rows, identity, order), run, 0)
-            gone += old
-        new = [at for at, of in self.curated.folders(spark, day).items() if of[0] == run]
+            old = []
+            for day in days:
+                found = table.folders(spark, day)
+                own = [
+                    at for at, of in found.items() if (day, *of) in committed or of[0].startswith(COMPACTED)
+                ]
+                if len({found[at] for at in own}) > 1:
+                    old += own
+            if old:
+                rows = table.in_folders(spark, old)
+                table.write_batch(last_written(rows, identity, order), run, 0)
+                gone += old
+        new = [
+            at for day in days for at, of in self.curated.folders(spark, day).items() if of[0] == run
+        ]
         if new:
             commit = self.curated.in_folders(spark, new).groupBy("dt").agg(F.count(F.lit(1)).alias("documents"))
             own = {"written_at": F.lit(time).cast("timestamp"), "written_on": F.lit(f"{time:%Y-%m-%d}")}
