@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from pyspark.sql import functions as F
 SLICE_ROWS = 1_000_000
 # Rows of a narrow table that may be broadcast; with more, the join shuffles.
 BROADCAST_ROWS = 100_000
+# Hashes that may be sent to every executor, eight bytes each before their index.
+SENT_HASHES = 4_000_000
 
 
 def checked_broadcast(small: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -16,6 +20,29 @@ def checked_broadcast(small: DataFrame, limit: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(small) if small.limit(limit + 1).count() <= limit else small
 
 
+def hashes_of(rows: DataFrame, names: Sequence[str], limit: int = SENT_HASHES) -> DataFrame:
+    """``_hash``, the hash of the ``names`` of ``rows``, to be sent to every executor if there are
+    at most ``limit`` rows."""
+    hashes = rows.select(F.xxhash64(*names).alias("_hash"))
+    return F.broadcast(hashes) if rows.count() <= limit else hashes
+
+
+def semi_join(
+    rows: DataFrame, wanted: DataFrame, names: Sequence[str], limit: int = SENT_HASHES
+) -> DataFrame:
+    """``rows LEFT SEMI JOIN wanted`` for wide rows: while there are at most ``limit`` wanted keys,
+    their hashes are sent and no row is moved.
+
+    Rows that share no more than the hash of a wanted key are found on the keys alone and left
+    out. Neither side may have nulls in ``names``: they match nothing.
+    """
+    hashes = hashes_of(wanted, names, limit)
+    hashed = rows.withColumn("_hash", F.xxhash64(*names))
+    met = hashed.join(hashes, "_hash", "left_semi").drop("_hash")
+    strays = met.select(*names).join(wanted, list(names), "left_anti").distinct()
+    return met.join(checked_broadcast(strays), list(names), "left_anti")
+
+
 def hot_keys(rows: DataFrame, on: list[str], slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Hashes of the keys with more than ``slice_rows`` rows, with the number of slices each is
     cut into; there are fewer of them than rows / ``slice_rows``."""

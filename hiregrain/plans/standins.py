@@ -77,8 +77,11 @@ def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One staging row per event, described by a document; some values missing or empty."""
     documents = table(spark, sf_dir, "documents")
     events = timed_events(table(spark, sf_dir, "events"))
+    # Hashed once a document, and so there without its text.
+    text_hash = sha256_hex(F.coalesce("text", F.lit(""))).alias("text_hash")
     described = events.withColumn("doc_id", F.col("event_id") % size_of(documents)).join(
-        documents.select("doc_id", "text", "lang", F.col("source").alias("doc_source")), "doc_id"
+        documents.select("doc_id", "text", text_hash, "lang", F.col("source").alias("doc_source")),
+        "doc_id",
     )
 
     def gaps(null_turn: int, empty_turn: int, value: Column) -> Column:
@@ -105,7 +108,9 @@ def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     ).withColumns(
         {
-            "content_hash": sha256_hex(F.coalesce("description_text", F.lit(""))),
+            "content_hash": F.when(
+                gaps(19, 23, F.lit("text")) == "text", F.col("text_hash")
+            ).otherwise(sha256_hex(F.lit(""))),
             **lake_keys(
                 F.col("source"), F.date_format("collected_at", "yyyy-MM-dd"), F.col("posting_id")
             ),
