@@ -32,17 +32,21 @@ def mart_daily(staging: DataFrame) -> DataFrame:
     return daily_counts(latest_rows(slim(staging)))
 
 
-def quality_flags(staging: DataFrame, **extra: Column) -> DataFrame:
-    """Latest postings reduced to what the quality mart counts."""
-    flagged = slim(
-        staging,
+def flagged(rows: DataFrame, **extra: Column) -> DataFrame:
+    """Rows reduced to what the quality mart counts."""
+    return slim(
+        rows,
         description_filled=filled("description_text"),
         content_hash_filled=filled("content_hash"),
         missing_title=~filled("title"),
         missing_company=~filled("company_name"),
         **extra,
     )
-    return latest_rows(flagged)
+
+
+def quality_flags(staging: DataFrame, **extra: Column) -> DataFrame:
+    """Latest postings reduced to what the quality mart counts."""
+    return latest_rows(flagged(staging, **extra))
 
 
 def quality_counts(flags: DataFrame, *by: Column | str) -> DataFrame:

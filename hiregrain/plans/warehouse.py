@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hiregrain.operators import monitoring
 from hiregrain.operators.latest import clean_postings
-from hiregrain.operators.marts import mart_daily, mart_source_quality
+from hiregrain.operators.marts import (
+    daily_counts,
+    flagged,
+    mart_daily,
+    mart_source_quality,
+    quality_counts,
+)
 from hiregrain.operators.quality import check_verdicts, enforce
 from hiregrain.plans.clean import KEPT, CleanPostings, Version
 from hiregrain.plans.loading import Staging, load_increment
@@ -48,24 +56,43 @@ def switch_view(
 
 def publish(rows: DataFrame, root: str, kept: int = KEPT) -> None:
     """Store the three results over staging or clean ``rows`` as versions below ``root`` and turn
-    the catalog views to them, for other sessions to read. ``kept`` versions stay."""
-    results = {
-        CLEAN_VIEW: clean_postings(rows),
-        DAILY_VIEW: mart_daily(rows),
-        QUALITY_VIEW: mart_source_quality(rows),
+    the catalog views to them, for other sessions to read. ``kept`` versions stay.
+
+    The marts are made from the clean rows just stored, so ``rows`` are worked out once."""
+    _publish(rows.sparkSession, {CLEAN_VIEW: clean_postings(rows)}, root, kept, _marts)
+
+
+def _marts(clean: DataFrame) -> dict[str, DataFrame]:
+    """The marts over stored clean rows, which have one row per posting already."""
+    return {
+        DAILY_VIEW: daily_counts(clean),
+        QUALITY_VIEW: quality_counts(flagged(clean)).orderBy(F.col("total_postings").desc(), "source"),
     }
-    _publish(rows.sparkSession, results, root, kept)
 
 
-def _publish(spark: SparkSession, results: dict[str, DataFrame], root: str, kept: int) -> None:
-    made = {}
-    for name, result in results.items():
-        versions = matching(spark, f"{root}/{name}/version=*")
-        number = int(versions[-1].rpartition("=")[2]) + 1 if versions else 0
-        made[name] = f"{name}/version={number:010d}"
-        result.write.parquet(f"{root}/{made[name]}")
+def _publish(
+    spark: SparkSession,
+    results: dict[str, DataFrame],
+    root: str,
+    kept: int,
+    more: Callable[[DataFrame], dict[str, DataFrame]] | None = None,
+) -> None:
+    """Store and show ``results``, and what ``more`` makes of the stored clean rows."""
+    made, columns = {}, {}
+
+    def store(named: dict[str, DataFrame]) -> None:
+        for name, result in named.items():
+            versions = matching(spark, f"{root}/{name}/version=*")
+            number = int(versions[-1].rpartition("=")[2]) + 1 if versions else 0
+            made[name], columns[name] = f"{name}/version={number:010d}", result.columns
+            result.write.parquet(f"{root}/{made[name]}")
+
+    store(results)
+    if more is not None:
+        schema = results[CLEAN_VIEW].schema
+        store(more(spark.read.schema(schema).parquet(f"{root}/{made[CLEAN_VIEW]}")))
     for name, place in made.items():
-        switch_view(spark, name, root, [place], results[name].columns)
+        switch_view(spark, name, root, [place], columns[name])
         for old in matching(spark, f"{root}/{name}/version=*")[:-kept]:
             delete(spark, old)
 
