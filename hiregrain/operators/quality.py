@@ -68,12 +68,15 @@ def fill_rate_too_low(
     return (F.col("total_postings") >= min_postings) & (F.col("fill_rate") < min_fill_rate)
 
 
+def lacking() -> Column:
+    """The required columns that a staging row lacks, as a text; empty if none."""
+    names = [F.when(F.col(name).isNull(), F.lit(name)) for name in REQUIRED_STAGING]
+    return F.array_join(F.array_compact(F.array(*names)), ", ")
+
+
 def required_violations(rows: DataFrame) -> DataFrame:
     """Rows that may not enter staging, each with the columns it lacks."""
-    lacking = F.array_compact(
-        F.array(*[F.when(F.col(name).isNull(), F.lit(name)) for name in REQUIRED_STAGING])
-    )
-    return rows.withColumn("violations", F.array_join(lacking, ", ")).where("violations <> ''")
+    return rows.withColumn("violations", lacking()).where("violations <> ''")
 
 
 def _verdict(check: str, subject: Column, observed: Column, threshold: float, passed: Column):

@@ -34,10 +34,10 @@ def semi_join(
     their hashes are sent and no row is moved.
 
     Rows that share no more than the hash of a wanted key are found on the keys alone and left
-    out. Neither side may have nulls in ``names``: they match nothing.
+    out. Nulls in ``names`` match nothing.
     """
     hashes = hashes_of(wanted, names, limit)
-    hashed = rows.withColumn("_hash", F.xxhash64(*names))
+    hashed = rows.dropna(subset=list(names)).withColumn("_hash", F.xxhash64(*names))
     met = hashed.join(hashes, "_hash", "left_semi").drop("_hash")
     strays = met.select(*names).join(wanted, list(names), "left_anti").distinct()
     return met.join(checked_broadcast(strays), list(names), "left_anti")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hiregrain.operators.quality import required_violations
+from hiregrain.operators.quality import lacking
 from hiregrain.operators.skew import checked_broadcast
 from hiregrain.schemas import CURATED_COLUMNS, LOAD_CHECKPOINT, STAGING
 from hiregrain.session import cut
@@ -120,14 +120,14 @@ def staging_rows(documents: DataFrame, loaded_at: Column, *kept: str) -> DataFra
     )
 
 
-def not_loadable(rows: DataFrame) -> DataFrame:
-    """``_key`` and ``reason`` of staging rows that may not enter, from rows with their ``_key``."""
-    lacking = required_violations(rows).select(
-        "_key", F.concat(F.lit("no value in "), "violations").alias("reason")
-    )
-    again = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+def not_loadable(judged: DataFrame) -> DataFrame:
+    """``_key`` and ``reason`` of rows that may not enter staging, from the ``_key`` and the
+    ``violations`` of all rows."""
+    bad = judged.where("violations <> ''")
+    bad = bad.select("_key", F.concat(F.lit("no value in "), "violations").alias("reason"))
+    again = judged.groupBy("_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     several = again.select("_key", F.concat("n", F.lit(" documents in one object")).alias("reason"))
-    return lacking.unionByName(several).groupBy("_key").agg(F.max("reason").alias("reason"))
+    return bad.unionByName(several).groupBy("_key").agg(F.max("reason").alias("reason"))
 
 
 def load_increment(
@@ -192,21 +192,35 @@ def _write(
     note: Note,
     keep: Callable[[DataFrame], DataFrame],
 ) -> int:
-    """Write rows, keys and quarantine of the ``fresh`` documents; the number of rows."""
+    """Write rows, keys and quarantine of the ``fresh`` documents; the number of rows.
+
+    Documents in columns are judged by their narrow columns first, and read again to be written:
+    texts are neither stored in between nor shuffled. What was written is counted, so documents
+    that changed meanwhile stop the load before it is seen.
+    """
     if not count:
         return 0
     time = F.lit(loaded_at).cast("timestamp")
     found = documents.read(spark, fresh).withColumnRenamed("s3_key", "_key")
-    rows = keep(staging_rows(found, time, "_key", "rule_version"))
-    bad = keep(not_loadable(rows))
-    seen = rows.agg(F.count_distinct("_key")).first()[0]
+    rows = staging_rows(found, time, "_key", "rule_version")
+    if not documents.columnar:
+        rows = keep(rows)
+    judged = keep(rows.select("_key", "rule_version", "loaded_at", lacking().alias("violations")))
+    bad = keep(not_loadable(judged))
+    seen = judged.agg(F.count_distinct("_key")).first()[0]
     if seen != count:
         raise LoadMismatch(f"{count} new documents, {seen} read")
-    refused = checked_broadcast(bad)
-    good = rows.join(refused, "_key", "left_anti")
-    staging.rows.put(good, note)
-    staging.loaded_keys.put(good.withColumnRenamed("_key", "s3_key"), note)
-    n_bad = bad.count()
+    refused, n_bad = checked_broadcast(bad), bad.count()
+
+    def good(given: DataFrame) -> DataFrame:
+        return given.join(refused, "_key", "left_anti") if n_bad else given
+
+    staging.rows.put(good(rows), note)
+    written = staging.rows.put_rows(spark, note)
+    whole = F.count_if(lacking() == "").alias("n")
+    if (n := written.agg(whole).first()[0]) != count - n_bad:
+        raise LoadMismatch(f"{count - n_bad} documents to be loaded, {n} written")
+    staging.loaded_keys.put(good(judged).withColumnRenamed("_key", "s3_key"), note)
     if n_bad:
         text = F.to_json(F.struct(*CURATED_COLUMNS))
         aside = rows.withColumn("document", text).join(refused, "_key")

@@ -9,13 +9,14 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 from datetime import datetime
-from typing import Protocol
+from typing import ClassVar, Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hiregrain.operators.latest import last_written
+from hiregrain.operators.skew import semi_join
 from hiregrain.schemas import CURATED, CURATED_COLUMNS, PROCESSED, TOPIC
 from hiregrain.sources.tables import BATCH_COLUMNS, Table, delete
 
@@ -171,6 +172,10 @@ class Layers:
 
 
 class Documents(Protocol):
+    #: Whether some columns are read without the others, so that rows are better read again than
+    #: stored.
+    columnar: ClassVar[bool]
+
     def listing(self, spark: SparkSession, since: str | None = None) -> DataFrame | None:
         """``(dt, run, batch_id, files, noted_on)`` if documents come in parts; ``files`` tells
         whether anything in a part has changed. Parts noted before the day ``since`` may be left
@@ -206,6 +211,7 @@ class TableDocuments:
 
     table: Table
     commits: Table | None = None
+    columnar: ClassVar[bool] = True
 
     def parts(self, spark: SparkSession) -> DataFrame:
         return self.table.parts(spark)
@@ -229,7 +235,7 @@ class TableDocuments:
 
     def read(self, spark: SparkSession, wanted: DataFrame) -> DataFrame:
         rows = self.table.on_days(spark, days_of(wanted)).withColumn("s3_key", F.col("curated_s3_key"))
-        chosen = rows.join(wanted.select("s3_key"), "s3_key", "left_semi")
+        chosen = semi_join(rows, wanted.select("s3_key"), ["s3_key"])
         only = last_written(chosen, ("s3_key",), LAST_DOCUMENT)
         return only.select("s3_key", version_of(), *CURATED_COLUMNS)
 
@@ -251,6 +257,7 @@ class ObjectDocuments:
 
     root: str
     prefix: str = CURATED_PREFIX
+    columnar: ClassVar[bool] = False
 
     def _key(self, path: Column) -> Column:
         at = F.locate(f"/{self.prefix}/", path)

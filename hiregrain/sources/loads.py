@@ -83,12 +83,16 @@ class LoadTable:
         place = f"{self.path}/{LOAD}={note.load_id}"
         fitted(rows, self.schema).write.mode("overwrite").parquet(place)
 
+    def put_rows(self, spark: SparkSession, note: Note) -> DataFrame:
+        """The rows of a load as written, visible or not."""
+        return spark.read.schema(self.schema).parquet(f"{self.path}/{LOAD}={note.load_id}")
+
     def append(self, rows: DataFrame) -> None:
         """Rows as a load of their own."""
         spark = rows.sparkSession
         note = self.loads.begin(self.loads.create(spark).notes(spark))
         self.put(rows, note)
-        self.loads.publish(spark, replace(note, row_count=rows.count()))
+        self.loads.publish(spark, replace(note, row_count=self.put_rows(spark, note).count()))
 
     def read(self, spark: SparkSession, notes: list[Note] | None = None) -> DataFrame:
         """Rows of all visible loads, or of some; a missing table is an error."""

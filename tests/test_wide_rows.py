@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from hiregrain.operators.latest import clean_postings, latest_rows, merge_latest
 from hiregrain.operators.skew import semi_join
+from hiregrain.plans.loading import Staging, load_increment
 from hiregrain.schemas import STAGING_COLUMNS
+from hiregrain.session import cut
+from hiregrain.sources.lake import Layers, TableDocuments
 
 
 def postings(spark, count=400):
@@ -69,3 +72,27 @@ def test_semi_join_of_wide_rows(spark):
     for limit in (10**6, 0):
         assert same(semi_join(rows, wanted, ["posting_id"], limit), rows.join(wanted, "posting_id", "left_semi"))
     assert not moved(semi_join(rows, wanted, ["posting_id"]), "description_text")
+
+
+def test_a_load_moves_and_stores_no_texts(spark, tmp_path):
+    documents = postings(spark, 200).where("source IS NOT NULL").withColumns(
+        {
+            "collected_at": F.date_format("collected_at", "yyyy-MM-dd'T'HH:mm:ss"),
+            "curated_s3_key": F.concat(F.lit("k"), "posting_id"),
+            "raw_s3_key": F.lit("r"),
+            "processed_s3_key": F.lit("p"),
+            "dt": F.lit("2024-01-01"),
+        }
+    )
+    lake, target = Layers(str(tmp_path)).curated, Staging(str(tmp_path)).create(spark)
+    lake.write_batch(documents, "r", 0)
+    stored = []
+
+    def keep(rows):
+        stored.append(rows)
+        return cut(rows)
+
+    assert load_increment(spark, TableDocuments(lake), target, datetime(2024, 2, 1), keep) == 160
+    assert not any("description_text" in rows.columns for rows in stored)
+    again = TableDocuments(lake).read(spark, target.loaded_keys.read(spark).withColumn("dt", F.lit("2024-01-01")))
+    assert not moved(again, "description_text") and again.count() == 160
