@@ -2,8 +2,8 @@
 
 Rows lie in buckets by the hash of their posting. A load rewrites only the buckets it touches; a
 version is a list of bucket folders, and becomes the current one by one small file. The counts
-behind marts and checks are sums: a load adds the rows that are new in the clean table with weight
-1 and those they displace with weight -1, so no other row is read for them.
+behind marts and checks are sums: a load adds the rows of the buckets it has written with weight 1
+and those of the buckets before with weight -1, so no other bucket is read for them.
 """
 
 from __future__ import annotations
@@ -16,10 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hiregrain.operators.latest import POSTING_KEY, latest_rows
+from hiregrain.operators.latest import POSTING_KEY, latest_of_wide
 from hiregrain.operators.marts import filled
 from hiregrain.operators.quality import any_null, verdicts_of
-from hiregrain.operators.skew import checked_broadcast
 from hiregrain.plans.loading import Staging
 from hiregrain.schemas import REQUIRED_CLEAN, STAGING
 from hiregrain.session import cut
@@ -163,17 +162,17 @@ class CleanPostings:
         if not fresh:
             return last
         number, bucket = last.number + 1, bucket_of(last.buckets, *POSTING_KEY)
-        increment = cut(latest_rows(staging.rows.read(spark, fresh)).withColumn("bucket", bucket))
-        touched = {row[0] for row in increment.select("bucket").distinct().collect()}
-        before = self._table(spark, last, "rows", STAGING, touched).withColumn("bucket", bucket)
-        keys = increment.select(*[F.col(name).alias(f"_{name}") for name in POSTING_KEY])
-        keys = checked_broadcast(keys)
-        same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in POSTING_KEY]
-        displaced = cut(before.join(keys, same, "left_semi"))
-        winners = latest_rows(displaced.unionByName(increment))
-        rows = before.join(keys, same, "left_anti").unionByName(winners)
-        places = {"rows": self._carried(last, "rows", touched, self._write(rows, "rows", number))}
-        delta = cut(weighted(winners, 1).unionByName(weighted(displaced, -1)))
+        increment = staging.rows.read(spark, fresh)
+        touched = {row[0] for row in increment.select(bucket).distinct().collect()}
+        before = self._table(spark, last, "rows", STAGING, touched)
+        rows = latest_of_wide(before.unionByName(increment)).withColumn("bucket", bucket)
+        made = self._write(rows, "rows", number)
+        places = {"rows": self._carried(last, "rows", touched, made)}
+        # From the files, column by column; rows that stayed come to nothing.
+        after = self._table(spark, Version(places={"rows": made}), "rows", STAGING)
+        both = weighted(after, 1).unionByName(weighted(before, -1))
+        delta = both.groupBy(*[name for name in both.columns if name != "weight"])
+        delta = cut(delta.agg(F.sum("weight").alias("weight")).where("weight <> 0"))
         places["daily"] = self._summed(last, "daily", DAILY, delta.withColumn("posting_count", F.col("weight")), number)
         counts = {
             name: F.when(F.col(name), F.col("weight")).otherwise(0)
