@@ -7,14 +7,15 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job relies on: UTC dates, last-key-wins JSON objects,
-# run-time re-planning (skewed joins are split, small partitions merged) and files that
-# long texts are packed well in.
+# run-time re-planning (skewed joins are split, small partitions merged), files that long
+# texts are packed well in, and few pages at a time in a Python worker, as they may be long.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "250",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }

@@ -2,13 +2,14 @@
 
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from hiregrain.operators.latest import clean_postings, latest_rows, merge_latest
 from hiregrain.operators.skew import semi_join
 from hiregrain.plans.loading import Staging, load_increment
 from hiregrain.schemas import STAGING_COLUMNS
-from hiregrain.session import cut
+from hiregrain.session import cut, pin
 from hiregrain.sources.lake import Layers, TableDocuments
 
 
@@ -96,3 +97,12 @@ def test_a_load_moves_and_stores_no_texts(spark, tmp_path):
     assert not any("description_text" in rows.columns for rows in stored)
     again = TableDocuments(lake).read(spark, target.loaded_keys.read(spark).withColumn("dt", F.lit("2024-01-01")))
     assert not moved(again, "description_text") and again.count() == 160
+
+
+def test_python_workers_get_few_pages_at_a_time(spark):
+    @F.arrow_udf("long")
+    def at_once(values: pa.Array) -> pa.Array:
+        return pa.array([len(values)] * len(values), pa.int64())
+
+    rows = pin(spark).range(0, 2000, 1, 1).select(at_once("id").alias("n"))
+    assert rows.agg(F.max("n")).first()[0] <= 250
