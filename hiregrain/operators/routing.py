@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hiregrain.operators.curation import curate_jobs, with_keys
+from hiregrain.operators.curation import curate_urls, with_keys
 from hiregrain.operators.gate import gate_jobs
 from hiregrain.operators.sites import SITES, SiteRule
 from hiregrain.operators.skew import hot_keys, salted_left_join
@@ -75,15 +75,24 @@ def route(
             hot=hot,
         )
     )
-    curated = curate_jobs(marked.where("_done IS NULL").drop("_done"), page_fetch, sites, keep)
-    tried = curated.withColumns(
+    jobs = marked.where("_done IS NULL").drop("_done")
+    per_url = keep(curate_urls(jobs.select("url").distinct(), page_fetch, sites, keep))
+    hot_urls = keep(hot_keys(jobs.select("url"), ["url"]))
+
+    def with_page(rows: DataFrame, *names: str) -> DataFrame:
+        given = per_url.select("url", *names) if names else per_url
+        return salted_left_join(rows, given, ["url"], F.col("job_id"), hot=hot_urls)
+
+    # Errors decide; the texts of pages join the jobs only when these are moved no more.
+    errors = ("fetch_error", "extract_error")
+    tried = with_page(jobs, *errors).withColumns(
         {
             "outcome": F.when(F.col("fetch_error").isNotNull(), FETCH_FAILED)
             .when(F.col("extract_error").isNotNull(), CURATED_FAILED)
             .otherwise(SUCCESS),
             "_order": F.struct("partition", "offset"),
         }
-    )
+    ).drop(*errors)
     first_ok = (
         tried.where(F.col("outcome") == SUCCESS)
         .groupBy(*identity)
@@ -95,6 +104,7 @@ def route(
         .withColumn("outcome", F.when(late, DUPLICATE).otherwise(F.col("outcome")))
         .drop("_order", "_first_ok")
     )
+    settled = with_page(settled)
     aside = marked.where("_done").drop("_done").withColumn("outcome", F.lit(DUPLICATE))
     return (
         gated.where("outcome IS NOT NULL")
