@@ -189,10 +189,8 @@ def staging_load(spark, sf_dir):
 def staging_load_objects(spark, sf_dir):
     """The latest document of every posting as one JSON object in a file of its own, loaded."""
     root = _fresh_dir(spark, "objects")
-    latest = clean_postings(standins.staging(spark, sf_dir)).select("posting_id")
-    documents = standins.curated(spark, sf_dir).join(latest, "posting_id", "left_semi")
-    objects = documents.write.partitionBy("dt").option("maxRecordsPerFile", 1)
-    objects.json(f"{root}/{CURATED_PREFIX}")
+    documents = standins.before_loading(clean_postings(standins.staging(spark, sf_dir)))
+    standins.put_objects(documents, f"{root}/{CURATED_PREFIX}")
     staging = Staging(root).create(spark)
     load_increment(spark, ObjectDocuments(root), staging, NOW)
     return staging.postings(spark)

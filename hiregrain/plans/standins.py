@@ -8,7 +8,11 @@ whole tables; the matching definitions for the oracle are in ``oracles``.
 from __future__ import annotations
 
 import os
+import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +20,9 @@ from pyspark.sql import types as T
 from hiregrain.functions.text import sha256_hex
 from hiregrain.operators.collecting import iso_utc
 from hiregrain.operators.keys import lake_keys
+from hiregrain.operators.latest import POSTING_KEY
 from hiregrain.schemas import STAGING_COLUMNS
+from hiregrain.sources.tables import NO_DAY
 from hiregrain.sources.topics import FETCH_TOPIC, FolderTopics
 
 # Hosts by rotation: the five known sites, with user info and a port on two, and one other.
@@ -120,8 +126,11 @@ def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def curated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The staging rows as they were before loading: times as text, with their key and day."""
-    rows = staging(spark, sf_dir)
+    return before_loading(staging(spark, sf_dir))
+
+
+def before_loading(rows: DataFrame) -> DataFrame:
+    """Staging rows as they were before loading: times as text, with their key and day."""
     return rows.withColumns(
         {
             "dt": F.date_format("collected_at", "yyyy-MM-dd"),
@@ -131,6 +140,46 @@ def curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("loaded_at")
 
 
+def _store(root: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder that tasks reach, and its path there."""
+    if root.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + root.removeprefix("file:").lstrip("/")
+    if "://" not in root:
+        return fs.LocalFileSystem(), root
+    return fs.FileSystem.from_uri(root.replace("s3a://", "s3://", 1))
+
+
+def put_objects(documents: DataFrame, folder: str) -> int:
+    """Put every curated document, one of each posting, into a file of its own below its day, as
+    what fetches postings would. Returns their number.
+
+    Spark's writer is made for few large files: on a local disk it starts a process to set the mode
+    of every file and of its checksum. Here tasks put the objects. A name is of its posting and
+    appears with all its content, so a task that is done again leaves the same objects.
+    """
+    posting = F.sha2(F.to_json(F.struct(*POSTING_KEY)), 256)
+    objects = documents.repartition(*POSTING_KEY).select(
+        _cat("dt=", F.coalesce("dt", F.lit(NO_DAY))).alias("day"),
+        _cat(F.col("posting_id"), "-", posting, ".json").alias("name"),
+        F.to_json(F.struct(*[name for name in documents.columns if name != "dt"])).alias("text"),
+    )
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (store, place), days = _store(folder), set()
+        for batch in batches:
+            for day, name, text in zip(*(column.to_pylist() for column in batch.columns)):
+                if day not in days:
+                    store.create_dir(f"{place}/{day}", recursive=True)
+                    days.add(day)
+                beside = f"{place}/{day}/.{uuid.uuid4().hex}"
+                with store.open_output_stream(beside) as out:
+                    out.write(text.encode())
+                store.move(beside, f"{place}/{day}/{name}")
+            yield pa.RecordBatch.from_arrays([pa.array([len(batch)], pa.int64())], names=["n"])
+
+    return objects.mapInArrow(put, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def listed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = timed_events(table(spark, sf_dir, "events"))
     day = F.date_format("ts", "yyyy-MM-dd")

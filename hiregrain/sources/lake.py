@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from hiregrain.operators.latest import last_written
 from hiregrain.operators.skew import semi_join
+from hiregrain.operators.steps import settled
 from hiregrain.schemas import CURATED, CURATED_COLUMNS, PROCESSED, TOPIC
 from hiregrain.sources.tables import BATCH_COLUMNS, Table, delete
 
@@ -44,6 +45,8 @@ LAST_RAW = ("written_at", *BATCH_COLUMNS)
 LAST_PROCESSED = ("processed_at", *BATCH_COLUMNS)
 #: How the run of a batch begins that holds what was once several batches of a day.
 COMPACTED = "compacted-"
+#: Objects that a task reads, and small ones that Spark gives to it by its defaults.
+TASK_OBJECTS, PLANNED_OBJECTS = 512, 32
 OUTCOME_COUNTS = T.StructType(
     [T.StructField("outcome", T.StringType()), T.StructField("message_count", T.LongType())]
 )
@@ -251,6 +254,15 @@ def on_days(rows: DataFrame, days: DataFrame) -> DataFrame:
     return dated.select(*rows.columns).unionByName(rows.where("dt IS NULL"))
 
 
+def tasks_for(spark: SparkSession, objects: int) -> int:
+    """Tasks that read so many objects: more than a task for each core only for many objects.
+
+    Spark counts a file as 4 MB at least and so plans a task, and later a stored part, for some
+    thirty objects of any size.
+    """
+    return max(spark.sparkContext.defaultParallelism, objects // TASK_OBJECTS)
+
+
 @dataclass(frozen=True)
 class ObjectDocuments:
     """``<root>/curated/job_postings/dt=.../<id>.json``, one object per file."""
@@ -273,7 +285,10 @@ class ObjectDocuments:
             .load(f"{self.root}/{self.prefix}")
         )
         zero = F.lit(0).cast("long").alias("rule_version")
-        return files.select(self._key(F.col("path")).alias("s3_key"), F.col("dt").cast("string"), zero)
+        listed = files.select("path", F.col("dt").cast("string"), zero)
+        listed = listed.coalesce(tasks_for(spark, listed.rdd.getNumPartitions() * PLANNED_OBJECTS))
+        # Settled here and below, as joins by key would otherwise be pushed below the coalescing.
+        return settled(listed, {"s3_key": self._key(F.col("path"))}).select("s3_key", "dt", "rule_version")
 
     def read(self, spark: SparkSession, wanted: DataFrame) -> DataFrame:
         schema = T.StructType([*CURATED.fields, _DT])
@@ -284,9 +299,10 @@ class ObjectDocuments:
             .json(f"{self.root}/{self.prefix}")
         )
         # File paths come percent-encoded here and plain from the listing.
-        path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-        rows = objects.withColumn("s3_key", self._key(path))
+        path = F.url_decode(F.replace(F.col("_path"), F.lit("+"), F.lit("%2B")))
+        rows = on_days(objects.withColumn("_path", F.col("_metadata.file_path")), wanted.select("dt"))
+        rows = settled(rows.coalesce(tasks_for(spark, wanted.count())), {"s3_key": self._key(path)})
         zero = F.lit(0).cast("long").alias("rule_version")
-        found = on_days(rows, wanted.select("dt")).select("s3_key", zero, *CURATED_COLUMNS)
+        found = rows.select("s3_key", zero, *CURATED_COLUMNS)
         return found.join(wanted.select("s3_key"), "s3_key", "left_semi")
 
