@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hiregrain.operators.latest import last_written
-from hiregrain.operators.skew import semi_join
 from hiregrain.operators.steps import settled
 from hiregrain.schemas import CURATED, CURATED_COLUMNS, PROCESSED, TOPIC
+from hiregrain.sources.places import semi_join_files
 from hiregrain.sources.tables import BATCH_COLUMNS, Table, delete
 
 CURATED_PREFIX = "curated/job_postings"
@@ -237,8 +237,11 @@ class TableDocuments:
         return keys.agg(F.max(version_of()).alias("rule_version"))
 
     def read(self, spark: SparkSession, wanted: DataFrame) -> DataFrame:
-        rows = self.table.on_days(spark, days_of(wanted)).withColumn("s3_key", F.col("curated_s3_key"))
-        chosen = semi_join(rows, wanted.select("s3_key"), ["s3_key"])
+        days = days_of(wanted)
+        held = self.table.day_folders(spark, days)
+        rows = self.table.on_days(spark, days).withColumn("s3_key", F.col("curated_s3_key"))
+        # Without a folder there are no files to choose from.
+        chosen = semi_join_files(rows, wanted, ["s3_key"]) if held else rows.limit(0)
         only = last_written(chosen, ("s3_key",), LAST_DOCUMENT)
         return only.select("s3_key", version_of(), *CURATED_COLUMNS)
 

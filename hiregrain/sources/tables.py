@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +19,15 @@ RUN, BATCH = "run", "batch_id"
 BATCH_COLUMNS = (RUN, BATCH)
 
 
+#: How rows that are not gathered are written: a task has files open in some folders at once, the
+#: days of a month and more, and sorts its rows only for still more; what was shuffled to make the
+#: rows goes as soon as they are written.
+UNMOVED = {
+    "spark.sql.maxConcurrentOutputFileWriters": "40",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
+#: A task holds a row group for each of those folders; long texts are packed better in large pages.
+PACKED = {"parquet.block.size": 8 << 20, "parquet.page.size": 4 << 20}
 #: The folder of rows without a day.
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
@@ -72,6 +83,22 @@ def put_if_absent(spark: SparkSession, place: str, text: str) -> bool:
     return True
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Settings of the session, for a while."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def fitted(rows: DataFrame, schema: T.StructType) -> DataFrame:
     """The columns of ``schema``; those that rows lack and may be null are null."""
     missing = [f for f in schema.fields if f.nullable and f.name not in rows.columns]
@@ -89,7 +116,8 @@ class Table:
     ``clear_batch`` removes it from all folders.
     ``gathered`` tables are shuffled by partition before writing, so that the number of
     files stays near the number of folders; a folder with very many rows is split over
-    tasks at run time.
+    tasks at run time. With ``gather_rows``, batches of more rows are not: their tasks have
+    enough for files of their own, and write them without moving or sorting a row.
     """
 
     path: str
@@ -97,6 +125,7 @@ class Table:
     partitions: tuple[str, ...] = ()
     batched: bool = False
     gathered: bool = True
+    gather_rows: int | None = None
 
     def _full_schema(self) -> T.StructType:
         own = [T.StructField(RUN, T.StringType()), T.StructField(BATCH, T.LongType())]
@@ -113,12 +142,17 @@ class Table:
         """All rows; a missing or unreadable folder is an error, never an empty table."""
         return spark.read.schema(self._full_schema()).parquet(self.path)
 
-    def on_days(self, spark: SparkSession, days: list[str | None]) -> DataFrame:
-        """Rows of some days (dt); of the table's folders only those of the days are listed."""
+    def day_folders(self, spark: SparkSession, days: list[str | None]) -> list[str]:
+        """The folders of some days (dt); nothing else is listed."""
         above = "".join(f"/{name}=*" for name in self.partitions[: self.partitions.index("dt")])
         found = []
         for day in sorted({NO_DAY if day is None else day for day in days}):
             found += matching(spark, f"{self.path}{above}/dt={day}")
+        return found
+
+    def on_days(self, spark: SparkSession, days: list[str | None]) -> DataFrame:
+        """Rows of some days (dt); of the table's folders only those of the days are listed."""
+        found = self.day_folders(spark, days)
         if not found and not matching(spark, self.path):
             return self.read(spark)  # fails, as there is no table
         if not found:
@@ -201,21 +235,29 @@ class Table:
         files = spark.read.schema(self._full_schema()).option("basePath", self.path)
         return files.parquet(*places)
 
-    def _rows(self, rows: DataFrame) -> DataFrame:
-        chosen = fitted(rows, self.schema)
-        gather = self.gathered and self.partitions
-        return chosen.hint("rebalance", *self.partitions) if gather else chosen
+    def _gathers(self, rows: DataFrame) -> bool:
+        if not (self.gathered and self.partitions):
+            return False
+        return self.gather_rows is None or rows.count() <= self.gather_rows
 
     def append(self, rows: DataFrame) -> None:
-        self._rows(rows).write.partitionBy(*self.partitions).mode("append").parquet(self.path)
+        self._write(rows, self.partitions, "append")
 
     def write_batch(self, rows: DataFrame, run: str, batch_id: int) -> None:
-        batch = self._rows(rows).withColumns(
-            {RUN: F.lit(run), BATCH: F.lit(batch_id).cast("long")}
-        )
-        (
-            batch.write.partitionBy(*self.partitions, *BATCH_COLUMNS)
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .parquet(self.path)
-        )
+        batch = {RUN: F.lit(run), BATCH: F.lit(batch_id).cast("long")}
+        self._write(rows, (*self.partitions, *BATCH_COLUMNS), "overwrite", batch)
+
+    def _write(
+        self, rows: DataFrame, levels: tuple[str, ...], mode: str, batch: dict[str, Column] | None = None
+    ) -> None:
+        chosen = fitted(rows, self.schema)
+        gathers = self._gathers(chosen)
+        if gathers:
+            chosen = chosen.hint("rebalance", *self.partitions)
+        write = chosen.withColumns(batch or {}).write.partitionBy(*levels).mode(mode)
+        write = write.option("partitionOverwriteMode", "dynamic")
+        if gathers or not self.partitions:
+            write.parquet(self.path)
+            return
+        with settings(rows.sparkSession, UNMOVED):
+            write.options(**PACKED).parquet(self.path)
