@@ -35,6 +35,8 @@ QUARANTINE = T.StructType(
         T.StructField("loaded_at", T.TimestampType()),
     ]
 )
+#: Rows of a load from which on its files are packed.
+PACKED_ROWS = 1_000_000
 #: Days that a batch may need from its time of writing to its commit.
 LOOK_BACK = 2
 
@@ -215,7 +217,7 @@ def _write(
     def good(given: DataFrame) -> DataFrame:
         return given.join(refused, "_key", "left_anti") if n_bad else given
 
-    staging.rows.put(good(rows), note)
+    replace(staging.rows, packed=count >= PACKED_ROWS).put(good(rows), note)
     written = staging.rows.put_rows(spark, note)
     whole = F.count_if(lacking() == "").alias("n")
     if (n := written.agg(whole).first()[0]) != count - n_bad:

@@ -9,7 +9,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from hiregrain.sources.tables import delete, fitted, make_folder, matching, put_if_absent
+from hiregrain.sources.tables import PACKED, delete, fitted, make_folder, matching, put_if_absent
 
 LOAD = "load_id"
 _NOTE = T.StructType(
@@ -68,11 +68,15 @@ class Loads:
 
 @dataclass(frozen=True)
 class LoadTable:
-    """A table whose rows come in loads; only those of visible loads are read."""
+    """A table whose rows come in loads; only those of visible loads are read.
+
+    ``packed`` says that rows are written to smaller files, in more time.
+    """
 
     path: str
     schema: T.StructType
     loads: Loads
+    packed: bool = False
 
     def create(self, spark: SparkSession) -> "LoadTable":
         make_folder(spark, self.path)
@@ -81,7 +85,8 @@ class LoadTable:
     def put(self, rows: DataFrame, note: Note) -> None:
         """Write the rows of a load that is not visible yet."""
         place = f"{self.path}/{LOAD}={note.load_id}"
-        fitted(rows, self.schema).write.mode("overwrite").parquet(place)
+        options = PACKED if self.packed else {}
+        fitted(rows, self.schema).write.mode("overwrite").options(**options).parquet(place)
 
     def put_rows(self, spark: SparkSession, note: Note) -> DataFrame:
         """The rows of a load as written, visible or not."""
